@@ -72,3 +72,14 @@ def pct_of_entities(df: DataFrame, entity: str, predicate: Column, digits: int |
     hits = scalar(flags, F.count_if(F.col("__hit") == 1))
     pop = scalar(population if population is not None else flags, F.count_distinct(entity))
     return pct(hits, pop, digits)
+
+
+def avg_half_up(value: Column, scale: int, digits: int) -> Column:
+    """Aggregate: mean of ``value`` (a number with at most ``scale`` decimals)
+    rounded half-up to ``digits`` decimals, computed exactly in integers so the
+    result does not depend on the summation order of floating point."""
+    unit = 10 ** (scale - digits)
+    s = F.sum(F.round(value * 10 ** scale).cast("bigint"))
+    n = F.count(value)
+    rounded = F.floor((2 * s + n * unit) / (2 * n * unit))
+    return F.when(n > 0, rounded / 10 ** digits).cast("double")
