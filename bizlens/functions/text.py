@@ -46,8 +46,7 @@ def csv_items(c) -> Column:
     """CSV text -> array of trimmed, non-empty items (NULL/markers -> empty)."""
     cleaned = null_token(c)
     arr = F.split(F.trim(cleaned), r"\s*,\s*")
-    return F.when(cleaned.isNull(), F.array().cast("array<string>")).otherwise(
-        F.filter(arr, lambda x: x != ""))
+    return F.when(cleaned.isNull(), F.array().cast("array<string>")).otherwise(F.array_remove(arr, ""))
 
 
 def explode_csv(df: DataFrame, col: str, out: str, as_type: str | None = None) -> DataFrame:
