@@ -51,10 +51,8 @@ def csv_items(c) -> Column:
 
 def explode_csv(df: DataFrame, col: str, out: str, as_type: str | None = None) -> DataFrame:
     """O3: one row per item of a CSV text column (rows with no item vanish)."""
-    item = F.explode(csv_items(col))
-    if as_type:
-        item = item.try_cast(as_type)
-    return df.withColumn(out, item)
+    df = df.withColumn(out, F.explode(csv_items(col)))
+    return df.withColumn(out, F.col(out).try_cast(as_type)) if as_type else df
 
 
 def csv_count(c) -> Column:
