@@ -40,8 +40,8 @@ def cumulative_share(counts: DataFrame, order: str, value: str, out: str, digits
     of the grand total. ``counts`` is a small aggregate (one row per distinct
     ``order`` value), so the unpartitioned window runs on a handful of rows."""
     w = Window.orderBy(F.desc(order))
-    total = counts.agg(F.sum(value)).scalar()
-    return counts.withColumn(out, ratio_round(F.sum(value).over(w), total, digits, 100))
+    c = counts.withColumns({"__total": counts.agg(F.sum(value)).scalar(), "__cum": F.sum(value).over(w)})
+    return c.withColumn(out, ratio_round(F.col("__cum"), F.col("__total"), digits, 100)).drop("__total", "__cum")
 
 
 def drop_sparse(df: DataFrame, entity: str, period: str, min_periods: int) -> DataFrame:

@@ -163,8 +163,9 @@ def retail_contribution(d: Domain) -> DataFrame:
     Retail sales (the grand total is a scalar subquery, not a global window)."""
     g = total_by(_cws(d).filter(F.col("platform") == "Retail"), ["age_band", "demographic"],
                  total_retail_sales=F.sum("sales"))
-    total = g.agg(F.sum("total_retail_sales")).scalar()
-    return g.withColumn("retail_sales_contribution_pct", ratio_round(F.col("total_retail_sales"), total, 2, 100))
+    g = g.withColumn("__total", g.agg(F.sum("total_retail_sales")).scalar())  # one subquery
+    return g.withColumn("retail_sales_contribution_pct",
+                        ratio_round(F.col("total_retail_sales"), F.col("__total"), 2, 100)).drop("__total")
 
 
 @query("avg_transaction_size", f"""
