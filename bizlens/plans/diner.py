@@ -6,10 +6,11 @@ Domain: ``sales(customer_id, order_date, product_id)``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.operators.aggregate import total_by
+from bizlens.operators.ordered import rank_by
 from bizlens.operators.rank import top_k, top_per_group
 from bizlens.operators.temporal import extreme_rows, nearest_event
 from bizlens.plans import query
@@ -218,6 +219,7 @@ SELECT *, CASE WHEN member = 'N' THEN NULL
 FROM ({_STATUS_SQL}) t""")
 def member_order_ranking(d: Domain) -> DataFrame:
     """D1-12: + rank of the member's orders by date, NULL before membership."""
-    w = Window.partitionBy("customer_id", "member").orderBy("order_date")
-    return _member_status(d).withColumn(
-        "ranking", F.when(F.col("member") == "N", F.lit(None)).otherwise(F.rank().over(w)).cast("bigint"))
+    ranked = rank_by(_member_status(d), ["customer_id", "member"], "order_date", "ranking")
+    return ranked.withColumn("ranking", F.when(F.col("member") == "N", F.lit(None)).otherwise(F.col("ranking"))
+                             .cast("bigint")).select("customer_id", "order_date", "product_name", "price",
+                                                     "member", "ranking")

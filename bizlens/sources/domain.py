@@ -25,9 +25,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bizlens.operators.ordered import lead_lag, row_number
 from bizlens.sources import fixed
 from bizlens.sources.driver import table
 
@@ -205,12 +206,13 @@ class Domain:
         n = self.t("nation").select("n_nationkey", "n_regionkey")
         region = c.join(n, c.c_nationkey == n.n_nationkey).select(
             "c_custkey", (F.col("n_regionkey") + 1).alias("region_id"))
-        w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-        stints = o.select(
-            "o_custkey",
-            (F.col("o_orderkey") % 5 + 1).cast("int").alias("node_id"),
-            F.to_date("o_orderdate").alias("start_date"),
-            F.coalesce(F.lead(F.to_date("o_orderdate")).over(w), _date(OPEN_END)).alias("end_date"))
+        stints = o.select("o_custkey", "o_orderkey", "o_orderdate",
+                          (F.col("o_orderkey") % 5 + 1).cast("int").alias("node_id"),
+                          F.to_date("o_orderdate").alias("start_date"))
+        # the next stint's start, per customer in date order (bucketed by day, see operators.ordered)
+        stints = lead_lag(stints, "o_custkey", ["o_orderdate", "o_orderkey"], {"start_date": "next_start"},
+                          F.col("start_date"))
+        stints = stints.withColumn("end_date", F.coalesce("next_start", _date(OPEN_END)))
         return stints.join(region, stints.o_custkey == region.c_custkey).select(
             F.col("o_custkey").alias("customer_id"), "region_id", "node_id", "start_date", "end_date")
 
@@ -259,8 +261,9 @@ class Domain:
             (F.when(et == "view", 1).when(et == "click", 2).when(et == "purchase", 3)
              .when(et == "signup", 4).otherwise(5)).alias("event_type"),
             F.col("ts").alias("event_time"), "event_id")
-        w = Window.partitionBy("visit_id").orderBy("event_time", "event_id")
-        return base.withColumn("sequence_number", F.row_number().over(w).cast("int")).drop("event_id")
+        # position in the visit; bucketed by hour so a huge visit is numbered in pieces
+        return row_number(base, "visit_id", ["event_time", "event_id"], F.hour("event_time"),
+                          "sequence_number").drop("event_id")
 
     @cached_property
     def users(self) -> DataFrame:

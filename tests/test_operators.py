@@ -114,3 +114,38 @@ def test_drop_sparse(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 1), (2, 1)], "e int, p int")
     assert drop_sparse(df, "e", "p", 2).count() == 2
     assert total_by(df, "e", n=F.count("*")).count() == 2
+
+
+def _history(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(k, D(2020, 1, 1) + dt.timedelta(days=rnd.randrange(0, 6)), i, rnd.randrange(0, 5))
+            for k in (1, 2) for i in range(40 if k == 1 else 3)]
+    return spark.createDataFrame(rows, "k int, d date, seq int, v int")
+
+
+def test_bucketed_lead_lag_equal_plain_window(spark):
+    from pyspark.sql import Window
+    from bizlens.operators.ordered import lead_lag
+    df = _history(spark)
+    w = Window.partitionBy("k").orderBy("d", "seq")
+    want = df.select("k", "seq", F.lead("v").over(w).alias("nv"), F.lead("d").over(w).alias("nd"),
+                     F.lag("v").over(w).alias("pv"))
+    got_lead = lead_lag(df, "k", ["d", "seq"], {"v": "nv", "d": "nd"}, F.col("d"), "lead")
+    got_lag = lead_lag(df, "k", ["d", "seq"], {"v": "pv"}, F.col("d"), "lag")
+    got = got_lead.join(got_lag.select("k", "seq", "pv"), ["k", "seq"]).select("k", "seq", "nv", "nd", "pv")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_bucketed_row_number_and_rank_equal_plain_window(spark):
+    from pyspark.sql import Window
+    from bizlens.operators.ordered import rank_by, row_number
+    df = _history(spark)
+    w = Window.partitionBy("k").orderBy("d", "seq")
+    want = sorted(map(tuple, df.select("k", "seq", F.row_number().over(w)).collect()))
+    got = sorted(map(tuple, row_number(df, "k", ["d", "seq"], F.col("d"), "rn").select("k", "seq", "rn").collect()))
+    assert got == want
+    wr = Window.partitionBy("k").orderBy("d")
+    want_r = sorted(map(tuple, df.select("k", "seq", F.rank().over(wr)).collect()))
+    got_r = sorted(map(tuple, rank_by(df, ["k"], "d", "r").select("k", "seq", "r").collect()))
+    assert got_r == want_r
