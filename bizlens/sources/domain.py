@@ -47,6 +47,31 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def transactions_from_orders(orders: DataFrame) -> DataFrame:
+    """Bank transactions from orders (batch or streaming input)."""
+    st = F.col("o_orderstatus")
+    return orders.select(
+        F.col("o_custkey").alias("customer_id"),
+        F.to_date("o_orderdate").alias("txn_date"),
+        F.when(st == "O", "deposit").when(st == "F", "withdrawal").otherwise("purchase").alias("txn_type"),
+        F.floor(F.col("o_totalprice") / 500).cast("int").alias("txn_amount"))
+
+
+def click_events_from_events(events: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Clickstream events (without the in-visit sequence number) from the
+    ``events`` table (batch or streaming input), plus ``event_id`` and ``keep``."""
+    et = F.col("event_type")
+    visit = F.concat(_s(F.col("user_id")), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    cookie = F.concat(F.lit("c"), _s(F.col("user_id")),
+                      F.when((F.col("user_id") % 3 == 0) & (F.dayofmonth("ts") % 2 == 1), "b").otherwise("a"))
+    return events.select(
+        visit.alias("visit_id"), cookie.alias("cookie_id"),
+        (F.get_json_object("props", "$.k").cast("int") % 13 + 1).alias("page_id"),
+        (F.when(et == "view", 1).when(et == "click", 2).when(et == "purchase", 3)
+         .when(et == "signup", 4).otherwise(5)).alias("event_type"),
+        F.col("ts").alias("event_time"), "event_id", *keep)
+
+
 class Domain:
     """Domain tables over one input folder. Attributes are lazy DataFrames."""
 
@@ -191,13 +216,7 @@ class Domain:
     # ------------------------------------------------------------------- bank
     @cached_property
     def customer_transactions(self) -> DataFrame:
-        o = self.t("orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-        st = F.col("o_orderstatus")
-        return o.select(
-            F.col("o_custkey").alias("customer_id"),
-            F.to_date("o_orderdate").alias("txn_date"),
-            F.when(st == "O", "deposit").when(st == "F", "withdrawal").otherwise("purchase").alias("txn_type"),
-            F.floor(F.col("o_totalprice") / 500).cast("int").alias("txn_amount"))
+        return transactions_from_orders(self.t("orders"))
 
     @cached_property
     def customer_nodes(self) -> DataFrame:
@@ -249,18 +268,7 @@ class Domain:
     # ------------------------------------------------------------ clickstream
     @cached_property
     def click_events(self) -> DataFrame:
-        e = self.t("events").select("event_id", "ts", "user_id", "event_type", "props")
-        et = F.col("event_type")
-        visit = F.concat(_s(F.col("user_id")), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
-        cookie = F.concat(F.lit("c"), _s(F.col("user_id")),
-                          F.when((F.col("user_id") % 3 == 0) & (F.dayofmonth("ts") % 2 == 1), "b")
-                          .otherwise("a"))
-        base = e.select(
-            visit.alias("visit_id"), cookie.alias("cookie_id"),
-            (F.get_json_object("props", "$.k").cast("int") % 13 + 1).alias("page_id"),
-            (F.when(et == "view", 1).when(et == "click", 2).when(et == "purchase", 3)
-             .when(et == "signup", 4).otherwise(5)).alias("event_type"),
-            F.col("ts").alias("event_time"), "event_id")
+        base = click_events_from_events(self.t("events"))
         # position in the visit; bucketed by hour so a huge visit is numbered in pieces
         return row_number(base, "visit_id", ["event_time", "event_id"], F.hour("event_time"),
                           "sequence_number").drop("event_id")
