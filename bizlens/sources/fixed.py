@@ -58,9 +58,24 @@ SCHEMAS = {
 }
 
 
+def _spark_literal(v, typ: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {typ})"
+    if isinstance(v, datetime):
+        return f"TIMESTAMP_NTZ '{v:%Y-%m-%d %H:%M:%S}'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v} AS {typ})"
+
+
 def lookup(spark: SparkSession, name: str) -> DataFrame:
+    """The rows as an inline VALUES relation: planned as a local table scan in
+    the JVM (no Python worker), small enough to broadcast."""
     schema, rows = SCHEMAS[name]
-    return spark.createDataFrame(rows, schema)
+    cols = [c.strip().split(" ") for c in re.split(r",(?![^()]*\))", schema)]
+    values = ", ".join("(" + ", ".join(_spark_literal(v, t) for v, (_, t) in zip(r, cols)) + ")" for r in rows)
+    names = ", ".join(c for c, _ in cols)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS v({names})")
 
 
 def _sql_literal(v) -> str:
