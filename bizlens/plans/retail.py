@@ -55,7 +55,8 @@ view_sql("clean_weekly_sales", _CLEAN_SQL.format(week="strftime(week_date, '%U')
 
 
 def _cws(d: Domain) -> DataFrame:
-    return clean_weekly_sales_df(d)
+    """The saved clean table (created once per session, like the original CTAS)."""
+    return d.saved("clean_weekly_sales", lambda: clean_weekly_sales_df(d))
 
 
 @query("clean_weekly_sales", "SELECT * FROM clean_weekly_sales")

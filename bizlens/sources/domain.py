@@ -23,12 +23,14 @@ Derivation rules (all integer arithmetic on keys, so both engines agree):
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizlens.operators.ordered import lead_lag, row_number
+from bizlens.session import saved_table
 from bizlens.sources import fixed
 from bizlens.sources.driver import table
 
@@ -85,6 +87,12 @@ class Domain:
     def lookup(self, name: str) -> DataFrame:
         return fixed.lookup(self.spark, name)
 
+    def saved(self, name: str, build) -> DataFrame:
+        """A derived table of this input folder, written once per session
+        (see ``session.saved_table``)."""
+        tag = hashlib.sha1(self.sf_dir.rstrip("/").encode()).hexdigest()[:12]
+        return saved_table(self.spark, f"{name}-{tag}", build)
+
     # ------------------------------------------------------------------ diner
     @cached_property
     def sales(self) -> DataFrame:
