@@ -35,16 +35,16 @@ EVENT_IDENTIFIER = [
 # a product, and three campaigns with gaps and noon borders.
 PAGE_HIERARCHY = [
     (1, "Home Page", None, None), (2, "All Products", None, None),
-    (3, "Salmon", "Fish", 1), (4, "Kingfish", "Fish", 2), (5, "Tuna", "Fish", 3),
-    (6, "Russian Caviar", "Luxury", 4), (7, "Black Truffle", "Luxury", 5),
-    (8, "Abalone", "Shellfish", 6), (9, "Lobster", "Shellfish", 7),
-    (10, "Crab", "Shellfish", 8), (11, "Oyster", "Shellfish", 9),
+    (3, "Anchovy", "Fish", 1), (4, "Herring", "Fish", 2), (5, "Mackerel", "Fish", 3),
+    (6, "Saffron", "Spice", 4), (7, "Vanilla", "Spice", 5),
+    (8, "Clam", "Shellfish", 6), (9, "Mussel", "Shellfish", 7),
+    (10, "Prawn", "Shellfish", 8), (11, "Scallop", "Shellfish", 9),
     (12, "Checkout", None, None), (13, "Confirmation", None, None),
 ]
 CAMPAIGNS = [
-    ("BOGOF - Fishing For Compliments", datetime(2024, 1, 1, 0, 0), datetime(2024, 1, 10, 12, 0)),
-    ("25% Off - Living The Lux Life", datetime(2024, 1, 12, 0, 0), datetime(2024, 1, 20, 12, 0)),
-    ("Half Off - Treat Your Shellf(ish)", datetime(2024, 1, 22, 0, 0), datetime(2024, 1, 28, 0, 0)),
+    ("Spring Sale", datetime(2024, 1, 1, 0, 0), datetime(2024, 1, 10, 12, 0)),
+    ("Member Week", datetime(2024, 1, 12, 0, 0), datetime(2024, 1, 20, 12, 0)),
+    ("Clearance", datetime(2024, 1, 22, 0, 0), datetime(2024, 1, 28, 0, 0)),
 ]
 
 SCHEMAS = {
