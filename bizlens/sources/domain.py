@@ -29,6 +29,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bizlens.functions.calendar import ntz_text, ymd_text
 from bizlens.operators.ordered import lead_lag, row_number
 from bizlens.session import saved_table
 from bizlens.sources import fixed
@@ -63,7 +64,7 @@ def click_events_from_events(events: DataFrame, keep: tuple = ()) -> DataFrame:
     """Clickstream events (without the in-visit sequence number) from the
     ``events`` table (batch or streaming input), plus ``event_id`` and ``keep``."""
     et = F.col("event_type")
-    visit = F.concat(_s(F.col("user_id")), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    visit = F.concat(_s(F.col("user_id")), F.lit("-"), ymd_text("ts", ""))
     cookie = F.concat(F.lit("c"), _s(F.col("user_id")),
                       F.when((F.col("user_id") % 3 == 0) & (F.dayofmonth("ts") % 2 == 1), "b").otherwise("a"))
     return events.select(
@@ -158,7 +159,7 @@ class Domain:
         return o.select(
             k.alias("order_id"),
             (k % 10 + 1).cast("int").alias("runner_id"),
-            F.when(cancelled, "null").otherwise(F.date_format(pickup, "yyyy-MM-dd HH:mm:ss")).alias("pickup_time"),
+            F.when(cancelled, "null").otherwise(ntz_text(pickup)).alias("pickup_time"),
             F.when(cancelled, "null").otherwise(
                 F.concat(_s(k % 25 + 5), F.lit("."), _s(k % 10), unit_d)).alias("distance"),
             F.when(cancelled, "null").otherwise(F.concat(_s(k % 31), unit_t)).alias("duration"),
@@ -262,7 +263,7 @@ class Domain:
              .join(n, F.col("c_nationkey") == n.n_nationkey)
              .join(r, F.col("n_regionkey") == r.r_regionkey))
         return j.groupBy(
-            F.date_format(F.date_trunc("week", "o_orderdate"), "yyyy-MM-dd").alias("week_date"),
+            ymd_text(F.date_trunc("week", "o_orderdate")).alias("week_date"),
             F.col("r_name").alias("region"),
             F.when(F.col("l_linestatus") == "O", "Shopify").otherwise("Retail").alias("platform"),
             (F.when(seg == "AUTOMOBILE", "C1").when(seg == "BUILDING", "C2")
@@ -319,7 +320,8 @@ class Domain:
         return li.select(
             nul(F.month(month)).cast("int").alias("_month"),
             nul(F.year(month)).cast("int").alias("_year"),
-            nul(F.date_format(month, "MM-yyyy")).cast("string").alias("month_year"),
+            nul(F.concat(F.lpad(F.month(month).cast("string"), 2, "0"), F.lit("-"), F.year(month).cast("string")))
+            .cast("string").alias("month_year"),
             interest.alias("interest_id"),
             F.col("l_quantity").alias("composition"),
             F.col("l_discount").alias("index_value"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bizlens.functions.calendar import wall_clock_instant
 from bizlens.sources.domain import click_events_from_events
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -21,9 +22,9 @@ def visit_rollup(events: DataFrame, campaigns: DataFrame, lateness: str = "1 hou
     start time, page views, cart adds, purchase flag, impressions, clicks and
     the campaign running at the visit's start (stream-static range join to a
     small, broadcast campaign table)."""
-    # watermarks need a zoned timestamp; the session zone (UTC) keeps the wall clock
+    # watermarks need a zoned timestamp: one whose UTC day is the visit's day
     ev = (click_events_from_events(events, keep=("user_id",))
-          .withColumn("__ts", F.col("event_time").cast("timestamp")).withWatermark("__ts", lateness))
+          .withColumn("__ts", wall_clock_instant("event_time")).withWatermark("__ts", lateness))
     et = F.col("event_type")
     visits = ev.groupBy(F.window("__ts", "1 day").alias("day"), "user_id", "visit_id").agg(
         F.min("event_time").alias("visit_start_time"),

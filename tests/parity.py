@@ -86,11 +86,19 @@ def main(argv=None):
 
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain-tz", default=None,
+                    help="use a plain session (no bizlens settings) in this time zone")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     load_all()
     qs, oq = spark_queries(), oracle_queries()
-    spark = local_session(8, 8)
+    if a.plain_tz:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", a.plain_tz).getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8, 8)
     con = duck(a.sf)
     bad = 0
     for name in sorted(qs):

@@ -61,3 +61,25 @@ def test_ordered_list_skips_nulls_and_orders(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, None), (2, 1, None)], "k int, s int, v string")
     got = {r.k: r.l for r in df.groupBy("k").agg(ordered_list("v", "s").alias("l")).collect()}
     assert got == {1: "a, c", 2: None}
+
+
+def test_parse_timestamp_ntz_is_zone_free(spark):
+    from bizlens.functions.calendar import parse_timestamp_ntz
+    rows = [("1998-04-05 02:15:47",), ("null",), ("",), (None,), ("2020-13-01 00:00:00",), ("2020-01-01 18:15:34",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r[0] for r in df.select(parse_timestamp_ntz("t")).collect()]
+    assert got == [dt.datetime(1998, 4, 5, 2, 15, 47), None, None, None, None, dt.datetime(2020, 1, 1, 18, 15, 34)]
+
+
+def test_day_names_and_differences_ignore_session_zone(spark):
+    from bizlens.functions.calendar import day_name, minutes_between, seconds_between
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(1998, 4, 5, 1, 47, 0), dt.datetime(1998, 4, 5, 2, 15, 47))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = df.select(seconds_between("a", "b"), minutes_between("a", "b"), minutes_between("b", "a"),
+                      day_name("b")).first()
+        assert tuple(r) == (1727, 28, -28, "Sunday")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
