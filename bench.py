@@ -19,7 +19,7 @@ import time
 HEADLINE = [
     "spend_per_customer", "member_order_ranking", "first_after_join", "ingredient_list",
     "delivery_report", "plans_at_date", "days_to_annual", "running_balance", "allocation_average",
-    "clean_weekly_sales", "impact_by_area", "product_funnel", "visit_summary", "interest_rows",
+    "clean_weekly_sales", "impact_by_area", "product_funnel", "visit_summary_intended", "interest_rows",
     "cumulative_pct_by_months",
 ]
 
