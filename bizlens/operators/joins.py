@@ -23,6 +23,14 @@ def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str,
     within = F.col(ts).between(F.col(start), F.col(end))
     if intervals.count() <= broadcast_max_rows:
         return points.join(F.broadcast(intervals), within, how)
-    iv = intervals.withColumn("__day", F.explode(F.sequence(F.to_date(start), F.to_date(end))))
+    # clip each interval to the days the points cover, so an open-ended interval
+    # (e.g. ending 9999-12-31) expands to at most the points' span, not millennia
+    span = points.agg(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi"))
+    iv = intervals.withColumns({"__lo": span.select("lo").scalar(), "__hi": span.select("hi").scalar()})
+    iv = iv.withColumns({"__first": F.greatest(F.to_date(start), F.col("__lo")),
+                         "__last": F.least(F.to_date(end), F.col("__hi"))})
+    iv = (iv.withColumn("__day", F.explode(F.when(F.col("__first") <= F.col("__last"),
+                                                   F.sequence(F.col("__first"), F.col("__last")))))
+          .drop("__lo", "__hi", "__first", "__last"))
     p = points.withColumn("__pday", F.to_date(ts))
     return p.join(iv, (F.col("__pday") == F.col("__day")) & within, how).drop("__day", "__pday")

@@ -149,3 +149,13 @@ def test_bucketed_row_number_and_rank_equal_plain_window(spark):
     want_r = sorted(map(tuple, df.select("k", "seq", F.rank().over(wr)).collect()))
     got_r = sorted(map(tuple, rank_by(df, ["k"], "d", "r").select("k", "seq", "r").collect()))
     assert got_r == want_r
+
+
+def test_interval_join_open_ended_bucketed(spark):
+    pts = spark.createDataFrame([(1, dt.datetime(2024, 1, 10, 12, 0)), (2, dt.datetime(2023, 12, 1))],
+                                "id int, ts timestamp_ntz")
+    iv = spark.createDataFrame([("open", dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31)),
+                                ("old", dt.datetime(1990, 1, 1), dt.datetime(1990, 2, 1))],
+                               "name string, s timestamp_ntz, e timestamp_ntz")
+    got = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0).collect())
+    assert got == [(1, "open"), (2, None)]
