@@ -19,9 +19,13 @@ BROADCAST_MAX_ROWS = 10_000
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str, end: str,
-                  how: str = "left", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  how: str = "left", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                  interval_rows: int | None = None) -> DataFrame:
+    """``interval_rows`` is a known bound on the interval side (e.g. a fixed
+    lookup); without it the side is counted first."""
     within = F.col(ts).between(F.col(start), F.col(end))
-    if intervals.count() <= broadcast_max_rows:
+    n = interval_rows if interval_rows is not None else intervals.count()
+    if n <= broadcast_max_rows:
         return points.join(F.broadcast(intervals), within, how)
     # clip each interval to the days the points cover, so an open-ended interval
     # (e.g. ending 9999-12-31) expands to at most the points' span, not millennia

@@ -80,10 +80,24 @@ def load_all() -> dict[str, Query]:
     return REGISTRY
 
 
+_DOMAINS: dict = {}
+
+
+def domain_for(spark: SparkSession, sf_dir: str) -> Domain:
+    """One Domain per (Spark application, input folder): the derived tables are
+    lazy DataFrames, so sharing them lets every query start from plans that are
+    already built and analysed."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    d = _DOMAINS.get(key)
+    if d is None:
+        d = _DOMAINS[key] = Domain(spark, sf_dir)
+    return d
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, q in load_all().items():
-        out[name] = (lambda fn: lambda spark, sf_dir: fn(Domain(spark, sf_dir)))(q.fn)
+        out[name] = (lambda fn: lambda spark, sf_dir: fn(domain_for(spark, sf_dir)))(q.fn)
     return out
 
 
