@@ -16,11 +16,12 @@ from bizlens.operators.temporal import extreme_rows, nearest_event
 from bizlens.plans import query
 from bizlens.sources.domain import Domain
 
-# points rules: 10 points per $1, sushi x2; first week after joining x2
-POINTS_PER_DOLLAR = 10
-DOUBLE_ITEM = "sushi"
-FIRST_WEEK_DAYS = 6        # join date + 6 days, inclusive
-POINTS_CUTOFF = "1998-02-01"  # "end of January": orders before this date
+# --- fixed values: the points rules of the questions ---------------------------
+POINTS_PER_DOLLAR = 10     # 10 points per $1
+DOUBLE_ITEM = "sushi"      # earns double points
+FIRST_WEEK_DAYS = 6        # double points from the join date to join date + 6 days
+# --- parameter set to the inputs' date range ("end of January") -----------------
+POINTS_CUTOFF = "1998-02-01"
 
 
 def _sales_menu(d: Domain, how: str = "left") -> DataFrame:

@@ -21,6 +21,7 @@ from bizlens.operators.impact import (AGE_BANDS, DEMOGRAPHICS, UNKNOWN, band_col
 from bizlens.plans import query, view_sql
 from bizlens.sources.domain import Domain
 
+# --- parameters: the event week, set to the inputs' date range (a Monday in week 24)
 EVENT_DATE = "1998-06-15"
 EVENT_YEAR = 1998
 EVENT_WEEK = 24
