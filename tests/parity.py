@@ -88,14 +88,19 @@ def main(argv=None):
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--plain-tz", default=None,
                     help="use a plain session (no bizlens settings) in this time zone")
+    ap.add_argument("--conf", action="append", default=[], help="extra k=v for the plain session")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     load_all()
     qs, oq = spark_queries(), oracle_queries()
     if a.plain_tz:
         from pyspark.sql import SparkSession
-        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-                 .config("spark.sql.session.timeZone", a.plain_tz).getOrCreate())
+        b = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+             .config("spark.sql.session.timeZone", a.plain_tz))
+        for kv in a.conf:
+            k, v = kv.split("=", 1)
+            b = b.config(k, v)
+        spark = b.getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = local_session(8, 8)
