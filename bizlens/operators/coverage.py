@@ -21,11 +21,21 @@ def null_share(df: DataFrame, col: str, out: str = "null_perc", digits: int = 2)
     return df.agg(ratio_round(F.sum(F.when(F.col(col).isNull(), 1)), F.count("*"), digits, 100).alias(out))
 
 
-def reference_gap(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Rows of ``left`` whose key has no match in ``right``. ``right``'s key
-    must be non-NULL (then NOT IN and NOT EXISTS agree)."""
-    r = right.select(F.col(right_key).alias("__rk")).filter(F.col("__rk").isNotNull()).distinct()
-    return left.join(r, F.col(left_key) == F.col("__rk"), "left_anti")
+def reference_gap(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                  null_aware: bool = False) -> DataFrame:
+    """Rows of ``left`` whose key has no match in ``right`` (NOT EXISTS).
+
+    With ``null_aware`` it follows ``left_key NOT IN (SELECT right_key ...)``:
+    no row at all when ``right`` holds a NULL key, and never a row with a NULL
+    ``left_key``. The NULL test is one scalar aggregate over ``right``, so the
+    anti join itself stays a plain (shuffle or broadcast) hash join instead of
+    the nested loop a general null-aware anti join needs."""
+    r = right.select(F.col(right_key).alias("__rk"))
+    out = left.join(r.filter(F.col("__rk").isNotNull()).distinct(), F.col(left_key) == F.col("__rk"), "left_anti")
+    if null_aware:
+        no_nulls = r.agg(F.count_if(F.col("__rk").isNull()) == 0).scalar()
+        out = out.filter(F.col(left_key).isNotNull() & no_nulls)
+    return out
 
 
 def presence(df: DataFrame, entity: str, period: str, out: str = "total_months",

@@ -159,3 +159,13 @@ def test_interval_join_open_ended_bucketed(spark):
                                "name string, s timestamp_ntz, e timestamp_ntz")
     got = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0).collect())
     assert got == [(1, "open"), (2, None)]
+
+
+def test_reference_gap_not_in_semantics(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    right_null = spark.createDataFrame([(1,), (None,)], "k2 long")
+    right = spark.createDataFrame([(1,)], "k2 long")
+    assert reference_gap(left, right_null, "k", "k2", null_aware=True).count() == 0      # NULL in the subquery
+    assert sorted(r.k for r in reference_gap(left, right, "k", "k2", null_aware=True).collect()) == [2]
+    got = sorted((r.k is None, r.k) for r in reference_gap(left, right_null, "k", "k2").collect())
+    assert got == [(False, 2), (True, None)]                                           # NOT EXISTS keeps NULL

@@ -129,3 +129,13 @@ def test_funnel_purchase_multiplicity(spark):
     # as written the v1 cart add meets both purchase events: counted twice
     assert (w.product_viewed, w.product_addedtocart, w.product_purchased, w.product_abandoned) == (1, 3, 2, 1)
     assert (i.product_viewed, i.product_addedtocart, i.product_purchased, i.product_abandoned) == (1, 2, 1, 1)
+
+
+def test_demographic_share_matches_unknown_case_insensitively(spark):
+    from bizlens.plans import retail
+    ws = ("week_date string, region string, platform string, segment string, customer_type string, "
+          "transactions int, sales long")
+    d = literal_domain(spark, weekly_sales=(ws, [("2020-06-15", "ASIA", "Retail", "C1", "New", 10, 300),
+                                                 ("2020-06-15", "ASIA", "Retail", "null", "New", 5, 100)]))
+    r = retail.demographic_share_by_year(d).first()
+    assert (r.couples_percentage, r.families_percentage, r.unknown_percentage) == (75.0, None, 25.0)
