@@ -11,7 +11,8 @@ that is monotone in the order, e.g. the day of a date-ordered history):
    over those rows (at most one per bucket value: per calendar day) carries it
    to the neighbouring buckets;
 3. the carried values are joined back on (entity, bucket) -- the same
-   partitioning as step 1, so the large side is shuffled once.
+   partitioning as step 1, so raw rows are shuffled once; step 2 reads the
+   input again but shuffles only partial aggregates.
 
 Results equal the single-window form; the bucket must not decrease along the
 order and the order must be total (add a tie-break).
@@ -33,17 +34,18 @@ def lead_lag(df: DataFrame, key: str, order: Sequence[str], cols: dict[str, str]
              direction: str = "lead") -> DataFrame:
     """Next (``lead``) or previous (``lag``) row's value of each ``cols`` source
     column, as output column ``cols[src]``, within ``key`` in ``order``."""
-    b = _bucketed(df, bucket)
+    b0 = _bucketed(df, bucket)
     asc = direction == "lead"
     w_in = Window.partitionBy(key, "__b").orderBy(*order)
     fn = F.lead if asc else F.lag
     inner = {f"__in_{src}": fn(src).over(w_in) for src in cols}
     inner["__has"] = fn(F.lit(1)).over(w_in).isNotNull()
-    b = b.withColumns(inner)
-    # first (for lead) / last (for lag) row of each bucket, carried to the neighbour
+    b = b0.withColumns(inner)
+    # first (for lead) / last (for lag) row of each bucket, carried to the
+    # neighbour; aggregated from the input (map-side partial), not the windowed rows
     edge = F.min if asc else F.max
     fields = [F.col(o).alias(f"o{i}") for i, o in enumerate(order)] + [F.col(c).alias(f"v_{c}") for c in cols]
-    edges = b.groupBy(key, "__b").agg(edge(F.struct(*fields)).alias("__edge"))
+    edges = b0.groupBy(key, "__b").agg(edge(F.struct(*fields)).alias("__edge"))
     w_b = Window.partitionBy(key).orderBy("__b")
     edges = edges.withColumn("__nb", fn("__edge").over(w_b)).drop("__edge")
     j = b.join(edges, [key, "__b"])
@@ -54,10 +56,10 @@ def lead_lag(df: DataFrame, key: str, order: Sequence[str], cols: dict[str, str]
 
 def row_number(df: DataFrame, key: str, order: Sequence[str], bucket: Column, out: str = "row_number") -> DataFrame:
     """1-based position of each row within ``key`` in ``order``."""
-    b = _bucketed(df, bucket)
+    b0 = _bucketed(df, bucket)
     local = F.row_number().over(Window.partitionBy(key, "__b").orderBy(*order))
-    b = b.withColumn("__local", local)
-    counts = b.groupBy(key, "__b").agg(F.count("*").alias("__n"))
+    b = b0.withColumn("__local", local)
+    counts = b0.groupBy(key, "__b").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy(key).orderBy("__b")
                                .rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__n")
