@@ -49,8 +49,9 @@ def cumulative_share(counts: DataFrame, order: str, value: str, out: str, digits
     """Running total of ``value`` in descending ``order`` as a percentage
     of the grand total. ``counts`` is a small aggregate (one row per distinct
     ``order`` value), so the unpartitioned window runs on a handful of rows."""
+    # both windows run over the small ``counts`` aggregate in one pass (no second scan for the total)
     w = Window.orderBy(F.desc(order))
-    c = counts.withColumns({"__total": counts.agg(F.sum(value)).scalar(), "__cum": F.sum(value).over(w)})
+    c = counts.withColumns({"__total": F.sum(value).over(Window.partitionBy()), "__cum": F.sum(value).over(w)})
     return c.withColumn(out, ratio_round(F.col("__cum"), F.col("__total"), digits, 100)).drop("__total", "__cum")
 
 
