@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 _SAVED: set = set()
+_SAVE_LOCK = threading.Lock()
 
 
 def saved_table(spark: SparkSession, key: str, build) -> DataFrame:
@@ -70,8 +72,10 @@ def saved_table(spark: SparkSession, key: str, build) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{key}"
     token = (spark.sparkContext.applicationId, path)
     if token not in _SAVED:
-        build().write.mode("overwrite").parquet(path)
-        _SAVED.add(token)
+        with _SAVE_LOCK:  # queries built from several threads write each table once
+            if token not in _SAVED:
+                build().write.mode("overwrite").parquet(path)
+                _SAVED.add(token)
     return spark.read.parquet(path)
 
 
