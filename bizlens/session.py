@@ -61,7 +61,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 _SAVED: set = set()
-_SAVE_LOCK = threading.Lock()
+_SAVE_LOCK = threading.RLock()  # re-entrant: a stored table may build from another
 
 
 def saved_table(spark: SparkSession, key: str, build) -> DataFrame:
