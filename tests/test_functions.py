@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from bizlens.functions.calendar import day_name, iso_yearweek, minutes_between, month_name, seven_day_week, sunday_week
 from bizlens.functions.lists import ordered_list
