@@ -103,3 +103,27 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_queries() -> dict[str, str]:
     return {name: with_views(q.sql) for name, q in load_all().items() if q.sql}
+
+
+DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "runner_orders", "ratings", "runners",
+                 "pizza_names", "pizza_recipes", "pizza_recipes_csv", "pizza_toppings", "subscriptions", "plans",
+                 "customer_transactions", "customer_nodes", "regions", "weekly_sales", "click_events", "users",
+                 "page_hierarchy", "event_identifier", "campaign_identifier", "interest_metrics",
+                 "interest_metrics_dated", "interest_map")
+
+
+def register_views(spark: SparkSession, sf_dir: str, queries: bool = True) -> list[str]:
+    """CREATE VIEW for every domain table and (optionally) every query result,
+    as temporary views of this session, so they can also be used from SQL.
+    Views are lazy: nothing runs until a query reads them (stored domain tables
+    are written on first use)."""
+    d = domain_for(spark, sf_dir)
+    names = []
+    for t in DOMAIN_TABLES:
+        getattr(d, t).createOrReplaceTempView(t)
+        names.append(t)
+    if queries:
+        for name, q in load_all().items():
+            q.fn(d).createOrReplaceTempView(name)
+            names.append(name)
+    return names

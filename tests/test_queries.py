@@ -32,3 +32,13 @@ def test_entry_contract(spark):
     assert df.columns[:3] == ["user_id", "visit_id", "visit_start_time"]
     assert df.count() > 0
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+def test_register_views_supports_sql(spark, small_dir):
+    from bizlens.plans import register_views
+    names = register_views(spark, small_dir, queries=False)
+    assert "order_member_status" not in names and "sales" in names
+    n = spark.sql("SELECT COUNT(*) FROM sales s JOIN menu m ON s.product_id = m.product_id").first()[0]
+    assert n == spark.read.parquet(f"{small_dir}/lineitem.parquet").count()
+    register_views(spark, small_dir)
+    assert spark.sql("SELECT COUNT(*) FROM order_member_status").first()[0] == n
