@@ -69,8 +69,10 @@ def saved_table(spark: SparkSession, key: str, build) -> DataFrame:
     folder and read back: the CREATE TABLE AS SELECT of the original scripts.
     Later queries read the written files, so their plans start from a short
     lineage and a lost executor costs a re-read, not a recomputation."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{key}"
-    token = (spark.sparkContext.applicationId, path)
+    app = spark.sparkContext.applicationId
+    # per application: concurrent jobs sharing the checkpoint folder never overwrite each other
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{app}/{key}"
+    token = (app, path)
     if token not in _SAVED:
         with _SAVE_LOCK:  # queries built from several threads write each table once
             if token not in _SAVED:
