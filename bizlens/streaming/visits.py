@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizlens.functions.calendar import wall_clock_instant
+from bizlens.functions.lists import ordered_list
 from bizlens.sources.domain import click_events_from_events
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -17,21 +18,28 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int =
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
 
 
-def visit_rollup(events: DataFrame, campaigns: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def visit_rollup(events: DataFrame, campaigns: DataFrame, pages_lookup: DataFrame,
+                 lateness: str = "1 hour") -> DataFrame:
     """One row per visit (user-day) once the watermark passes the day's end:
-    start time, page views, cart adds, purchase flag, impressions, clicks and
-    the campaign running at the visit's start (stream-static range join to a
-    small, broadcast campaign table)."""
+    start time, page views, cart adds, purchase flag, impressions, clicks, the
+    ordered list of products added to the cart, and the campaign running at the
+    visit's start (stream-static range join to a small, broadcast campaign
+    table)."""
     # watermarks need a zoned timestamp: one whose UTC day is the visit's day
     ev = (click_events_from_events(events, keep=("user_id",))
           .withColumn("__ts", wall_clock_instant("event_time")).withWatermark("__ts", lateness))
     et = F.col("event_type")
+    pages = F.broadcast(pages_lookup)
+    ev = ev.join(pages, "page_id", "left").withColumn(
+        "__item", F.when(F.col("product_id").isNotNull() & (et == CART), F.col("page_name")))
     visits = ev.groupBy(F.window("__ts", "1 day").alias("day"), "user_id", "visit_id").agg(
         F.min("event_time").alias("visit_start_time"),
         F.count_if(et == VIEW).alias("page_views"), F.count_if(et == CART).alias("cart_adds"),
         F.max((et == PURCHASE).cast("bigint")).alias("purchase"),
-        F.count_if(et == IMPRESSION).alias("impression"), F.count_if(et == CLICK).alias("click"))
+        F.count_if(et == IMPRESSION).alias("impression"), F.count_if(et == CLICK).alias("click"),
+        # in-visit order = (event time, event id), the order the sequence number encodes
+        ordered_list("__item", ["event_time", "event_id"]).alias("cart_products"))
     within = F.col("visit_start_time").between(F.col("start_date"), F.col("end_date"))
     return visits.join(F.broadcast(campaigns), within, "left").select(
         "user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase", "campaign_name",
-        "impression", "click")
+        "impression", "click", "cart_products")
