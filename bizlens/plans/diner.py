@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from bizlens.operators.aggregate import total_by
 from bizlens.operators.ordered import rank_by
 from bizlens.operators.rank import top_k, top_per_group
-from bizlens.operators.temporal import extreme_rows, nearest_event
+from bizlens.operators.temporal import extreme_rows, nearest_event, status_at
 from bizlens.plans import query
 from bizlens.sources.domain import Domain
 
@@ -196,9 +196,9 @@ def points_first_week_intended(d: Domain) -> DataFrame:
 
 
 def _member_status(d: Domain) -> DataFrame:
-    j = d.sales.join(d.members, "customer_id", "left").join(d.menu, "product_id")
-    member = F.when(F.col("order_date") >= F.col("join_date"), "Y").otherwise("N")
-    return j.select("customer_id", "order_date", "product_name", "price", member.alias("member"))
+    flagged = status_at(d.sales, d.members, "customer_id", "order_date", "join_date", "member")
+    return flagged.join(d.menu, "product_id").select("customer_id", "order_date", "product_name", "price",
+                                                     "member")
 
 
 _STATUS_SQL = """
