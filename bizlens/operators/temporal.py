@@ -77,7 +77,8 @@ def status_at(events: DataFrame, anchors: DataFrame, key: str, ts: str, anchor_t
               out: str = "member", yes: str = "Y", no: str = "N") -> DataFrame:
     """Every event with a flag telling whether its entity had reached its
     anchor (e.g. joined the programme) at the event's time; entities without
-    an anchor are ``no``. A left equi join on the entity, no window."""
+    an anchor are ``no``. ``anchors`` has one row per entity. A left equi join
+    on the entity, no window."""
     a = anchors.select(F.col(key).alias("__k"), F.col(anchor_ts).alias("__at"))
     j = events.join(a, F.col(key) == F.col("__k"), "left")
     return j.withColumn(out, F.when(F.col(ts) >= F.col("__at"), yes).otherwise(no)).drop("__k", "__at")
