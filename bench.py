@@ -1,8 +1,9 @@
 """Benchmark: run the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full through the ``noop`` sink (the whole plan runs,
-nothing is collected to the driver). One warm-up query runs first. Prints one
-JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf", ...}.
+nothing is collected to the driver). One warm-up query runs first, then the
+stored domain tables are built once (``prepare_sec``, included in ``value``).
+Prints one JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf", ...}.
 
 BENCH_QUERIES=all (default) runs every registered query; BENCH_QUERIES=headline
 runs the headline set only; a comma list runs those names.
@@ -47,6 +48,13 @@ def main() -> None:
         return time.perf_counter() - t0
 
     run(names[0])  # warm-up: JVM, code generation caches
+    # build the stored domain tables once (the ETL the queries read), timed apart
+    from bizlens.plans import STORED_TABLES, domain_for
+    t0 = time.perf_counter()
+    d = domain_for(spark, sf_dir)
+    for t in STORED_TABLES:
+        getattr(d, t)
+    prepare = time.perf_counter() - t0
     times, failed = {}, {}
     for n in names:
         try:
@@ -57,11 +65,12 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_query_time" if which == "all" else "headline_query_time",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(times.values()) + prepare, 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "n_queries": len(times),
+        "prepare_sec": round(prepare, 3),
         "headline_sec": round(sum(head), 3),
         "cpus": cpus,
     }

@@ -105,6 +105,10 @@ def oracle_queries() -> dict[str, str]:
     return {name: with_views(q.sql) for name, q in load_all().items() if q.sql}
 
 
+# domain tables stored once per session (see Domain); the rest are lazy views
+STORED_TABLES = ("sales", "customer_orders", "customer_nodes", "weekly_sales", "click_events", "users",
+                 "interest_metrics_dated")
+
 DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "runner_orders", "ratings", "runners",
                  "pizza_names", "pizza_recipes", "pizza_recipes_csv", "pizza_toppings", "subscriptions", "plans",
                  "customer_transactions", "customer_nodes", "regions", "weekly_sales", "click_events", "users",

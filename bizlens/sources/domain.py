@@ -80,8 +80,9 @@ class Domain:
 
     Tables whose derivation joins, aggregates or numbers rows (``sales``,
     ``customer_orders``, ``customer_nodes``, ``weekly_sales``, ``click_events``,
-    ``users``) are stored once per session as parquet under the checkpoint
-    folder, as the original keeps them as tables; queries then read them with
+    ``users``) and the retyped metrics (the original's ALTER TABLE) are stored
+    once per session as parquet under the checkpoint folder, as the original
+    keeps them as tables; queries then read them with
     column pruning instead of re-deriving them. Single-table projections stay
     lazy views."""
 
@@ -355,6 +356,9 @@ class Domain:
 
     @cached_property
     def interest_metrics_dated(self) -> DataFrame:
+        return self.saved("interest_metrics_dated", self._build_interest_metrics_dated)
+
+    def _build_interest_metrics_dated(self) -> DataFrame:
         """S8-1: ``month_year`` as the DATE of the month start."""
         return self.interest_metrics.withColumn(
             "month_year", F.to_date(F.concat(F.lit("01-"), F.col("month_year")), "dd-MM-yyyy"))
