@@ -94,13 +94,14 @@ def minutes_between(start, end) -> Column:
     return ((wall_seconds(end) - wall_seconds(start)) / 60).cast("bigint")
 
 
-_TS_TEXT = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})[ T](\d{1,2}):(\d{1,2}):(\d{1,2})\s*$"
+_TS_TEXT = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$"
 
 
 def parse_timestamp_ntz(c) -> Column:
-    """Lenient ``yyyy-MM-dd HH:mm:ss`` text -> timestamp without time zone.
-    Anything else (``'null'``, ``''``, impossible dates) -> NULL. Built from
-    the fields, so no session time zone (and no DST gap) is involved."""
-    c = _col(c)
-    part = [F.regexp_extract(c, _TS_TEXT, i).try_cast("int") for i in range(1, 7)]
-    return F.try_make_timestamp_ntz(*part)
+    """``yyyy-MM-dd HH:mm:ss`` text (surrounding blanks allowed) -> timestamp
+    without time zone; anything else (``'null'``, ``''``, impossible dates) ->
+    NULL. One pattern test, then the fields by position; built from the fields,
+    so no session time zone (and no DST gap) is involved."""
+    t = F.trim(_col(c))
+    part = [F.substring(t, pos, n).try_cast("int") for pos, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))]
+    return F.when(t.rlike(_TS_TEXT), F.try_make_timestamp_ntz(*part))
