@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -83,3 +83,22 @@ def avg_half_up(value: Column, scale: int, digits: int) -> Column:
     n = F.count(value)
     rounded = F.floor((2 * s + n * unit) / (2 * n * unit))
     return F.when(n > 0, rounded / 10 ** digits).cast("double")
+
+
+APPROX_DISTINCT_CONF = "spark.bizlens.approxDistinct"
+APPROX_DISTINCT_RSD_CONF = "spark.bizlens.approxDistinctRsd"
+
+
+def distinct_count(col) -> Column:
+    """Aggregate: number of distinct values. Exact by default (what the oracle
+    checks); with ``spark.bizlens.approxDistinct=true`` in the session it is
+    ``approx_count_distinct`` (HyperLogLog++, relative error
+    ``spark.bizlens.approxDistinctRsd``, default 0.01): a fixed-size sketch per
+    task and group instead of shuffling every distinct value, for entity counts
+    over very large inputs. Counts that decide membership (thresholds) should
+    stay exact and use ``F.count_distinct``."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(APPROX_DISTINCT_CONF, "false").lower() == "true":
+        rsd = float(spark.conf.get(APPROX_DISTINCT_RSD_CONF, "0.01"))
+        return F.approx_count_distinct(col, rsd)
+    return F.count_distinct(col)

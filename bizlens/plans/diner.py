@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.operators.aggregate import total_by
+from bizlens.operators.aggregate import distinct_count, total_by
 from bizlens.operators.ordered import rank_by
 from bizlens.operators.rank import top_k, top_per_group
 from bizlens.operators.temporal import extreme_rows, nearest_event, status_at
@@ -41,7 +41,7 @@ def spend_per_customer(d: Domain) -> DataFrame:
 SELECT customer_id, COUNT(DISTINCT order_date) AS no_of_days_visited FROM sales GROUP BY customer_id""")
 def visit_days(d: Domain) -> DataFrame:
     """D1-2: distinct visit days per customer."""
-    return total_by(d.sales, "customer_id", no_of_days_visited=F.count_distinct("order_date"))
+    return total_by(d.sales, "customer_id", no_of_days_visited=distinct_count("order_date"))
 
 
 @query("first_items", """
@@ -129,7 +129,7 @@ WHERE s.order_date < mb.join_date GROUP BY s.customer_id""")
 def pre_member_totals(d: Domain) -> DataFrame:
     """D1-8 as written: distinct items and spend before joining."""
     return total_by(_pre_member(d), "customer_id",
-                    total_items=F.count_distinct("product_id"), amount_spent=F.sum("price"))
+                    total_items=distinct_count("product_id"), amount_spent=F.sum("price"))
 
 
 @query("pre_member_totals_intended", """

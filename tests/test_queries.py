@@ -42,3 +42,16 @@ def test_register_views_supports_sql(spark, small_dir):
     assert n == spark.read.parquet(f"{small_dir}/lineitem.parquet").count()
     register_views(spark, small_dir)
     assert spark.sql("SELECT COUNT(*) FROM order_member_status").first()[0] == n
+
+
+def test_approximate_distinct_counts_are_opt_in(spark, small_dir):
+    exact = QUERIES["customers_ever"](spark, small_dir).first()[0]
+    plan = QUERIES["customers_ever"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "approx_count_distinct" not in plan
+    spark.conf.set("spark.bizlens.approxDistinct", "true")
+    try:
+        df = QUERIES["customers_ever"](spark, small_dir)
+        assert "approx_count_distinct" in df._jdf.queryExecution().executedPlan().toString()
+        assert abs(df.first()[0] - exact) <= 0.03 * exact
+    finally:
+        spark.conf.unset("spark.bizlens.approxDistinct")
