@@ -33,7 +33,8 @@ def main() -> None:
     from bizlens.plans import spark_queries
     from bizlens.session import local_session
 
-    spark = local_session(cpus, max(2 * cpus, 8), app="bizlens-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(2 * cpus, 8))))
+    spark = local_session(cpus, parts, app="bizlens-bench")
     qs = spark_queries()
     if which == "all":
         names = sorted(qs)
