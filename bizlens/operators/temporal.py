@@ -1,10 +1,11 @@
 """As-of (nearest event), status at a date, state transitions and durations.
 
 Spark has no as-of join operator. ``nearest_event`` is written as an equi
-join on the entity key with the time inequality as a join filter, reduced by
-an aggregate (min or max time per key) and joined back on (key, time) so that
-ties are kept. Unlike a window, the reduction aggregates map-side, so a key
-holding a third of all events is pre-reduced in every task before the shuffle.
+join on the entity key with the time inequality as a join filter, then a
+``rank() == 1`` per key (ties kept). Spark plans that filter as a partial
+WindowGroupLimit before the shuffle and a final one after it: every task
+forwards only its nearest rows of each key, so a key holding a third of all
+events is reduced in every task, and the input is read once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.rank import top_per_group
+
 
 def nearest_event(events: DataFrame, anchors: DataFrame, key: str, ts: str, anchor_ts: str,
                   direction: str = "after", inclusive: bool = False) -> DataFrame:
@@ -25,22 +28,22 @@ def nearest_event(events: DataFrame, anchors: DataFrame, key: str, ts: str, anch
     a = anchors.select(F.col(key).alias("__k"), F.col(anchor_ts).alias("__at"))
     if direction == "after":
         cond = F.col(ts) >= F.col("__at") if inclusive else F.col(ts) > F.col("__at")
-        pick = F.min(ts)
+        order = F.asc(ts)
     elif direction == "before":
         cond = F.col(ts) <= F.col("__at") if inclusive else F.col(ts) < F.col("__at")
-        pick = F.max(ts)
+        order = F.desc(ts)
     else:
         raise ValueError(direction)
     cand = e.join(a, (F.col(key) == F.col("__k")) & cond).drop("__k", "__at")
-    best = cand.groupBy(key).agg(pick.alias(ts))
-    return cand.join(best, [key, ts], "left_semi")
+    return top_per_group(cand, [key], [order], 1, ties=True)
 
 
 def extreme_rows(df: DataFrame, key: str, ts: str, which: str = "first") -> DataFrame:
-    """All rows of each key at its first (or last) ``ts``; ties kept. An
-    aggregate joined back, so hot keys are reduced map-side."""
-    pick = F.min(ts) if which == "first" else F.max(ts)
-    return df.join(df.groupBy(key).agg(pick.alias(ts)), [key, ts], "left_semi")
+    """All rows of each key at its first (or last) ``ts``; ties kept. A rank
+    filter with partial WindowGroupLimit: hot keys are reduced in every task
+    before the shuffle, and the input is read once."""
+    order = F.asc(ts) if which == "first" else F.desc(ts)
+    return top_per_group(df, [key], [order], 1, ties=True)
 
 
 def first_time_in_state(df: DataFrame, key: str, state: str, ts: str, states: dict) -> DataFrame:
