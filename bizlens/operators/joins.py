@@ -18,23 +18,32 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 10_000
 
 
+_UNITS = {"day": ("DD", "1 day"), "month": ("MM", "1 month"), "year": ("YEAR", "1 year")}
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str, end: str,
                   how: str = "left", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                  interval_rows: int | None = None) -> DataFrame:
+                  interval_rows: int | None = None, bucket: str = "day") -> DataFrame:
     """``interval_rows`` is a known bound on the interval side (e.g. a fixed
-    lookup); without it the side is counted first."""
+    lookup); without it the side is counted first. ``bucket`` (day, month or
+    year) sets the bucket size of the large-side path: coarser buckets suit
+    long intervals (fewer exploded rows), finer ones short intervals (fewer
+    candidate pairs per bucket)."""
     within = F.col(ts).between(F.col(start), F.col(end))
     n = interval_rows if interval_rows is not None else intervals.count()
     if n <= broadcast_max_rows:
         return points.join(F.broadcast(intervals), within, how)
     # clip each interval to the days the points cover, so an open-ended interval
     # (e.g. ending 9999-12-31) expands to at most the points' span, not millennia
-    span = points.agg(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi"))
+    unit, step = _UNITS[bucket]
+    trunc = lambda c: F.trunc(F.to_date(c), unit) if bucket != "day" else F.to_date(c)
+    span = points.agg(F.min(trunc(ts)).alias("lo"), F.max(trunc(ts)).alias("hi"))
     iv = intervals.withColumns({"__lo": span.select("lo").scalar(), "__hi": span.select("hi").scalar()})
-    iv = iv.withColumns({"__first": F.greatest(F.to_date(start), F.col("__lo")),
-                         "__last": F.least(F.to_date(end), F.col("__hi"))})
-    iv = (iv.withColumn("__day", F.explode(F.when(F.col("__first") <= F.col("__last"),
-                                                   F.sequence(F.col("__first"), F.col("__last")))))
+    iv = iv.withColumns({"__first": F.greatest(trunc(start), F.col("__lo")),
+                         "__last": F.least(trunc(end), F.col("__hi"))})
+    iv = (iv.withColumn("__day", F.explode(F.when(
+              F.col("__first") <= F.col("__last"),
+              F.sequence(F.col("__first"), F.col("__last"), F.expr(f"INTERVAL {step}")))))
           .drop("__lo", "__hi", "__first", "__last"))
-    p = points.withColumn("__pday", F.to_date(ts))
+    p = points.withColumn("__pday", trunc(ts))
     return p.join(iv, (F.col("__pday") == F.col("__day")) & within, how).drop("__day", "__pday")

@@ -169,3 +169,17 @@ def test_reference_gap_not_in_semantics(spark):
     assert sorted(r.k for r in reference_gap(left, right, "k", "k2", null_aware=True).collect()) == [2]
     got = sorted((r.k is None, r.k) for r in reference_gap(left, right_null, "k", "k2").collect())
     assert got == [(False, 2), (True, None)]                                           # NOT EXISTS keeps NULL
+
+
+def test_interval_join_bucket_sizes_agree(spark):
+    pts = spark.createDataFrame([(i, dt.datetime(2023, 1, 1) + dt.timedelta(days=37 * i, hours=i))
+                                 for i in range(20)], "id int, ts timestamp_ntz")
+    iv = spark.createDataFrame([("a", dt.datetime(2023, 2, 1), dt.datetime(2023, 9, 15, 12)),
+                                ("b", dt.datetime(2023, 6, 1), dt.datetime(9999, 12, 31)),
+                                ("c", dt.datetime(2024, 3, 3), dt.datetime(2024, 3, 4))],
+                               "name string, s timestamp_ntz, e timestamp_ntz")
+    want = sorted((r.id, r.name or "") for r in interval_join(pts, iv, "ts", "s", "e").collect())
+    for b in ("day", "month", "year"):
+        got = sorted((r.id, r.name or "") for r in
+                     interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0, bucket=b).collect())
+        assert got == want, b
