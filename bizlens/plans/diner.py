@@ -220,7 +220,9 @@ SELECT *, CASE WHEN member = 'N' THEN NULL
 FROM ({_STATUS_SQL}) t""")
 def member_order_ranking(d: Domain) -> DataFrame:
     """D1-12: + rank of the member's orders by date, NULL before membership."""
-    ranked = rank_by(_member_status(d), ["customer_id", "member"], "order_date", "ranking")
-    return ranked.withColumn("ranking", F.when(F.col("member") == "N", F.lit(None)).otherwise(F.col("ranking"))
-                             .cast("bigint")).select("customer_id", "order_date", "product_name", "price",
-                                                     "member", "ranking")
+    # only member rows are ranked; the others pass through with a NULL rank, unshuffled
+    cols = ["customer_id", "order_date", "product_name", "price", "member", "ranking"]
+    status = _member_status(d)
+    ranked = rank_by(status.filter(F.col("member") == "Y"), ["customer_id", "member"], "order_date", "ranking")
+    others = status.filter(F.col("member") != "Y").withColumn("ranking", F.lit(None).cast("bigint"))
+    return ranked.select(*cols).unionByName(others.select(*cols))
