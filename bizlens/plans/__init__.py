@@ -49,7 +49,8 @@ def _all_views() -> dict[str, str]:
 
 
 def _refs(sql: str, names) -> set[str]:
-    return {n for n in names if re.search(rf"\b{re.escape(n)}\b", sql)}
+    """Views used as tables (after FROM or JOIN) in ``sql``."""
+    return {n for n in names if re.search(rf"(?i)\b(?:from|join)\s+{re.escape(n)}\b", sql)}
 
 
 def with_views(sql: str) -> str:
