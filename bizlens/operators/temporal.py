@@ -65,10 +65,17 @@ def time_in_state(df: DataFrame, start: str, end: str, open_end: str = "9999-12-
             .withColumn("days", F.datediff(F.col(end), F.col(start))))
 
 
+APPROX_PERCENTILE_CONF = "spark.bizlens.approxPercentile"
+
+
 def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict,
-                   approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                   approx: bool | None = None, accuracy: int = 10000) -> DataFrame:
     """Percentiles of ``value`` per group; exact (linear interpolation,
-    like ``quantile_cont``) or ``approx_percentile`` for very large groups."""
+    like ``quantile_cont``) or ``percentile_approx`` (a fixed-size sketch per
+    task and group) for high-cardinality values. ``approx=None`` follows the
+    session setting ``spark.bizlens.approxPercentile`` (default false)."""
+    if approx is None:
+        approx = df.sparkSession.conf.get(APPROX_PERCENTILE_CONF, "false").lower() == "true"
     if approx:
         aggs = [F.percentile_approx(value, p, accuracy).alias(n) for n, p in ps.items()]
     else:

@@ -183,3 +183,16 @@ def test_interval_join_bucket_sizes_agree(spark):
         got = sorted((r.id, r.name or "") for r in
                      interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0, bucket=b).collect())
         assert got == want, b
+
+
+def test_percentiles_exact_and_approximate(spark):
+    from bizlens.operators.temporal import percentiles_by
+    df = spark.createDataFrame([("a", float(i)) for i in range(101)], "g string, v double")
+    exact = percentiles_by(df, ["g"], "v", {"p50": 0.5, "p95": 0.95}).first()
+    assert (exact.p50, exact.p95) == (50.0, 95.0)
+    spark.conf.set("spark.bizlens.approxPercentile", "true")
+    try:
+        approx = percentiles_by(df, ["g"], "v", {"p50": 0.5}).first()
+        assert abs(approx.p50 - 50) <= 1
+    finally:
+        spark.conf.unset("spark.bizlens.approxPercentile")
