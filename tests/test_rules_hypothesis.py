@@ -46,3 +46,19 @@ def test_parse_measure_takes_the_leading_number(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(parse_measure("t")).collect()]
     assert got == [_leading_number(t) for t in texts]
+
+
+DATES = st.lists(st.dates(min_value=__import__("datetime").date(1900, 1, 1),
+                          max_value=__import__("datetime").date(2100, 12, 31)), min_size=1, max_size=60)
+
+
+@settings(max_examples=15, deadline=None)
+@given(DATES)
+def test_calendar_rules_match_python(spark, days):
+    from bizlens.functions.calendar import day_name, iso_yearweek, month_name, seven_day_week, sunday_week
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = df.select(sunday_week("d"), iso_yearweek("d"), day_name("d"), month_name("d"), seven_day_week("d")).collect()
+    for d, r in zip(days, got):
+        iso = d.isocalendar()
+        assert tuple(r) == (int(d.strftime("%U")), iso[0] * 100 + iso[1], d.strftime("%A"), d.strftime("%B"),
+                            (d.timetuple().tm_yday + 6) // 7)
