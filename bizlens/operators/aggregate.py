@@ -74,13 +74,15 @@ def pct_of_entities(df: DataFrame, entity: str, predicate: Column, digits: int |
     return pct(hits, pop, digits)
 
 
-def avg_half_up(value: Column, scale: int, digits: int) -> Column:
+def avg_half_up(value: Column, scale: int, digits: int, weight: Column | None = None) -> Column:
     """Aggregate: mean of ``value`` (a number with at most ``scale`` decimals)
     rounded half-up to ``digits`` decimals, computed exactly in integers so the
-    result does not depend on the summation order of floating point."""
+    result does not depend on the summation order of floating point. With
+    ``weight`` each row counts ``weight`` times (rows pre-aggregated upstream)."""
     unit = 10 ** (scale - digits)
-    s = F.sum(F.round(value * 10 ** scale).cast("bigint"))
-    n = F.count(value)
+    w = F.lit(1) if weight is None else weight
+    s = F.sum(F.round(value * 10 ** scale).cast("bigint") * w)
+    n = F.sum(F.when(value.isNotNull(), w).otherwise(0))
     rounded = F.floor((2 * s + n * unit) / (2 * n * unit))
     return F.when(n > 0, rounded / 10 ** digits).cast("double")
 
