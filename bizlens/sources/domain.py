@@ -282,8 +282,8 @@ class Domain:
              .join(c, F.col("o_custkey") == c.c_custkey)
              .join(n, F.col("c_nationkey") == n.n_nationkey)
              .join(r, F.col("n_regionkey") == r.r_regionkey))
-        return j.groupBy(
-            ymd_text(F.date_trunc("week", "o_orderdate")).alias("week_date"),
+        g = j.groupBy(
+            F.to_date(F.date_trunc("week", "o_orderdate")).alias("__week"),
             F.col("r_name").alias("region"),
             F.when(F.col("l_linestatus") == "O", "Shopify").otherwise("Retail").alias("platform"),
             (F.when(seg == "AUTOMOBILE", "C1").when(seg == "BUILDING", "C2")
@@ -293,6 +293,9 @@ class Domain:
              .otherwise("Guest")).alias("customer_type"),
         ).agg(F.count("*").cast("int").alias("transactions"),
               F.sum(F.round("l_extendedprice").cast("bigint")).alias("sales"))
+        # the week start is grouped as a date and written as text once per group
+        return g.select(ymd_text("__week").alias("week_date"), "region", "platform", "segment",
+                        "customer_type", "transactions", "sales")
 
     # ------------------------------------------------------------ clickstream
     @cached_property
