@@ -196,3 +196,11 @@ def test_percentiles_exact_and_approximate(spark):
         assert abs(approx.p50 - 50) <= 1
     finally:
         spark.conf.unset("spark.bizlens.approxPercentile")
+
+
+def test_status_at_flags_events_by_anchor(spark):
+    from bizlens.operators.temporal import status_at
+    ev = spark.createDataFrame([(1, D(2021, 1, 6)), (1, D(2021, 1, 7)), (2, D(2021, 1, 9))], "k int, t date")
+    anchors = spark.createDataFrame([(1, D(2021, 1, 7))], "k int, at date")
+    got = sorted(tuple(r) for r in status_at(ev, anchors, "k", "t", "at").collect())
+    assert got == [(1, D(2021, 1, 6), "N"), (1, D(2021, 1, 7), "Y"), (2, D(2021, 1, 9), "N")]
