@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 2 << 20
@@ -46,7 +47,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
     longer single text is a range of its own)."""
     if not len(texts):
         return
-    size = np.cumsum(np.array([0 if x is None else x for x in pa.compute.binary_length(texts).to_pylist()], np.int64))
+    size = np.cumsum(np.array([0 if x is None else x for x in pc.binary_length(texts).to_pylist()], np.int64))
     start = 0
     while start < len(texts):
         before = size[start - 1] if start else 0
