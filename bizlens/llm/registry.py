@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bizlens.llm.bpe import op9_byte_bpe
+from bizlens.llm.ctph import op7_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_fingerprints": op7_fingerprints,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
