@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bizlens.llm.bpe import op9_byte_bpe
 from bizlens.llm.ctph import op7_fingerprints
+from bizlens.llm.itq import op8_embedding_duplicates
+from bizlens.llm.langid import op10_language
+from bizlens.llm.secret_scan import op4_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secrets": op4_secrets,
     "op7_fingerprints": op7_fingerprints,
+    "op8_embedding_duplicates": op8_embedding_duplicates,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_language": op10_language,
 }
 
 ORACLES: dict[str, str] = {}
