@@ -10,10 +10,12 @@ from bizlens.llm.bpe import op9_byte_bpe
 from bizlens.llm.ctph import op7_fingerprints
 from bizlens.llm.itq import op8_embedding_duplicates
 from bizlens.llm.langid import op10_language
+from bizlens.llm.packing import op1_packing
 from bizlens.llm.ppm import op6_ppm_scores
 from bizlens.llm.secret_scan import op4_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op4_secrets": op4_secrets,
     "op6_ppm_scores": op6_ppm_scores,
     "op7_fingerprints": op7_fingerprints,
