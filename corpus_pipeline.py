@@ -1,15 +1,60 @@
-"""Corpus pipeline over ``documents``: each stage takes what its predecessor
-kept, as Parquet, and all but the last return the columns of ``documents``."""
+"""Corpus pipeline over ``documents``: language identification, n-gram Jaccard
+join, pseudonyms, packing. Each stage takes what its predecessor kept, as
+Parquet, and all but the last return the columns of ``documents``.
+
+Defined results: the language stage drops texts whose language can't be told
+(null texts and texts without a letter) and nothing else; of each group of near
+duplicates the document of least id stays, documents without words have no
+group and stay, and repeated rows of one id and text stay once; in texts that
+change, ``n_chars`` is counted anew. Rows without an id are kept or dropped
+together, as nothing tells them apart. Empty tables pass through.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bizlens.llm import jaccard, langid, packing, pii
 from bizlens.llm.common import documents, stored
 
-STAGES: list = []
 
-#: No SQL can express the stages' methods; tests hold them against brute force.
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: keeps the documents whose language can be told. The
+    labelled text to learn from is that of the documents at hand."""
+    told = langid.identify(docs, langid.learn(docs))
+    return told.where(F.col("lang_pred") != "und").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2 on shingles of five words at a Jaccard similarity of 0.8 or
+    more: one document of each group stays."""
+    found = stored(jaccard.jaccard_components(docs, shingle=5, percent=80), "groups")
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
+    once = docs.join(keep.where("rows = 1"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    repeated = keep.where("rows > 1")
+    if repeated.isEmpty():
+        return once
+    more = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return once.unionByName(more.dropDuplicates(["doc_id", "text"]))
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: validated personal data is replaced by pseudonyms."""
+    made = pii.pseudonyms(docs)
+    changed = F.col("pii_count") > 0
+    return made.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: the pieces of every document and their places in sequences."""
+    import public_tokenizers as vocabularies
+
+    return packing.pack_documents(docs, vocabularies.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("pseudonyms", pseudonyms), ("packing", packed)]
+
+#: SQL can't express the stages' methods; tests hold each stage against a plain form.
 ORACLE_SQL = None
 
 
