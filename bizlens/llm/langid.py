@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from bizlens.llm.common import crc_mod, documents, py_texts, slices
 
@@ -175,7 +176,7 @@ def learn(docs: DataFrame, train=None, text_col: str = "text", lang_col: str = "
 
 def identify(docs: DataFrame, samples: tuple, text_col: str = "text") -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``bits`` (normalised phrases) to every row."""
-    schema = docs.schema
+    schema = StructType(list(docs.schema.fields))
     at = docs.columns.index(text_col)
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits", "double")):
         schema = schema.add(name, kind) if name not in docs.columns else schema
