@@ -13,9 +13,9 @@ positions is at least 2^-16, at any size of the corpus, so the trie has at most
 once, so a text is scored by a few table look-ups a byte.
 
 Beside it: tokens (words, then one end) with additive smoothing over counts of
-all training tokens. Frequent tokens (at most ``TABLE``, those whose count is
-at least the least power of two that allows it) are looked up in a sent table;
-all the others are joined to the counts, so every token gets its exact count.
+all training tokens. Tokens whose share of these is at least 1 / ``TABLE`` (so
+at most ``TABLE`` tokens, at any size of the corpus) are looked up in a sent
+table; all others are joined to the counts, so every token gets its exact count.
 
 Defined results: null text counts as empty, which has one token, its end; a
 null id is never held out; with nothing to learn from, tokens are unknown and
@@ -195,13 +195,8 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     counts = stored(texts.select(F.col(text_col).alias("text")).mapInArrow(_count, "kind int, key long, n long")
                     .groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     tokens, g = counts.where("kind = 0").select("key", "n"), counts.where("kind = 1")
-    sizes = tokens.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("types"), F.sum("n").alias("n")).collect()
-    least, held = 1 << 62, 0
-    for r in sorted(sizes, key=lambda r: -r["k"]):
-        held += r["types"]
-        if held > TABLE:
-            break
-        least = 1 << r["k"]
+    total, types = (x or 0 for x in tokens.agg(F.sum("n"), F.count("*")).first())
+    least = -(-total // TABLE)
     top = tokens.where(F.col("n") >= least).toArrow()
     keys, n = (top[c].to_numpy() for c in ("key", "n"))
     by_key = np.argsort(keys)
@@ -216,7 +211,7 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
         level = level.toArrow()
         counted.append((level["key"].to_numpy(), level["n"].to_numpy()))
     trie = build_trie(counted)
-    return Model(trie, tokens, (keys[by_key], n[by_key]), least, sum(r["n"] for r in sizes), sum(r["types"] for r in sizes))
+    return Model(trie, tokens, (keys[by_key], n[by_key]), least, total, types)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,7 +248,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 cut = np.searchsorted(rare[first, 0], np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k + np.arange(n, dtype=np.int64)), b.column(0).slice(lo, n), pa.array(w.per_text + 1),
-                     pa.array(np.bincount(text[known], minlength=n).astype(np.int64)), pa.array(base), pa.array(trie.score(tables, data, offsets)),
+                     pa.array(np.bincount(text[known], minlength=n).astype(np.int64)), pa.array(base.astype(np.float64)), pa.array(trie.score(tables, data, offsets)),
                      pa.ListArray.from_arrays(cut, pa.array(rare[first, 1])), pa.ListArray.from_arrays(cut, pa.array(times))],
                     ["row", "id", "n_tokens", "n_known", "base", "score", "rare", "times"])
                 k += n
