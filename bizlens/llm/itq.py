@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from bizlens.llm.common import stored
 from bizlens.llm.components import components
 
-SAMPLE, BITS, TABLES, ROUNDS, BLOCK = 20_000, 16, 28, 30, 1024
+SAMPLE, BITS, TABLES, ROUNDS, BLOCK = 20_000, 12, 32, 30, 1024
 
 
 def learn_rotations(x: np.ndarray, bits: int, rounds: int = ROUNDS, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
