@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES, BATCH_ROWS = 1 << 20, 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows in this session: a batch is
+    held by the JVM and by the Python worker at once, and texts are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage is
     cut, and a lost executor costs a read of the written files."""
@@ -87,6 +95,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 

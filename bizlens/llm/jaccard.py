@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from bizlens.llm.common import documents, mix64, slices, stored
+from bizlens.llm.common import documents, mix64, slices, small_batches, stored
 from bizlens.llm.components import components
 from bizlens.llm.textbytes import text_bytes, words
 
@@ -230,6 +230,7 @@ def _verified(percent: int):
 def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``n_shingles`` and ``component_id`` for every row. ``percent``: the
     least Jaccard similarity in hundredths, compared exactly."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

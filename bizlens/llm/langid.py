@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from bizlens.llm.common import crc_mod, documents, py_texts, slices
+from bizlens.llm.common import crc_mod, documents, py_texts, slices, small_batches
 
 TRAIN_CHARS, TOTAL_CHARS, PIECE, STRETCH = 24_000, 400_000, 400, 2048
 SPACE = 0
@@ -176,6 +176,7 @@ def learn(docs: DataFrame, train=None, text_col: str = "text", lang_col: str = "
 
 def identify(docs: DataFrame, samples: tuple, text_col: str = "text") -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``bits`` (normalised phrases) to every row."""
+    small_batches(docs.sparkSession)
     schema = StructType(list(docs.schema.fields))
     at = docs.columns.index(text_col)
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits", "double")):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from bizlens.llm.common import documents, py_texts, slices, stored
+from bizlens.llm.common import documents, py_texts, slices, small_batches, stored
 from bizlens.llm.piece_cache import PieceCache, words
 
 CAPACITY = 4096
@@ -164,6 +164,7 @@ def _cache(path: str) -> PieceCache:
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, most: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of at most ``most`` ids of every document: id, piece, start, length,
     crc of the ids, and ``task`` and ``nth`` for ``pack``. Stored, as a rerun would number otherwise."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from bizlens.llm.common import documents, slices
+from bizlens.llm.common import documents, slices, small_batches
 
 KEY = b"set a secret key of your own in production"
 ROUNDS = 10
@@ -210,6 +210,7 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str,
 def pseudonyms(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataFrame:
     """``docs`` with its texts pseudonymised, and ``pii_count`` and ``pii_spans``
     (``kind:start:end`` in the source text, comma-joined) after its own columns."""
+    small_batches(docs.sparkSession)
     schema = StructType(list(docs.schema.fields)).add("pii_count", "long").add("pii_spans", "string")
     at = docs.columns.index(text_col)
 
