@@ -94,14 +94,15 @@ def minutes_between(start, end) -> Column:
     return ((wall_seconds(end) - wall_seconds(start)) / 60).cast("bigint")
 
 
-_TS_TEXT = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$"
+_TS_TEXT = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
 
 
 def parse_timestamp_ntz(c) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text (surrounding blanks allowed) -> timestamp
-    without time zone; anything else (``'null'``, ``''``, impossible dates) ->
-    NULL. One pattern test, then the fields by position; built from the fields,
-    so no session time zone (and no DST gap) is involved."""
+    """``yyyy-MM-dd HH:mm[:ss[.ffffff]]`` text (surrounding blanks allowed) ->
+    timestamp without time zone; anything else (``'null'``, ``''``, impossible
+    dates) -> NULL. One pattern test, then the fields by position; built from
+    the fields, so no session time zone (and no DST gap) is involved."""
     t = F.trim(_col(c))
-    part = [F.substring(t, pos, n).try_cast("int") for pos, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))]
-    return F.when(t.rlike(_TS_TEXT), F.try_make_timestamp_ntz(*part))
+    part = [F.substring(t, pos, n).try_cast("int") for pos, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2))]
+    seconds = F.coalesce(F.substring(t, 18, 9).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    return F.when(t.rlike(_TS_TEXT), F.try_make_timestamp_ntz(*part, seconds))

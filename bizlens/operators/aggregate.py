@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.operators.keys import join_null_safe
+
 
 def _keys(keys) -> list:
     if keys is None:
@@ -26,6 +28,16 @@ def total_by(df: DataFrame, keys, **aggs: Column) -> DataFrame:
     return df.groupBy(*k).agg(*exprs) if k else df.agg(*exprs)
 
 
+def weighted_sum(df: DataFrame, keys, measure: Column, rules: Sequence[tuple[Column, int]], default: int,
+                 out: str) -> DataFrame:
+    """The sum of ``measure`` times the factor of the first rule whose
+    condition holds, else ``default`` (a NULL condition doesn't hold)."""
+    factor = F.lit(default)
+    for cond, times in reversed(rules):
+        factor = F.when(cond, times).otherwise(factor)
+    return total_by(df, keys, **{out: F.sum(measure * factor)})
+
+
 def conditional_counts(df: DataFrame, keys, conds: Mapping[str, Column]) -> DataFrame:
     """One count column per predicate (0 when no row matches)."""
     return total_by(df, keys, **{n: F.count_if(c) for n, c in conds.items()})
@@ -57,7 +69,7 @@ def share_of_total(df: DataFrame, measure: str, out: str, digits: int = 2,
         total = scalar(df, F.sum(measure))
         return df.withColumn(out, F.round(pct(F.col(measure), total), digits))
     totals = df.groupBy(*within).agg(F.sum(measure).alias("__total"))
-    return (df.join(totals, within)
+    return (join_null_safe(df, totals, within)
             .withColumn(out, F.round(pct(F.col(measure), F.col("__total")), digits))
             .drop("__total"))
 
@@ -74,33 +86,8 @@ def pct_of_entities(df: DataFrame, entity: str, predicate: Column, digits: int |
     return pct(hits, pop, digits)
 
 
-def avg_half_up(value: Column, scale: int, digits: int, weight: Column | None = None) -> Column:
-    """Aggregate: mean of ``value`` (a number with at most ``scale`` decimals)
-    rounded half-up to ``digits`` decimals, computed exactly in integers so the
-    result does not depend on the summation order of floating point. With
-    ``weight`` each row counts ``weight`` times (rows pre-aggregated upstream)."""
-    unit = 10 ** (scale - digits)
-    w = F.lit(1) if weight is None else weight
-    s = F.sum(F.round(value * 10 ** scale).cast("bigint") * w)
-    n = F.sum(F.when(value.isNotNull(), w).otherwise(0))
-    rounded = F.floor((2 * s + n * unit) / (2 * n * unit))
-    return F.when(n > 0, rounded / 10 ** digits).cast("double")
-
-
-APPROX_DISTINCT_CONF = "spark.bizlens.approxDistinct"
-APPROX_DISTINCT_RSD_CONF = "spark.bizlens.approxDistinctRsd"
-
-
-def distinct_count(col) -> Column:
-    """Aggregate: number of distinct values. Exact by default (what the oracle
-    checks); with ``spark.bizlens.approxDistinct=true`` in the session it is
-    ``approx_count_distinct`` (HyperLogLog++, relative error
-    ``spark.bizlens.approxDistinctRsd``, default 0.01): a fixed-size sketch per
-    task and group instead of shuffling every distinct value, for entity counts
-    over very large inputs. Counts that decide membership (thresholds) should
-    stay exact and use ``F.count_distinct``."""
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.conf.get(APPROX_DISTINCT_CONF, "false").lower() == "true":
-        rsd = float(spark.conf.get(APPROX_DISTINCT_RSD_CONF, "0.01"))
-        return F.approx_count_distinct(col, rsd)
-    return F.count_distinct(col)
+def distinct_count(col, rsd: float | None = None) -> Column:
+    """Aggregate: number of distinct values, exact; with ``rsd`` an estimate of
+    that relative error (HyperLogLog++: a fixed-size sketch per task and group
+    instead of a shuffle of every distinct value)."""
+    return F.count_distinct(col) if rsd is None else F.approx_count_distinct(col, rsd)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bizlens.functions.numeric import ratio_round
+from bizlens.operators.keys import join_null_safe
 
 
 def null_share(df: DataFrame, col: str, out: str = "null_perc", digits: int = 2) -> DataFrame:
@@ -46,13 +47,27 @@ def presence(df: DataFrame, entity: str, period: str, out: str = "total_months",
 
 
 def cumulative_share(counts: DataFrame, order: str, value: str, out: str, digits: int = 2) -> DataFrame:
-    """Running total of ``value`` in descending ``order`` as a percentage
-    of the grand total. ``counts`` is a small aggregate (one row per distinct
-    ``order`` value), so the unpartitioned window runs on a handful of rows."""
-    # both windows run over the small ``counts`` aggregate in one pass (no second scan for the total)
-    w = Window.orderBy(F.desc(order))
-    c = counts.withColumns({"__total": F.sum(value).over(Window.partitionBy()), "__cum": F.sum(value).over(w)})
-    return c.withColumn(out, ratio_round(F.col("__cum"), F.col("__total"), digits, 100)).drop("__total", "__cum")
+    """Running total of ``value`` in descending ``order`` (one row per
+    distinct value, a number) as a percentage of the grand total.
+
+    Two levels: running totals within ranges of ``order`` (sixteen to each
+    doubling, so a thousand ranges at most), and of the ranges' totals, the only
+    rows that one task sees together."""
+    c = counts.withColumn("__b", F.floor(F.log2(F.greatest(F.col(order), F.lit(1))) * 16))
+    within = F.sum(value).over(Window.partitionBy("__b").orderBy(F.desc(order)))
+    ranges = c.groupBy("__b").agg(F.sum(value).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.select("__b", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy()).alias("__total"))
+    j = join_null_safe(c.withColumn("__within", within), ranges, ["__b"])
+    return j.withColumn(out, ratio_round(F.col("__before") + F.col("__within"), F.col("__total"), digits, 100)).drop(
+        "__b", "__within", "__before", "__total")
+
+
+def sparse_rows(df: DataFrame, entity: str, period: str, min_periods: int, out: str) -> DataFrame:
+    """How many rows belong to entities present in fewer than
+    ``min_periods`` periods: one aggregate per entity, then its sum."""
+    per = df.groupBy(entity).agg(F.count(entity).alias("__rows"), F.count_distinct(period).alias("__n"))
+    return per.agg(F.coalesce(F.sum(F.when(F.col("__n") < min_periods, F.col("__rows"))), F.lit(0)).alias(out))
 
 
 def drop_sparse(df: DataFrame, entity: str, period: str, min_periods: int) -> DataFrame:

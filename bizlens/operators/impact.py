@@ -46,11 +46,16 @@ def band_columns(segment: str = "segment") -> dict:
 
 
 def missing_values(spark: SparkSession, present: DataFrame, col: str, lo: int, hi: int,
-                   out: str) -> DataFrame:
-    """Integers in [lo, hi] that do not occur in ``present[col]``."""
-    series = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias(out))
-    seen = present.select(F.col(col).alias(out)).distinct()
-    return series.join(seen, out, "left_anti")
+                   out: str, by: str | None = None) -> DataFrame:
+    """Integers in [lo, hi] that do not occur in ``present[col]``; with
+    ``by``, that do not occur for each value of that column."""
+    seen = present.select(*([by] if by else []), F.col(col).alias(out)).distinct()
+    if by is None:
+        series = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias(out))
+        return series.join(seen, out, "left_anti")
+    series = seen.select(by).distinct().withColumn(out, F.explode(F.sequence(F.lit(lo), F.lit(hi))))
+    return series.join(seen.withColumnsRenamed({by: "__by", out: "__n"}),
+                       F.col(by).eqNullSafe(F.col("__by")) & (F.col(out) == F.col("__n")), "left_anti")
 
 
 def _window_sum(measure: str, week: str, lo: int, hi: int, year_col: str | None, year: int | None,

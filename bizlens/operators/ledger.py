@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bizlens.operators.keys import join_null_safe
+
 CREDIT_TYPES = ("deposit",)
 
 
@@ -45,4 +47,76 @@ def running_balance(df: DataFrame, key: str = "customer_id", ts: str = "txn_date
     cols = keep if keep is not None else df.columns
     daily = period_net(df, key, F.col(ts), "__net")
     daily = cumulative(daily, key, ts, "__net", out).drop("__net")
-    return df.select(*cols).join(daily, [key, ts])
+    return join_null_safe(df.select(*cols), daily, [key, ts])
+
+
+def closing_balances(txns: DataFrame, key: str = "customer_id", ts: str = "txn_date", amount: Column | None = None) -> DataFrame:
+    """The balance at the end of every month from an entity's first
+    transaction to the last month of all data, carried over months without
+    transactions: ``key, month, net, closing_balance``. The window runs over one
+    row per entity and month with transactions; rows without a date are left out."""
+    net = period_net(txns.filter(F.col(ts).isNotNull()), key, F.trunc(ts, "MM").alias("month"), "net", amount)
+    last = txns.agg(F.trunc(F.max(ts), "MM")).scalar()
+    by_month = Window.partitionBy(key).orderBy("month")
+    held = cumulative(net, key, "month", "net", "closing_balance").withColumn(
+        "__until", F.coalesce(F.add_months(F.lead("month").over(by_month), -1), last))
+    months = held.withColumn("__month", F.explode(F.sequence("month", "__until", F.expr("INTERVAL 1 MONTH"))))
+    return months.select(key, F.col("__month").alias("month"),
+                         F.when(F.col("__month") == F.col("month"), F.col("net")).otherwise(0).alias("net"), "closing_balance")
+
+
+def balance_growth(balances: DataFrame, key: str = "customer_id", by: str = "month", value: str = "closing_balance",
+                   relative_to_size: bool = True) -> DataFrame:
+    """Adds ``pct_increase``, the change of ``value`` from an entity's
+    previous row in percent of the previous value (of its size, so that a
+    smaller debt is growth); NULL for the first row and after a value of 0."""
+    prev = F.lag(value).over(Window.partitionBy(key).orderBy(by))
+    den = F.abs(prev) if relative_to_size else prev
+    return balances.withColumn("pct_increase", F.try_divide(100 * (F.col(value) - prev), F.nullif(den, F.lit(0))))
+
+
+def allocation(amounts: DataFrame, by: str, amount: Column, out: str) -> DataFrame:
+    """What all entities are allocated per ``by``: the sum of their amounts, none below 0."""
+    return amounts.groupBy(by).agg(F.sum(F.greatest(amount, F.lit(0))).alias(out))
+
+
+def previous_balances(balances: DataFrame, key: str = "customer_id") -> DataFrame:
+    """For every month of ``closing_balances`` the balance at the end of
+    the month before (0 in an entity's first month), as ``previous_balance``."""
+    prev = F.lag("closing_balance").over(Window.partitionBy(key).orderBy("month"))
+    return balances.select(key, "month", F.coalesce(prev, F.lit(0)).alias("previous_balance"))
+
+
+def trailing_day_balances(txns: DataFrame, days: int = 30, key: str = "customer_id", ts: str = "txn_date",
+                          amount: Column | None = None) -> DataFrame:
+    """The sum of an entity's end-of-day balances over the last ``days``
+    (at most 31) days of every month, as ``day_balances`` (0 before its first
+    transaction); a mean is this divided by ``days``.
+
+    A transaction is part of the balance of min(days, days since) of these days:
+    fewer than ``days`` in its own month and perhaps the next, all of them later,
+    so months are enough and no row per day is made."""
+    if not 1 <= days <= 31:
+        raise ValueError("days must be 1 to 31")
+    amt = signed_amount() if amount is None else amount
+    own, following = F.last_day(ts), F.last_day(F.add_months(F.trunc(ts, "MM"), 1))
+    held = lambda end: amt * F.least(F.lit(days), F.datediff(end, F.col(ts)) + 1)
+    part = txns.filter(F.col(ts).isNotNull()).groupBy(F.col(key).alias("__k"), F.trunc(ts, "MM").alias("__m")).agg(
+        F.sum(held(own)).alias("__own"), F.sum(held(following)).alias("__next"))
+    grid = closing_balances(txns, key, ts, amount)
+    months = grid.join(part, F.col(key).eqNullSafe(F.col("__k")) & (F.col("month") == F.col("__m")), "left")
+    w = Window.partitionBy(key).orderBy("month")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    total = zero(F.col("__own")) + zero(F.lag("__next").over(w)) + days * zero(F.lag("closing_balance", 2).over(w))
+    return months.select(key, "month", total.alias("day_balances"))
+
+
+def balance_stats(txns: DataFrame, key: str = "customer_id", ts: str = "txn_date", amount: Column | None = None) -> DataFrame:
+    """Mean, least and greatest balance after each transaction of an
+    entity, from one row per (entity, day) weighted by its transactions."""
+    amt = signed_amount() if amount is None else amount
+    daily = txns.groupBy(key, ts).agg(F.sum(amt).alias("__net"), F.count("*").alias("__n"))
+    daily = cumulative(daily, key, ts, "__net", "__balance")
+    return daily.groupBy(key).agg(
+        F.try_divide(F.sum(F.col("__balance") * F.col("__n")).cast("double"), F.sum("__n")).alias("avg_balance"),
+        F.min("__balance").alias("min_balance"), F.max("__balance").alias("max_balance"))

@@ -14,8 +14,9 @@ that is monotone in the order, e.g. the day of a date-ordered history):
    partitioning as step 1, so raw rows are shuffled once; step 2 reads the
    input again but shuffles only partial aggregates.
 
-Results equal the single-window form; the bucket must not decrease along the
-order and the order must be total (add a tie-break).
+Results equal the single-window form, NULL keys, order values and buckets
+included (NULL is a key of its own and comes first in the order); the bucket
+must not decrease along the order and the order must be total (add a tie-break).
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bizlens.operators.keys import join_null_safe
+
 
 def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
     return df.withColumn("__b", bucket)
@@ -48,7 +51,7 @@ def lead_lag(df: DataFrame, key: str, order: Sequence[str], cols: dict[str, str]
     edges = b0.groupBy(key, "__b").agg(edge(F.struct(*fields)).alias("__edge"))
     w_b = Window.partitionBy(key).orderBy("__b")
     edges = edges.withColumn("__nb", fn("__edge").over(w_b)).drop("__edge")
-    j = b.join(edges, [key, "__b"])
+    j = join_null_safe(b, edges, [key, "__b"])
     out = {dst: F.when(F.col("__has"), F.col(f"__in_{src}")).otherwise(F.col("__nb")[f"v_{src}"])
            for src, dst in cols.items()}
     return j.withColumns(out).drop("__b", "__nb", "__has", *[f"__in_{s}" for s in cols])
@@ -63,7 +66,7 @@ def row_number(df: DataFrame, key: str, order: Sequence[str], bucket: Column, ou
     before = F.sum("__n").over(Window.partitionBy(key).orderBy("__b")
                                .rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__n")
-    return (b.join(counts, [key, "__b"])
+    return (join_null_safe(b, counts, [key, "__b"])
             .withColumn(out, (F.col("__before") + F.col("__local")).cast("int"))
             .drop("__b", "__local", "__before"))
 
@@ -77,4 +80,4 @@ def rank_by(df: DataFrame, keys: Sequence[str], order: str, out: str = "rank") -
     before = F.sum("__n").over(Window.partitionBy(*keys).orderBy(order)
                                .rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.withColumn(out, (F.coalesce(before, F.lit(0)) + 1).cast("bigint")).drop("__n")
-    return df.join(counts, keys + [order])
+    return join_null_safe(df, counts, keys + [order])

@@ -2,7 +2,7 @@
 
 Spark has no as-of join operator. ``nearest_event`` is written as an equi
 join on the entity key with the time inequality as a join filter, then a
-``rank() == 1`` per key (ties kept). Spark plans that filter as a partial
+``rank() == 1`` per key and anchor (ties kept). Spark plans that filter as a partial
 WindowGroupLimit before the shuffle and a final one after it: every task
 forwards only its nearest rows of each key, so a key holding a third of all
 events is reduced in every task, and the input is read once.
@@ -20,12 +20,13 @@ from bizlens.operators.rank import top_per_group
 
 def nearest_event(events: DataFrame, anchors: DataFrame, key: str, ts: str, anchor_ts: str,
                   direction: str = "after", inclusive: bool = False) -> DataFrame:
-    """For each anchor row (one per key), the event rows of the same key
-    nearest to it: the first strictly after (``direction='after'``) or the last
-    strictly before (``'before'``); ``inclusive`` allows equality. All events
-    at the nearest time are returned (ties kept)."""
-    e = events.alias("e")
-    a = anchors.select(F.col(key).alias("__k"), F.col(anchor_ts).alias("__at"))
+    """For each anchor (a key may have several), the event rows of the same
+    key nearest to it: the first strictly after (``direction='after'``) or the
+    last strictly before (``'before'``); ``inclusive`` allows equality. All
+    events at the nearest time are returned (ties kept), each with the anchor's
+    time as ``anchor_ts``. Repeated anchors count once; rows without key or time
+    are near nothing."""
+    a = anchors.select(F.col(key).alias("__k"), F.col(anchor_ts).alias("__at")).distinct()
     if direction == "after":
         cond = F.col(ts) >= F.col("__at") if inclusive else F.col(ts) > F.col("__at")
         order = F.asc(ts)
@@ -34,8 +35,9 @@ def nearest_event(events: DataFrame, anchors: DataFrame, key: str, ts: str, anch
         order = F.desc(ts)
     else:
         raise ValueError(direction)
-    cand = e.join(a, (F.col(key) == F.col("__k")) & cond).drop("__k", "__at")
-    return top_per_group(cand, [key], [order], 1, ties=True)
+    cand = events.join(a, (F.col(key) == F.col("__k")) & cond).drop("__k")
+    near = top_per_group(cand, [key, "__at"], [order], 1, ties=True)
+    return near.withColumnRenamed("__at", anchor_ts)
 
 
 def extreme_rows(df: DataFrame, key: str, ts: str, which: str = "first") -> DataFrame:
@@ -65,22 +67,17 @@ def time_in_state(df: DataFrame, start: str, end: str, open_end: str = "9999-12-
             .withColumn("days", F.datediff(F.col(end), F.col(start))))
 
 
-APPROX_PERCENTILE_CONF = "spark.bizlens.approxPercentile"
+def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict) -> DataFrame:
+    """Exact percentiles of ``value`` per group (linear interpolation,
+    like ``quantile_cont``)."""
+    return df.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in ps.items()])
 
 
-def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict,
-                   approx: bool | None = None, accuracy: int = 10000) -> DataFrame:
-    """Percentiles of ``value`` per group; exact (linear interpolation,
-    like ``quantile_cont``) or ``percentile_approx`` (a fixed-size sketch per
-    task and group) for high-cardinality values. ``approx=None`` follows the
-    session setting ``spark.bizlens.approxPercentile`` (default false)."""
-    if approx is None:
-        approx = df.sparkSession.conf.get(APPROX_PERCENTILE_CONF, "false").lower() == "true"
-    if approx:
-        aggs = [F.percentile_approx(value, p, accuracy).alias(n) for n, p in ps.items()]
-    else:
-        aggs = [F.percentile(value, p).alias(n) for n, p in ps.items()]
-    return df.groupBy(*keys).agg(*aggs)
+def approx_percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict,
+                          accuracy: int = 10000) -> DataFrame:
+    """Percentiles from a fixed-size sketch per task and group, for values of
+    high cardinality: an existing value near the percentile, not interpolated."""
+    return df.groupBy(*keys).agg(*[F.percentile_approx(value, p, accuracy).alias(n) for n, p in ps.items()])
 
 
 def status_at(events: DataFrame, anchors: DataFrame, key: str, ts: str, anchor_ts: str,

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bizlens.session import TableStore
 from bizlens.sources.domain import DOMAIN_SQL, Domain
 
 
@@ -81,24 +82,14 @@ def load_all() -> dict[str, Query]:
     return REGISTRY
 
 
-_DOMAINS: dict = {}
-
-
-def domain_for(spark: SparkSession, sf_dir: str) -> Domain:
-    """One Domain per (Spark application, input folder): the derived tables are
-    lazy DataFrames, so sharing them lets every query start from plans that are
-    already built and analysed."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-    d = _DOMAINS.get(key)
-    if d is None:
-        d = _DOMAINS[key] = Domain(spark, sf_dir)
-    return d
-
-
-def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def spark_queries(store: TableStore | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query as ``(spark, input_dir) -> DataFrame``. Tables are opened and
+    derived anew on each call, so a changed input is seen; no job runs before
+    the result is asked for. With a ``store`` (see ``store_tables``) derived
+    tables are read from it."""
     out = {}
     for name, q in load_all().items():
-        out[name] = (lambda fn: lambda spark, sf_dir: fn(domain_for(spark, sf_dir)))(q.fn)
+        out[name] = (lambda fn: lambda spark, sf_dir: fn(Domain(spark, sf_dir, store)))(q.fn)
     return out
 
 
@@ -106,9 +97,19 @@ def oracle_queries() -> dict[str, str]:
     return {name: with_views(q.sql) for name, q in load_all().items() if q.sql}
 
 
-# domain tables stored once per session (see Domain); the rest are lazy views
-STORED_TABLES = ("sales", "customer_orders", "customer_nodes", "weekly_sales", "click_events", "users",
-                 "interest_metrics_dated")
+# domain tables that a store may hold, in the order of their derivation; the rest are projections of one table
+STORED_TABLES = ("sales", "customer_orders", "customer_nodes", "weekly_sales", "click_events", "users")
+
+
+def store_tables(spark: SparkSession, sf_dir: str, names=STORED_TABLES) -> TableStore:
+    """Writes derived tables once, for many queries over one input. The caller
+    drops the store."""
+    load_all()
+    store = TableStore(spark)
+    for name in names:
+        store.write(name, getattr(Domain(spark, sf_dir, store), name))
+    return store
+
 
 DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "runner_orders", "ratings", "runners",
                  "pizza_names", "pizza_recipes", "pizza_recipes_csv", "pizza_toppings", "subscriptions", "plans",
@@ -120,9 +121,8 @@ DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "runner_orders",
 def register_views(spark: SparkSession, sf_dir: str, queries: bool = True) -> list[str]:
     """CREATE VIEW for every domain table and (optionally) every query result,
     as temporary views of this session, so they can also be used from SQL.
-    Views are lazy: nothing runs until a query reads them (stored domain tables
-    are written on first use)."""
-    d = domain_for(spark, sf_dir)
+    Views are lazy: nothing runs until a query reads them."""
+    d = Domain(spark, sf_dir)
     names = []
     for t in DOMAIN_TABLES:
         getattr(d, t).createOrReplaceTempView(t)

@@ -6,11 +6,11 @@ Domain: ``sales(customer_id, order_date, product_id)``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bizlens.operators.aggregate import distinct_count, total_by
-from bizlens.operators.ordered import rank_by
+from bizlens.operators.aggregate import distinct_count, total_by, weighted_sum
+from bizlens.operators.keys import join_null_safe
 from bizlens.operators.rank import top_k, top_per_group
 from bizlens.operators.temporal import extreme_rows, nearest_event, status_at
 from bizlens.plans import query
@@ -24,6 +24,10 @@ FIRST_WEEK_DAYS = 6        # double points from the join date to join date + 6 d
 POINTS_CUTOFF = "1998-02-01"
 
 
+def _is_double():
+    return F.col("product_name") == DOUBLE_ITEM
+
+
 def _sales_menu(d: Domain, how: str = "left") -> DataFrame:
     return d.sales.join(d.menu, "product_id", how)
 
@@ -54,13 +58,20 @@ def first_items(d: Domain) -> DataFrame:
     return first.join(d.menu, "product_id", "left").select("customer_id", "product_name", "order_date")
 
 
+def _times_purchased(d: Domain, keys: list[str]) -> DataFrame:
+    """Purchases per ``keys`` and item name, counted by product before the menu is joined."""
+    per = total_by(d.sales, [*keys, "product_id"], n=F.count("*"))
+    named = F.when(F.col("product_name").isNotNull(), F.col("n")).otherwise(0)
+    return total_by(per.join(d.menu, "product_id", "left"), [*keys, "product_name"], times_purchased=F.sum(named))
+
+
 @query("most_purchased_item", """
 SELECT m.product_name, COUNT(m.product_name) AS times_purchased
 FROM sales s LEFT JOIN menu m ON s.product_id = m.product_id
 GROUP BY m.product_name ORDER BY times_purchased DESC, m.product_name NULLS LAST LIMIT 1""")
 def most_purchased_item(d: Domain) -> DataFrame:
     """D1-4: best-selling item (name breaks ties)."""
-    counts = total_by(_sales_menu(d), "product_name", times_purchased=F.count("product_name"))
+    counts = _times_purchased(d, [])
     return top_k(counts, [F.desc("times_purchased"), F.asc_nulls_last("product_name")], 1)
 
 
@@ -71,8 +82,7 @@ GROUP BY s.customer_id, m.product_name"""
 
 
 def _favourites(d: Domain) -> DataFrame:
-    return total_by(_sales_menu(d), ["customer_id", "product_name"],
-                    times_purchased=F.count("product_name"))
+    return _times_purchased(d, ["customer_id"])
 
 
 @query("favourite_item", _FAV_SQL)
@@ -148,51 +158,42 @@ SELECT s.customer_id,
 FROM sales s LEFT JOIN menu m ON s.product_id = m.product_id GROUP BY s.customer_id""")
 def points(d: Domain) -> DataFrame:
     """D1-9: 10 points per $1, sushi double (O11 weighted sum)."""
-    w = F.when(F.col("product_name") == DOUBLE_ITEM, 2 * POINTS_PER_DOLLAR).otherwise(POINTS_PER_DOLLAR)
-    return total_by(_sales_menu(d), "customer_id", total_points=F.sum(w * F.col("price")))
+    return weighted_sum(_sales_menu(d), "customer_id", F.col("price"), [(_is_double(), 2 * POINTS_PER_DOLLAR)],
+                        POINTS_PER_DOLLAR, "total_points")
 
 
-def _first_week(d: Domain) -> DataFrame:
-    return (d.sales.join(d.members, "customer_id", "left").join(d.menu, "product_id", "left")
-            .withColumn("firstweek_ends", F.date_add("join_date", FIRST_WEEK_DAYS))
-            .filter(F.col("order_date") < F.lit(POINTS_CUTOFF).cast("date")))
+def _points_before_cutoff(d: Domain, rules) -> DataFrame:
+    rows = (d.sales.filter(F.col("order_date") < F.lit(POINTS_CUTOFF).cast("date"))
+            .join(d.members, "customer_id", "left").join(d.menu, "product_id", "left"))
+    return weighted_sum(rows, "customer_id", F.col("price"), rules, POINTS_PER_DOLLAR, "points")
 
 
-_FW_FROM = f"""
-FROM sales s LEFT JOIN members mb ON s.customer_id = mb.customer_id
-LEFT JOIN menu m ON s.product_id = m.product_id
-WHERE s.order_date < DATE '{POINTS_CUTOFF}' GROUP BY s.customer_id"""
+def _in_first_week():
+    return F.datediff("order_date", "join_date").between(0, FIRST_WEEK_DAYS)
+
+
+# Oracle: ten points a dollar, twice that where a rule of the question doubles them.
+_POINTS_SQL = f"""
+SELECT customer_id, CAST(sum(price * {POINTS_PER_DOLLAR} * (1 + CAST(coalesce({{doubled}}, FALSE) AS INTEGER))) AS BIGINT) AS points
+FROM (SELECT s.customer_id, m.price, m.product_name = '{DOUBLE_ITEM}' AS double_item, mb.join_date IS NOT NULL AS is_member,
+             s.order_date - mb.join_date BETWEEN 0 AND {FIRST_WEEK_DAYS} AS first_week
+      FROM sales s LEFT JOIN members mb USING (customer_id) LEFT JOIN menu m USING (product_id)
+      WHERE s.order_date < DATE '{POINTS_CUTOFF}') GROUP BY customer_id"""
 
 
-@query("points_first_week", f"""
-SELECT s.customer_id, CAST(SUM(CASE
-  WHEN s.order_date BETWEEN mb.join_date AND mb.join_date + {FIRST_WEEK_DAYS} THEN 20 * m.price
-  WHEN (s.order_date NOT BETWEEN mb.join_date AND mb.join_date + {FIRST_WEEK_DAYS})
-       AND m.product_name = '{DOUBLE_ITEM}' THEN 20 * m.price
-  ELSE 10 * m.price END) AS BIGINT) AS points {_FW_FROM}""")
+@query("points_first_week", _POINTS_SQL.format(doubled="coalesce(first_week, FALSE) OR (is_member AND double_item)"))
 def points_first_week(d: Domain) -> DataFrame:
-    """D1-10 as written: double points in the first week after joining, sushi
-    double otherwise; a non-member's sushi gets 10x (NULL join date makes both
-    BETWEEN tests NULL)."""
-    in_week = F.col("order_date").between(F.col("join_date"), F.col("firstweek_ends"))
-    pts = (F.when(in_week, 20 * F.col("price"))
-           .when(~in_week & (F.col("product_name") == DOUBLE_ITEM), 20 * F.col("price"))
-           .otherwise(10 * F.col("price")))
-    return total_by(_first_week(d), "customer_id", points=F.sum(pts))
-
-
-@query("points_first_week_intended", f"""
-SELECT s.customer_id, CAST(SUM(CASE
-  WHEN s.order_date BETWEEN mb.join_date AND mb.join_date + {FIRST_WEEK_DAYS} THEN 20 * m.price
-  WHEN m.product_name = '{DOUBLE_ITEM}' THEN 20 * m.price
-  ELSE 10 * m.price END) AS BIGINT) AS points {_FW_FROM}""")
+    """D1-10 as written: double points in the first week after joining and for
+    sushi, but the sushi rule holds for members only (its test of the week is
+    NULL for a customer without a join date)."""
+    member_sushi = F.col("join_date").isNotNull() & _is_double()
+    return _points_before_cutoff(d, [(_in_first_week() | member_sushi, 2 * POINTS_PER_DOLLAR)])
+
+
+@query("points_first_week_intended", _POINTS_SQL.format(doubled="coalesce(first_week, FALSE) OR coalesce(double_item, FALSE)"))
 def points_first_week_intended(d: Domain) -> DataFrame:
     """D1-10 intended: sushi is double for everyone."""
-    in_week = F.col("order_date").between(F.col("join_date"), F.col("firstweek_ends"))
-    pts = (F.when(in_week, 20 * F.col("price"))
-           .when(F.col("product_name") == DOUBLE_ITEM, 20 * F.col("price"))
-           .otherwise(10 * F.col("price")))
-    return total_by(_first_week(d), "customer_id", points=F.sum(pts))
+    return _points_before_cutoff(d, [(_in_first_week(), 2 * POINTS_PER_DOLLAR), (_is_double(), 2 * POINTS_PER_DOLLAR)])
 
 
 def _member_status(d: Domain) -> DataFrame:
@@ -220,9 +221,18 @@ SELECT *, CASE WHEN member = 'N' THEN NULL
 FROM ({_STATUS_SQL}) t""")
 def member_order_ranking(d: Domain) -> DataFrame:
     """D1-12: + rank of the member's orders by date, NULL before membership."""
-    # only member rows are ranked; the others pass through with a NULL rank, unshuffled
-    cols = ["customer_id", "order_date", "product_name", "price", "member", "ranking"]
-    status = _member_status(d)
-    ranked = rank_by(status.filter(F.col("member") == "Y"), ["customer_id", "member"], "order_date", "ranking")
-    others = status.filter(F.col("member") != "Y").withColumn("ranking", F.lit(None).cast("bigint"))
-    return ranked.select(*cols).unionByName(others.select(*cols))
+    # ranks per customer and day, from counts: the members table meets one row per
+    # customer and day, and the sales rows take status and rank in one join
+    daily = total_by(_on_menu(d), ["customer_id", "order_date"], n=F.count("*"))
+    daily = status_at(daily, d.members, "customer_id", "order_date", "join_date", "member")
+    earlier = F.sum("n").over(Window.partitionBy("customer_id", "member").orderBy("order_date")
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    rank = F.when(F.col("member") == "Y", F.coalesce(earlier, F.lit(0)) + 1).cast("bigint")
+    daily = daily.select("customer_id", "order_date", "member", rank.alias("ranking"))
+    sales = d.sales.join(d.menu, "product_id")
+    return join_null_safe(sales, daily, ["customer_id", "order_date"], "left").select(
+        "customer_id", "order_date", "product_name", "price", "member", "ranking")
+
+
+def _on_menu(d: Domain) -> DataFrame:
+    return d.sales.join(d.menu.select("product_id"), "product_id", "left_semi")

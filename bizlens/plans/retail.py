@@ -56,7 +56,7 @@ view_sql("clean_weekly_sales", _CLEAN_SQL.format(week="strftime(week_date, '%U')
 
 
 def _cws(d: Domain) -> DataFrame:
-    """The saved clean table (created once per session, like the original CTAS)."""
+    """The clean table, from a store where one holds it (the original's CTAS)."""
     return d.saved("clean_weekly_sales", lambda: clean_weekly_sales_df(d))
 
 
@@ -86,6 +86,16 @@ def missing_weeks(d: Domain) -> DataFrame:
     return missing_values(d.spark, _cws(d), "week_number", 1, 52, "missing_week")
 
 
+@query("missing_weeks_by_year", """
+SELECT y.calendar_year, CAST(w.range AS INTEGER) AS missing_week
+FROM (SELECT DISTINCT calendar_year FROM clean_weekly_sales) y CROSS JOIN range(1, 53) w
+WHERE NOT EXISTS (SELECT 1 FROM clean_weekly_sales c WHERE c.calendar_year = y.calendar_year AND c.week_number = w.range)""")
+def missing_weeks_by_year(d: Domain) -> DataFrame:
+    """M5-2.2 per year: week numbers 1-52 that a year of the data lacks (the
+    data begin and end within a year)."""
+    return missing_values(d.spark, _cws(d), "week_number", 1, 52, "missing_week", by="calendar_year")
+
+
 @query("transactions_by_year", """
 SELECT calendar_year, COUNT(transactions) AS num_transactions, CAST(SUM(transactions) AS BIGINT) AS total_transactions
 FROM clean_weekly_sales GROUP BY calendar_year""")

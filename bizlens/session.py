@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,11 +35,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (and share local folders)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names a shared folder and is used as is. Only when
-    it is unset (local tests) do we create a scratch folder for it.
+    On a cluster the setting must name a shared folder and is used as is; an
+    unset one is an error, as a folder of the driver's own would be empty or
+    partial on the executors. In local mode an unset one becomes a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -47,38 +54,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="bizlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (survives executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-_SAVED: set = set()
-_SAVE_LOCK = threading.RLock()  # re-entrant: a stored table may build from another
-
-
-def saved_table(spark: SparkSession, key: str, build) -> DataFrame:
-    """A derived table written once (parquet) under the shared checkpoint
-    folder and read back: the CREATE TABLE AS SELECT of the original scripts.
-    Later queries read the written files, so their plans start from a short
-    lineage and a lost executor costs a re-read, not a recomputation."""
-    app = spark.sparkContext.applicationId
-    # per application: concurrent jobs sharing the checkpoint folder never overwrite each other
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{app}/{key}"
-    token = (app, path)
-    if token not in _SAVED:
-        with _SAVE_LOCK:  # queries built from several threads write each table once
-            if token not in _SAVED:
-                build().write.mode("overwrite").parquet(path)
-                _SAVED.add(token)
-    return spark.read.parquet(path)
+class TableStore:
+    """Derived tables of one input folder written as Parquet under the shared
+    checkpoint folder: the CREATE TABLE AS SELECT of the original scripts, on
+    request. A store is a snapshot: make a new one when the input changes, and
+    ``drop`` it (or leave its ``with`` block) to delete the files."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+        self.names: set[str] = set()
+
+    def write(self, name: str, df: DataFrame) -> None:
+        df.write.parquet(f"{self.path}/{name}")
+        self.names.add(name)
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
+    def drop(self) -> None:
+        """Deletes the store's files; its tables are derived again when read."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.names.clear()
+
+    def __enter__(self) -> TableStore:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
 
 
 def cluster_settings(input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:

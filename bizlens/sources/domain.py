@@ -23,7 +23,6 @@ Derivation rules (all integer arithmetic on keys, so both engines agree):
 
 from __future__ import annotations
 
-import hashlib
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 
 from bizlens.functions.calendar import ntz_text, ymd_text
 from bizlens.operators.ordered import lead_lag, row_number
-from bizlens.session import saved_table
+from bizlens.session import TableStore
 from bizlens.sources import fixed
 from bizlens.sources.driver import table
 
@@ -78,17 +77,14 @@ def click_events_from_events(events: DataFrame, keep: tuple = ()) -> DataFrame:
 class Domain:
     """Domain tables over one input folder. Attributes are DataFrames.
 
-    Tables whose derivation joins, aggregates or numbers rows (``sales``,
-    ``customer_orders``, ``customer_nodes``, ``weekly_sales``, ``click_events``,
-    ``users``) and the retyped metrics (the original's ALTER TABLE) are stored
-    once per session as parquet under the checkpoint folder, as the original
-    keeps them as tables; queries then read them with
-    column pruning instead of re-deriving them. Single-table projections stay
-    lazy views."""
+    Every table is derived when it is read. With a ``store`` the tables whose
+    derivation joins, aggregates or numbers rows (``plans.STORED_TABLES``) are
+    read from there, as the original keeps them as tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: TableStore | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.store = store
 
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
@@ -97,10 +93,10 @@ class Domain:
         return fixed.lookup(self.spark, name)
 
     def saved(self, name: str, build) -> DataFrame:
-        """A derived table of this input folder, written once per session
-        (see ``session.saved_table``)."""
-        tag = hashlib.sha1(self.sf_dir.rstrip("/").encode()).hexdigest()[:12]
-        return saved_table(self.spark, f"{name}-{tag}", build)
+        """The stored form of a derived table where there is one, else its derivation."""
+        if self.store is not None and name in self.store.names:
+            return self.store.read(name)
+        return build()
 
     # ------------------------------------------------------------------ diner
     @cached_property
@@ -175,7 +171,7 @@ class Domain:
             (k % 10 + 1).cast("int").alias("runner_id"),
             F.when(cancelled, "null").otherwise(ntz_text(pickup)).alias("pickup_time"),
             F.when(cancelled, "null").otherwise(
-                F.concat(_s(k % 25 + 5), F.lit("."), _s(k % 10), unit_d)).alias("distance"),
+                F.concat(_s(k % 25 + 5), F.lit("."), F.lpad(_s(k % 100), 2, "0"), unit_d)).alias("distance"),
             F.when(cancelled, "null").otherwise(F.concat(_s(k % 31), unit_t)).alias("duration"),
             (F.when(sel == 0, "Restaurant Cancellation").when(sel == 1, "Customer Cancellation")
              .when(sel.isin(2, 3), "").when(sel.isin(4, 5), "null")
@@ -359,9 +355,6 @@ class Domain:
 
     @cached_property
     def interest_metrics_dated(self) -> DataFrame:
-        return self.saved("interest_metrics_dated", self._build_interest_metrics_dated)
-
-    def _build_interest_metrics_dated(self) -> DataFrame:
         """S8-1: ``month_year`` as the DATE of the month start."""
         return self.interest_metrics.withColumn(
             "month_year", F.to_date(F.concat(F.lit("01-"), F.col("month_year")), "dd-MM-yyyy"))
@@ -415,7 +408,7 @@ SELECT o_orderkey AS order_id, CAST(o_orderkey % 10 + 1 AS INTEGER) AS runner_id
        ELSE strftime(o_orderdate + (o_orderkey % 1440) {_MIN} + (o_orderkey % 50 + 1) {_MIN}
                      + (o_orderkey % 60) * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') END AS pickup_time,
   CASE WHEN (o_orderkey * 7 + o_custkey) % 10 < 2 THEN 'null'
-       ELSE CAST(o_orderkey % 25 + 5 AS VARCHAR) || '.' || CAST(o_orderkey % 10 AS VARCHAR)
+       ELSE CAST(o_orderkey % 25 + 5 AS VARCHAR) || '.' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0')
             || CASE o_orderkey % 3 WHEN 0 THEN 'km' WHEN 1 THEN ' km' ELSE '' END END AS distance,
   CASE WHEN (o_orderkey * 7 + o_custkey) % 10 < 2 THEN 'null'
        ELSE CAST(o_orderkey % 31 AS VARCHAR)

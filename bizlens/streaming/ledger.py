@@ -2,59 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import functions as F
 
-from bizlens.operators.ledger import CREDIT_TYPES
-from bizlens.session import ensure_checkpoint_dir
+from bizlens.operators.ledger import signed_amount
 from bizlens.sources.domain import transactions_from_orders
-
-ORDERS_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-                 "o_orderdate timestamp_ntz, o_orderpriority string")
-OUT_SCHEMA = "customer_id bigint, balance bigint, allocation bigint, txn_count bigint, last_txn_date date"
-STATE_SCHEMA = "balance bigint, txn_count bigint, last_txn_date date"
+from bizlens.sources.driver import table_stream
 
 
 def orders_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The ``orders`` parquet table read as a file stream."""
-    return (spark.readStream.schema(ORDERS_SCHEMA).option("pathGlobFilter", "orders.parquet")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
-
-
-def _update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Fold this trigger's transactions of one customer into its balance.
-    Input arrives as Arrow-sized chunks; only three numbers are kept."""
-    balance, count, last = state.get if state.exists else (0, 0, None)
-    for pdf in batches:
-        signed = np.where(pdf["txn_type"].isin(CREDIT_TYPES), pdf["txn_amount"], -pdf["txn_amount"])
-        balance += int(signed.sum())
-        count += len(pdf)
-        m = pdf["txn_date"].max()
-        last = m if last is None or m > last else last
-    state.update((balance, count, last))
-    yield pd.DataFrame({"customer_id": [key[0]], "balance": [balance], "allocation": [max(balance, 0)],
-                        "txn_count": [count], "last_txn_date": [last]})
+    """The ``orders`` table read as a file stream."""
+    return table_stream(spark, sf_dir, "orders", max_files_per_trigger)
 
 
 def live_balances(orders: DataFrame) -> DataFrame:
-    """Streaming DataFrame (update mode) of each customer's current balance
-    and allocation; state is one row per customer."""
-    txns = transactions_from_orders(orders)
-    return txns.groupBy("customer_id").applyInPandasWithState(
-        _update, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
-
-
-def run_to_table(df: DataFrame, name: str, checkpoint: str | None = None, mode: str = "update"):
-    """Run a streaming frame over everything available now into a memory table.
-    The stream's checkpoint goes under the shared ``spark.checkpoint.dir``
-    unless a location is given."""
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/streams/{name}"
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    """Streaming DataFrame (update mode) of each customer's current balance and
+    allocation; the state is three numbers per customer."""
+    g = transactions_from_orders(orders).groupBy("customer_id").agg(
+        F.sum(signed_amount()).alias("balance"), F.count("*").alias("txn_count"), F.max("txn_date").alias("last_txn_date"))
+    return g.select("customer_id", "balance", F.greatest("balance", F.lit(0).cast("bigint")).alias("allocation"),
+                    "txn_count", "last_txn_date")

@@ -7,29 +7,30 @@ from pyspark.sql import functions as F
 
 from bizlens.functions.calendar import wall_clock_instant
 from bizlens.functions.lists import ordered_list
+from bizlens.operators.joins import checked_broadcast
 from bizlens.sources.domain import click_events_from_events
+from bizlens.sources.driver import table_stream
 
-EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 VIEW, CART, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+    """The ``events`` table read as a file stream."""
+    return table_stream(spark, sf_dir, "events", max_files_per_trigger)
 
 
 def visit_rollup(events: DataFrame, campaigns: DataFrame, pages_lookup: DataFrame,
-                 lateness: str = "1 hour") -> DataFrame:
+                 lateness: str = "1 hour", max_pages: int = 10_000, max_campaigns: int = 1_000) -> DataFrame:
     """One row per visit (user-day) once the watermark passes the day's end:
     start time, page views, cart adds, purchase flag, impressions, clicks, the
     ordered list of products added to the cart, and the campaign running at the
-    visit's start (stream-static range join to a small, broadcast campaign
-    table)."""
+    visit's start. The lookups are static; a larger one than the given bounds
+    ends the query rather than being broadcast."""
     # watermarks need a zoned timestamp: one whose UTC day is the visit's day
     ev = (click_events_from_events(events, keep=("user_id",))
           .withColumn("__ts", wall_clock_instant("event_time")).withWatermark("__ts", lateness))
     et = F.col("event_type")
-    pages = F.broadcast(pages_lookup)
+    pages = checked_broadcast(pages_lookup, max_pages)
     ev = ev.join(pages, "page_id", "left").withColumn(
         "__item", F.when(F.col("product_id").isNotNull() & (et == CART), F.col("page_name")))
     visits = ev.groupBy(F.window("__ts", "1 day").alias("day"), "user_id", "visit_id").agg(
@@ -40,6 +41,6 @@ def visit_rollup(events: DataFrame, campaigns: DataFrame, pages_lookup: DataFram
         # in-visit order = (event time, event id), the order the sequence number encodes
         ordered_list("__item", ["event_time", "event_id"]).alias("cart_products"))
     within = F.col("visit_start_time").between(F.col("start_date"), F.col("end_date"))
-    return visits.join(F.broadcast(campaigns), within, "left").select(
+    return visits.join(checked_broadcast(campaigns, max_campaigns), within, "left").select(
         "user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase", "campaign_name",
         "impression", "click", "cart_products")

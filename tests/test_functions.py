@@ -64,10 +64,12 @@ def test_ordered_list_skips_nulls_and_orders(spark):
 
 def test_parse_timestamp_ntz_is_zone_free(spark):
     from bizlens.functions.calendar import parse_timestamp_ntz
-    rows = [("1998-04-05 02:15:47",), ("null",), ("",), (None,), ("2020-13-01 00:00:00",), ("2020-01-01 18:15:34",)]
+    rows = [("1998-04-05 02:15:47",), ("null",), ("",), (None,), ("2020-13-01 00:00:00",), ("2020-01-01 18:15:34",),
+            ("2020-01-01 18:15:34.500",), (" 2020-01-01T18:15 ",), ("2020-01-01 18:15:61",), ("2020-01-01 18",)]
     df = spark.createDataFrame(rows, "t string")
     got = [r[0] for r in df.select(parse_timestamp_ntz("t")).collect()]
-    assert got == [dt.datetime(1998, 4, 5, 2, 15, 47), None, None, None, None, dt.datetime(2020, 1, 1, 18, 15, 34)]
+    assert got == [dt.datetime(1998, 4, 5, 2, 15, 47), None, None, None, None, dt.datetime(2020, 1, 1, 18, 15, 34),
+                   dt.datetime(2020, 1, 1, 18, 15, 34, 500000), dt.datetime(2020, 1, 1, 18, 15), None, None]
 
 
 def test_day_names_and_differences_ignore_session_zone(spark):

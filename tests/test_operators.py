@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from bizlens.operators.aggregate import avg_half_up, share_of_total, total_by
+from bizlens.operators.aggregate import share_of_total, total_by
 from bizlens.operators.coverage import drop_sparse, null_share, reference_gap
 from bizlens.operators.impact import before_after, missing_values
 from bizlens.operators.joins import interval_join
@@ -73,9 +73,12 @@ def test_share_of_total_sums_to_100(spark):
     assert abs(sum(r.pct for r in out.collect()) - 100) < 0.02
 
 
-def test_avg_half_up_exact(spark):
-    df = spark.createDataFrame([(13.6,), (13.7,)], "x double")   # mean 13.65 rounds to 13.7
-    assert df.agg(avg_half_up(F.col("x"), 1, 1)).first()[0] == 13.7
+def test_mean_distance_is_rounded_once(spark):
+    from bizlens.operators.delivery import exact, mean_half_up
+    df = spark.createDataFrame([(10.05, 1), (10.05, 1), (10.0, 1), (None, 5)], "km double, n int")
+    assert df.agg(mean_half_up(exact(F.col("km")), F.col("n"), 1)).first()[0] == 10.0
+    half = spark.createDataFrame([(13.6, 2), (13.7, 2)], "km double, n int")   # mean 13.65 rounds to 13.7
+    assert half.agg(mean_half_up(exact(F.col("km")), F.col("n"), 1)).first()[0] == 13.7
 
 
 def test_before_after_windows(spark):
@@ -96,8 +99,8 @@ def test_interval_join_borders_and_bucketed_path(spark):
                                  (3, dt.datetime(2024, 1, 1, 0, 0))], "id int, ts timestamp_ntz")
     iv = spark.createDataFrame([("A", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 10, 12, 0))],
                                "name string, s timestamp_ntz, e timestamp_ntz")
-    small = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e").collect())
-    bucketed = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0).collect())
+    small = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e", max_rows=9).collect())
+    bucketed = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e").collect())
     assert small == bucketed == [(1, "A"), (2, None), (3, "A")]
 
 
@@ -157,7 +160,7 @@ def test_interval_join_open_ended_bucketed(spark):
     iv = spark.createDataFrame([("open", dt.datetime(2024, 1, 1), dt.datetime(9999, 12, 31)),
                                 ("old", dt.datetime(1990, 1, 1), dt.datetime(1990, 2, 1))],
                                "name string, s timestamp_ntz, e timestamp_ntz")
-    got = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0).collect())
+    got = sorted((r.id, r.name) for r in interval_join(pts, iv, "ts", "s", "e").collect())
     assert got == [(1, "open"), (2, None)]
 
 
@@ -178,24 +181,26 @@ def test_interval_join_bucket_sizes_agree(spark):
                                 ("b", dt.datetime(2023, 6, 1), dt.datetime(9999, 12, 31)),
                                 ("c", dt.datetime(2024, 3, 3), dt.datetime(2024, 3, 4))],
                                "name string, s timestamp_ntz, e timestamp_ntz")
-    want = sorted((r.id, r.name or "") for r in interval_join(pts, iv, "ts", "s", "e").collect())
+    want = sorted((r.id, r.name or "") for r in interval_join(pts, iv, "ts", "s", "e", max_rows=9).collect())
     for b in ("day", "month", "year"):
         got = sorted((r.id, r.name or "") for r in
-                     interval_join(pts, iv, "ts", "s", "e", broadcast_max_rows=0, bucket=b).collect())
+                     interval_join(pts, iv, "ts", "s", "e", bucket=b).collect())
         assert got == want, b
 
 
 def test_percentiles_exact_and_approximate(spark):
-    from bizlens.operators.temporal import percentiles_by
+    from bizlens.operators.temporal import approx_percentiles_by, percentiles_by
     df = spark.createDataFrame([("a", float(i)) for i in range(101)], "g string, v double")
     exact = percentiles_by(df, ["g"], "v", {"p50": 0.5, "p95": 0.95}).first()
     assert (exact.p50, exact.p95) == (50.0, 95.0)
-    spark.conf.set("spark.bizlens.approxPercentile", "true")
-    try:
-        approx = percentiles_by(df, ["g"], "v", {"p50": 0.5}).first()
-        assert abs(approx.p50 - 50) <= 1
-    finally:
-        spark.conf.unset("spark.bizlens.approxPercentile")
+    assert abs(approx_percentiles_by(df, ["g"], "v", {"p50": 0.5}).first().p50 - 50) <= 1
+
+
+def test_distinct_counts_are_exact_unless_an_error_is_given(spark):
+    from bizlens.operators.aggregate import distinct_count
+    df = spark.range(10_000).select((F.col("id") % 7000).alias("v"))
+    assert df.agg(distinct_count("v")).first()[0] == 7000
+    assert abs(df.agg(distinct_count("v", 0.02)).first()[0] - 7000) < 700
 
 
 def test_status_at_flags_events_by_anchor(spark):
