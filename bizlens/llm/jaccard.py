@@ -1,10 +1,12 @@
 """Operator 2: n-gram Jaccard join through R-trees over count vectors.
 
 A document's set is its distinct shingles (64-bit hashes of word runs). Each
-shingle falls in one of ``GROUPS`` groups, and the counts by group are a point;
-two sets share at most the sum of the coordinate minima of their points, and a
-set and the sets below an R-tree node at most the sum of the minima with the
-node's upper corner. Pairs that this bound leaves are verified on the shingles.
+shingle falls in one of 64 groups (more for longer documents, ``LEVELS``, as few
+shingles to a group are what tells sets apart), and the counts by group are a
+point; two sets share at most the sum of the coordinate minima of their points,
+and a set and the sets below an R-tree node at most the sum of the minima with
+the node's upper corner. Pairs that this bound leaves are verified on the
+shingles. Points of different levels are compared at the coarser one.
 
 Equal sets form one class, and classes are compared:
 
@@ -18,8 +20,9 @@ Equal sets form one class, and classes are compared:
 3. The components of these forests are families. Their shingles are made once
    more, and the same search in each family, with exact counts, gives the links.
 
-Large keys and families are split in blocks whose pairs are separate tasks, so
-none is capped, and no task emits more pairs than it has classes.
+Large keys and families are split in blocks (by members, and families also by
+shingles) whose pairs are separate tasks, so none is capped, and no task emits
+more pairs than it has classes.
 
 Defined results: null and empty texts, and texts without words, have no shingle
 and link with nothing; rows with null id take part, and a component's id is the
@@ -39,7 +42,10 @@ from bizlens.llm.common import documents, mix64, slices, small_batches, stored
 from bizlens.llm.components import components
 from bizlens.llm.textbytes import text_bytes, words
 
-GROUPS, SAMPLE, BLOCK, FAN = 64, 20_000, 2048, 32
+SAMPLE, BLOCK, BLOCK_SHINGLES, FAN = 20_000, 2048, 1_000_000, 32
+#: Largest set of a level, and its number of groups (a power of 2).
+LEVELS = ((1500, 64), (6000, 256), (24_000, 1024), (1 << 62, 4096))
+FULL = 255  # a stored count from here on stands for any number
 
 
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -65,8 +71,39 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
-def point(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
+def level(size: np.ndarray) -> np.ndarray:
+    return np.searchsorted([top for top, _ in LEVELS], size, "left")
+
+
+def point(shingles: np.ndarray, groups: int) -> np.ndarray:
+    return np.bincount((shingles >> np.uint64(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+
+
+def packed_point(shingles: np.ndarray) -> bytes:
+    groups = LEVELS[int(level(np.array([len(shingles)]))[0])][1]
+    return np.minimum(point(shingles, groups), FULL).astype(np.uint8).tobytes()
+
+
+def points_at(packed: list[bytes], groups: int) -> np.ndarray:
+    """Packed points of this level or finer ones as rows; full counts become so
+    large that they bound nothing."""
+    out = np.empty((len(packed), groups), np.int32)
+    for k, p in enumerate(packed):
+        x = np.frombuffer(p, np.uint8).astype(np.int32)
+        x[x == FULL] = 1 << 20
+        out[k] = x if len(x) == groups else x.reshape(groups, -1).sum(axis=1)
+    return out
+
+
+def by_level(size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Places of the sets of each level, with those of the next that may be
+    linked with them, and its number of groups."""
+    low = 0
+    for top, groups in LEVELS:
+        own = np.flatnonzero((size > low) & (size * percent <= min(top, 1 << 50) * 100))
+        if len(own) > 1 and size[own].min() <= top:
+            yield own, groups
+        low = top
 
 
 def needed(a, b, percent: int):
@@ -149,11 +186,11 @@ def _runs(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple
         yield held, np.array([0, len(held)])
 
 
-def _blocks(rows: DataFrame, group: list[str], size: str, member: str) -> DataFrame:
+def _blocks(rows: DataFrame, blocks: str, member: str) -> DataFrame:
     """Deals rows to the pairs of blocks of their group (one block, one pair where it is small)."""
-    n = F.ceil(F.col(size) / BLOCK)
+    n = F.col(blocks)
     return (rows.withColumn("own", F.pmod(F.xxhash64(member), n)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", size))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", blocks))
 
 
 def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -171,26 +208,51 @@ def _possible(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts in _runs(batches, ["key", "lo", "hi"]):
             ids, size = t["class"].to_numpy(), t["n"].to_numpy()
-            points = np.frombuffer(b"".join(t["point"].to_pylist()), np.uint16).reshape(-1, GROUPS).astype(np.int32)
+            packed, levels = t["point"].to_pylist(), level(size)
             many = np.diff(starts)
             out_a, out_b = [], []
-            for m in range(2, 9):  # small groups of a size: all pairs at once
-                first = starts[:-1][many == m]
-                for i in range(m):
-                    for j in range(i + 1, m):
-                        a, b = first + i, first + j
-                        ok = np.minimum(points[a], points[b]).sum(axis=1) >= needed(size[a], size[b], percent)
-                        out_a.append(ids[a[ok]]), out_b.append(ids[b[ok]])
+            firsts = [(starts[:-1][many == m], m) for m in range(2, 9)]  # small groups: all pairs at once
+            pairs = [(f + i, f + j) for f, m in firsts for i in range(m) for j in range(i + 1, m)]
+            a, b = (np.concatenate([p[side] for p in pairs] or [np.zeros(0, np.int64)]) for side in (0, 1))
+            near = (100 * size[a] >= percent * size[b]) & (100 * size[b] >= percent * size[a])
+            a, b = a[near], b[near]
+            at = np.minimum(levels[a], levels[b])
+            for one in np.unique(at):
+                x, y = a[at == one], b[at == one]
+                used, back = np.unique(np.concatenate([x, y]), return_inverse=True)
+                points = points_at([packed[k] for k in used], LEVELS[one][1])
+                for lo in range(0, len(x), 8192):
+                    u, v = back[lo : min(lo + 8192, len(x))], back[len(x) + lo : len(x) + min(lo + 8192, len(x))]
+                    ok = np.minimum(points[u], points[v]).sum(axis=1) >= needed(size[used[u]], size[used[v]], percent)
+                    out_a.append(ids[used[u[ok]]]), out_b.append(ids[used[v[ok]]])
             for k in np.flatnonzero(many > 8):
-                part = slice(starts[k], starts[k + 1])
-                a, b = forest(CountTree(points[part], size[part], percent), None, _sides(t.slice(starts[k], many[k])))
-                out_a.append(ids[part][a]), out_b.append(ids[part][b])
+                lo = int(starts[k])
+                sides = _sides(t.slice(lo, int(many[k])))
+                for own, groups in by_level(size[lo : lo + many[k]], percent):
+                    tree = CountTree(points_at([packed[lo + o] for o in own], groups), size[lo + own], percent)
+                    x, y = forest(tree, None, None if sides is None else sides[own])
+                    out_a.append(ids[lo + own[x]]), out_b.append(ids[lo + own[y]])
             if out_a and sum(map(len, out_a)):
                 yield _edges(np.concatenate(out_a), np.concatenate(out_b))
 
     return run
 
 
+def _index(sets: list[np.ndarray], size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles numbered within a family, set after set; the holders of each
+    number in a row, and where its holders begin."""
+    every = np.concatenate(sets)
+    order = np.argsort(every)
+    every = every[order]
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    del every
+    flat = np.empty(len(order), np.int32)
+    flat[order] = np.cumsum(new, dtype=np.int32) - 1
+    holder = np.repeat(np.arange(len(sets), dtype=np.int32), size)[order]
+    return flat, holder, np.append(np.flatnonzero(new), len(order))
+
+
 def _verified(percent: int):
     """Step 3: links in a family, a forest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,10 +265,8 @@ def _verified(percent: int):
                     continue
                 sets = [np.frombuffer(x, np.uint64) for x in t["shingles"].take(pa.array(only)).to_pylist()]
                 size = np.array([len(s) for s in sets])
-                _, flat = np.unique(np.concatenate(sets), return_inverse=True)  # shingles numbered within the family
                 at = np.concatenate([[0], np.cumsum(size)])
-                holder = np.repeat(np.arange(len(sets)), size)[np.argsort(flat, kind="stable")]
-                begin = np.concatenate([[0], np.cumsum(np.bincount(flat))])
+                flat, holder, begin = _index(sets, size)
 
                 def verify(k: int, got: np.ndarray, flat=flat, at=at, holder=holder, begin=begin, size=size) -> np.ndarray:
                     own = flat[at[k] : at[k + 1]]
@@ -219,8 +279,11 @@ def _verified(percent: int):
                     return same * (100 + percent) >= percent * (size[k] + size[got])
 
                 sides = _sides(t)
-                a, b = forest(CountTree(np.stack([point(s) for s in sets]), size, percent), verify, None if sides is None else sides[only])
-                out_a.append(ids[a]), out_b.append(ids[b])
+                for own, groups in by_level(size, percent):
+                    tree = CountTree(np.stack([point(sets[o], groups) for o in own]), size[own], percent)
+                    check = lambda k, got, own=own, verify=verify: verify(own[k], own[got])
+                    a, b = forest(tree, check, None if sides is None else sides[only][own])
+                    out_a.append(ids[own[a]]), out_b.append(ids[own[b]])
             if out_a and sum(map(len, out_a)):
                 yield _edges(np.concatenate(out_a), np.concatenate(out_b))
 
@@ -264,7 +327,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
                         often = s[known]
                         rare = np.concatenate([rare, often[np.argsort(times[at[known]], kind="stable")]])
                     one, two = mix64(s).sum(dtype=np.uint64), mix64(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-                    out.append((n, int(one.view(np.int64)), int(two.view(np.int64)), rare[:first].view(np.int64), point(s).astype(np.uint16).tobytes()))
+                    out.append((n, int(one.view(np.int64)), int(two.view(np.int64)), rare[:first].view(np.int64), packed_point(s)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), *(pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True))],
                     ["id", "n", "class", "check", "keys", "point"])
@@ -273,15 +336,17 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
     classes = made.where("n > 0").groupBy("class", "check", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("point").alias("point"))
     posted = classes.select("class", F.explode("keys").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
-    met = _blocks(posted.join(shared, "key"), ["key"], "met", "class")
+    shared = shared.select("key", F.ceil(F.col("met") / BLOCK).alias("blocks"))
+    met = _blocks(posted.join(shared, "key"), "blocks", "class")
     group = ["key", "lo", "hi"]
     points = classes.select("class", "n", "point")
     possible = (met.join(points, "class").select(*group, "own", "class", "n", "point").repartition(*group).sortWithinPartitions(*group)
                 .mapInArrow(_possible(percent), "a long, b long"))
     family = components(possible).withColumnsRenamed({"node": "class", "component": "family"})
-    sizes = family.groupBy("family").agg(F.count("*").alias("members"))
-    wanted = family.join(sizes, "family").join(made.where("n > 0").groupBy("class").agg(F.min("id").alias("id")), "class")
-    texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"])).select("text", "class", "family", "members")
+    family = family.join(made.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "class")
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    wanted = family.join(family.groupBy("family").agg(parts.alias("blocks")), "family")
+    texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"])).select("text", "class", "family", "blocks")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -291,10 +356,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
                 own = np.array([mix64(s).sum(dtype=np.uint64).view(np.int64) for s in sets])
                 keep = np.flatnonzero(own == part.column(1).to_numpy())  # rows of one id may differ in text
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(keep)) for c in (1, 2, 3)), pa.array([sets[k].tobytes() for k in keep], pa.binary())],
-                                                 ["class", "family", "members", "shingles"])
+                                                 ["class", "family", "blocks", "shingles"])
 
     group = ["family", "lo", "hi"]
-    links = (_blocks(texts.mapInArrow(again, "class long, family long, members long, shingles binary"), ["family"], "members", "class")
+    links = (_blocks(texts.mapInArrow(again, "class long, family long, blocks long, shingles binary"), "blocks", "class")
              .repartition(*group).sortWithinPartitions(*group).mapInArrow(_verified(percent), "a long, b long"))
     linked = components(links).withColumnsRenamed({"node": "class", "component": "top"})
     members = made.select("id", "n", "class").join(linked, "class", "left").withColumn("top", F.coalesce("top", "class"))

@@ -44,9 +44,10 @@ def test_whole_table(spark, small_dir, texts):
     assert rows(op2_jaccard(spark, small_dir)) == plain(texts)
 
 
-@pytest.mark.parametrize("block", [2, 2048])
-def test_near_copies_in_blocks_of_any_size(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, levels", [(2, jaccard.LEVELS), (2048, jaccard.LEVELS), (2048, ((50, 8), (58, 16), (1 << 62, 256)))])
+def test_near_copies_in_blocks_of_any_size(spark, monkeypatch, block, levels):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "LEVELS", levels)
     rng = np.random.default_rng(3)
     base = [f"w{k}" for k in range(60)]
     texts = []
@@ -72,7 +73,20 @@ def test_tree_loses_nothing():
     sets = [rng.choice(400, rng.integers(20, 60), replace=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(300)]
     sets += [np.concatenate([s[:-2], s[:1] + np.uint64(1)]) for s in sets[:80]]
     size = np.array([len(s) for s in sets])
-    tree = CountTree(np.stack([point(s) for s in sets]), size, 85)
+    tree = CountTree(np.stack([point(s, 64) for s in sets]), size, 85)
     for a in range(0, len(sets), 7):
         linked = [b for b, s in enumerate(sets) if len(np.intersect1d(sets[a], s)) >= needed(size[a], size[b], 85)]
         assert set(linked) <= set(tree.search(a).tolist())
+
+
+def test_points_of_finer_levels_fold_and_full_counts_bound_nothing():
+    s = np.arange(4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    fine = jaccard.packed_point(s)
+    assert len(fine) == 256 and (jaccard.points_at([fine], 64)[0] == point(s, 64)).all()
+    same = np.arange(400, dtype=np.uint64)  # all in the first group
+    assert jaccard.points_at([jaccard.packed_point(same)], 64)[0, 0] >= 400
+
+
+def test_families_split_by_shingles(spark, monkeypatch, texts, docs):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 300)
+    assert rows(jaccard_components(docs)) == plain(texts)
