@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from bizlens.llm.common import crc_mod, documents, slices, stored
 from bizlens.llm.textbytes import text_bytes, words
 
-START, END, ORDER, SHARE, TABLE, FLUSH = 0xFE, 0xFF, 4, 1 << 16, 1 << 21, 1 << 21
+START, END, ORDER, SHARE, TABLE, FLUSH = 0xFE, 0xFF, 4, 1 << 16, 1 << 24, 1 << 21
 #: The end token's hash: no word has it but by chance.
 END_TOKEN = np.uint64(0x656E64206F662074)
 
