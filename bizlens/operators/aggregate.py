@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.functions.numeric import ratio_round
 from bizlens.operators.keys import join_null_safe
 
 
@@ -61,29 +62,26 @@ def scalar(df: DataFrame, expr: Column) -> Column:
 
 def share_of_total(df: DataFrame, measure: str, out: str, digits: int = 2,
                    within: Sequence[str] = ()) -> DataFrame:
-    """``measure`` as a percentage of its total (over all rows, or within
+    """``measure`` (whole numbers) as a percentage of its total (over all rows, or within
     groups ``within``). The total over all rows is a scalar subquery; within
     groups it is a grouped aggregate joined back on the group keys."""
     within = list(within)
     if not within:
         total = scalar(df, F.sum(measure))
-        return df.withColumn(out, F.round(pct(F.col(measure), total), digits))
+        return df.withColumn(out, ratio_round(F.col(measure), total, digits, 100))
     totals = df.groupBy(*within).agg(F.sum(measure).alias("__total"))
     return (join_null_safe(df, totals, within)
-            .withColumn(out, F.round(pct(F.col(measure), F.col("__total")), digits))
+            .withColumn(out, ratio_round(F.col(measure), F.col("__total"), digits, 100))
             .drop("__total"))
 
 
-def pct_of_entities(df: DataFrame, entity: str, predicate: Column, digits: int | None = None,
-                    population: DataFrame | None = None) -> Column:
-    """O14 (as a scalar column): percentage of distinct ``entity`` values with
-    at least one row matching ``predicate``. The population defaults to the
-    distinct entities of ``df``. Two-level: entities are reduced to one flag
-    row each (one shuffle on ``entity``), then counted."""
-    flags = df.groupBy(entity).agg(F.max(predicate.cast("int")).alias("__hit"))
-    hits = scalar(flags, F.count_if(F.col("__hit") == 1))
-    pop = scalar(population if population is not None else flags, F.count_distinct(entity))
-    return pct(hits, pop, digits)
+def pct_of_entities(df: DataFrame, entity: str, hit: Column, out: str, among: Column | None = None, digits: int = 2) -> DataFrame:
+    """One row with the percentage of entities that have a row where
+    ``hit`` holds, of all entities or of those with a row where ``among`` holds.
+    Two levels: one row of flags per entity (NULL is an entity), then counts."""
+    holds = lambda c: F.max(F.coalesce(c, F.lit(False)))
+    per = df.groupBy(entity).agg(holds(hit).alias("__hit"), holds(F.lit(True) if among is None else among).alias("__among"))
+    return per.agg(ratio_round(F.count_if(F.col("__hit") & F.col("__among")), F.count_if("__among"), digits, 100).alias(out))
 
 
 def distinct_count(col, rsd: float | None = None) -> Column:

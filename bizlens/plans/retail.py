@@ -10,12 +10,12 @@ The event (the reference's packaging change) is the week starting
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.calendar import day_name, seven_day_week, sunday_week
 from bizlens.functions.numeric import ratio_round, ratio_round_sql
-from bizlens.operators.aggregate import total_by
+from bizlens.operators.aggregate import share_of_total, total_by
 from bizlens.operators.impact import (AGE_BANDS, DEMOGRAPHICS, UNKNOWN, band_columns, before_after,
                                       calendar_columns, impact_by_areas, missing_values)
 from bizlens.plans import query, view_sql
@@ -172,13 +172,10 @@ FROM (SELECT age_band, demographic, CAST(SUM(sales) AS BIGINT) AS total_retail_s
       WHERE platform = 'Retail' GROUP BY 1, 2)""")
 def retail_contribution(d: Domain) -> DataFrame:
     """M5-2.8: Retail sales by age band and demographic and their share of all
-    Retail sales (the grand total is a window over the small grouped result)."""
+    Retail sales."""
     g = total_by(_cws(d).filter(F.col("platform") == "Retail"), ["age_band", "demographic"],
                  total_retail_sales=F.sum("sales"))
-    # total over the tiny band x demographic aggregate: a window on it, no second scan
-    g = g.withColumn("__total", F.sum("total_retail_sales").over(Window.partitionBy()))
-    return g.withColumn("retail_sales_contribution_pct",
-                        ratio_round(F.col("total_retail_sales"), F.col("__total"), 2, 100)).drop("__total")
+    return share_of_total(g, "total_retail_sales", "retail_sales_contribution_pct")
 
 
 @query("avg_transaction_size", f"""

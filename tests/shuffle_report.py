@@ -34,7 +34,7 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
 
     from bench import HEADLINE
-    from bizlens.plans import STORED_TABLES, domain_for, spark_queries
+    from bizlens.plans import spark_queries, store_tables
 
     sf = (argv or sys.argv[1:] or ["/root/testdata/sf0.1"])[0]
     logdir = tempfile.mkdtemp(prefix="bizlens-eventlog-")
@@ -44,13 +44,12 @@ def main(argv=None) -> None:
              .config("spark.sql.shuffle.partitions", "16").config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    d = domain_for(spark, sf)
-    for t in STORED_TABLES:
-        getattr(d, t)
-    qs = spark_queries()
+    store = store_tables(spark, sf)
+    qs = spark_queries(store)
     for name in HEADLINE:
         spark.sparkContext.setJobGroup(name, name)
         qs[name](spark, sf).write.format("noop").mode("overwrite").save()
+    store.drop()
     spark.stop()
 
     stage_group, totals = {}, {}
