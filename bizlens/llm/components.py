@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from bizlens.llm.common import stored
 
+EXECUTORS_LEAST, EDGES_PER_FILE = 6, 500_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component`` (the smallest node that it reaches) for every
@@ -26,9 +28,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # v > u drops pairs whose far end is smaller; a node that is its neighbourhood's minimum keeps its star
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        e = stored(small, "edges")
+        # edges never grow in number, so few files hold few of them
+        e = stored(small.coalesce(max(EXECUTORS_LEAST, -(-now[0] // EDGES_PER_FILE))), "edges")

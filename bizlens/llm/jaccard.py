@@ -143,9 +143,9 @@ class CountTree:
 
 
 def forest(tree: CountTree, verify: Callable[[int, np.ndarray], np.ndarray] | None = None, sides: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (found, from) that span the components of the points that the tree
-    allows (and ``verify`` confirms). ``sides``: whether a point is of the first
-    block, where only pairs across blocks are asked for."""
+    """Pairs (found, first) of each point and the first of its component, by what
+    the tree allows (and ``verify`` confirms). ``sides``: whether a point is of
+    the first block, where only pairs across blocks are asked for."""
     found, source = [], []
     for start in range(len(tree.size)):
         if not tree.left[start]:
@@ -162,7 +162,7 @@ def forest(tree: CountTree, verify: Callable[[int, np.ndarray], np.ndarray] | No
             tree.left[got] = False
             work += got.tolist()
             found.append(got)
-            source.append(np.full(len(got), k))
+            source.append(np.full(len(got), start))
     return np.concatenate(found), np.concatenate(source)
 
 
