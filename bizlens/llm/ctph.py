@@ -30,54 +30,42 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from bizlens.llm.common import documents, mix64, partitions, py_texts, slices
+from bizlens.llm.common import documents, mix64, partitions, slices, small_batches
+from bizlens.llm.textbytes import BASE, INVERSE, powers
 
 WINDOW, LENGTH, LEAST_BLOCK, MAX_RANGES = 7, 64, 3, 16_384
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(1, np.uint64)
-    while len(out) < n:
-        out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
-    return out[:n]
 
 
 class Hasher:
-    """Signatures of byte strings; keeps the powers that its hashes need."""
-
-    def __init__(self):
-        self.up, self.down = _powers(_BASE, 1 << 16), _powers(_INVERSE, 1 << 16)
+    """Fingerprints of byte strings."""
 
     def fingerprint(self, data: bytes) -> str:
         n = len(data)
         if not n:
             return f"{LEAST_BLOCK}::"
-        if n >= len(self.up):
-            self.up, self.down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
+        up, down = powers(BASE, n), powers(INVERSE, n)
         b = np.frombuffer(data, np.uint8)
         # h[i] = sum of byte * base^position before i, so a run's own hash is (h[end] - h[start]) / base^start
         h = np.zeros(n + 1, np.uint64)
-        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=h[1:])
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up, out=h[1:])
         lag = np.maximum(np.arange(1, n + 1) - WINDOW, 0)
-        roll = (mix64((h[1:] - h[lag]) * self.down[lag]) >> np.uint64(33)).astype(np.uint32)
+        roll = (mix64((h[1:] - h[lag]) * down[lag]) >> np.uint64(33)).astype(np.uint32)
         block = LEAST_BLOCK
         while block * LENGTH < n:
             block *= 2
         while True:
-            one = self._signature(h, roll, block)
+            one = self._signature(h, roll, down, block)
             if block == LEAST_BLOCK or len(one) >= LENGTH // 2:
-                return f"{block}:{one}:{self._signature(h, roll, 2 * block)}"
+                return f"{block}:{one}:{self._signature(h, roll, down, 2 * block)}"
             block //= 2
 
-    def _signature(self, h: np.ndarray, roll: np.ndarray, block: int) -> str:
+    def _signature(self, h: np.ndarray, roll: np.ndarray, down: np.ndarray, block: int) -> str:
         ends = np.flatnonzero(roll % np.uint32(block) == block - 1)[: LENGTH - 1] + 1
         if not len(ends) or ends[-1] < len(roll):
             ends = np.append(ends, len(roll))
         starts = np.concatenate([[0], ends[:-1]])
-        chunk = mix64((h[ends] - h[starts]) * self.down[starts])
+        chunk = mix64((h[ends] - h[starts]) * down[starts])
         return ALPHABET[(chunk >> np.uint64(58)).astype(np.int64)].tobytes().decode()
 
 
@@ -129,6 +117,7 @@ def neighbours(docs: DataFrame, per_pair: Callable, schema: str) -> DataFrame:
     the range before it, so every pair meets in one task after a single shuffle
     of the texts. Only range borders (one id per range) reach the driver."""
     spark = docs.sparkSession
+    small_batches(spark)
     ranges = min(4 * partitions(spark), MAX_RANGES)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = docs.select("doc_id")

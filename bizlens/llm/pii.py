@@ -188,9 +188,12 @@ def find(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     found = []
     for kind, pattern in PATTERNS.items():
         for m in pattern.finditer(text):
-            made = PSEUDONYM[kind](m.group(), key)
+            value, made = m.group(), PSEUDONYM[kind](m.group(), key)
+            while made is None and kind == "iban" and " " in value:  # words in capitals may follow
+                value = value.rpartition(" ")[0]
+                made = PSEUDONYM[kind](value, key)
             if made is not None:
-                found.append((m.start(), -m.end(), kind, made))
+                found.append((m.start(), -m.start() - len(value), kind, made))
     out, at = [], 0
     for start, end, kind, made in sorted(found):
         if start >= at:

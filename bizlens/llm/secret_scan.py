@@ -1,14 +1,13 @@
 """Operator 4: secret scans with a recursive decoding worklist.
 
-A text is the first layer. Each layer is scanned for the base patterns, and
-each run in it that is percent-encoded, Unicode-escaped, base64 (both
-alphabets) or hexadecimal text, or base64 or hexadecimal bytes of a gzip, zlib,
+A text is the first layer. Each layer is scanned for the base patterns;
+each line in it with percent-encoding or Unicode escapes, and each run that is
+base64 (both alphabets) or hexadecimal text, or such bytes of a gzip, zlib,
 bzip2 or xz stream, is decoded to a new layer, until no new layer appears. A
 layer whose content was met before in the same text is not opened again (cycle
 detection), so the worklist ends: every new layer is met once, and all but the
-compressed ones are shorter than their source. A compressed layer is opened
-whole up to ``MAX_LAYER`` bytes; a longer one (a decompression bomb) is
-reported as kind ``opaque`` in ``layers`` and not opened.
+compressed ones are no longer than their source. A compressed layer that grows
+beyond ``MAX_LAYER`` bytes (a decompression bomb) is not opened.
 
 A layer's characters carry the span of the source characters that they come
 from, so each finding is reported where its encoded form stands in the text.
@@ -43,10 +42,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
-#: Where a percent-encoded or escaped layer begins and ends: a run without white space that holds the mark.
-PERCENT_RUN = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
+#: Percent-encoding and escapes are undone by lines, as what they hide may hold spaces.
+LINE = re.compile(r"[^\n]+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-ESCAPE_RUN = re.compile(r"[^\s\\]*(?:\\(?:u\{[0-9A-Fa-f]{1,6}\}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2})[^\s\\]*)+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){10,}(?![0-9A-Fa-f])")
 MAX_LAYER = 8 << 20
@@ -126,33 +124,39 @@ def _byte_layer(layer: Layer, data: bytes, lo: int, hi: int, num: int, den: int)
     return Layer(text, np.full(len(text), a), np.full(len(text), b), layer.depth + 1)
 
 
-def _substituted(layer: Layer, lo: int, hi: int, pattern: re.Pattern, decode) -> Layer | None:
-    """The run with each match of ``pattern`` replaced by its character."""
+def _unescaped(layer: Layer, lo: int, hi: int) -> Layer:
+    """A line with each escape replaced by its character."""
     chars, starts, ends, at = [], [], [], lo
-    for m in pattern.finditer(layer.text, lo, hi):
-        for k in range(at, m.start()):
-            chars.append(layer.text[k]), starts.append(k), ends.append(k + 1)
-        chars.append(decode(m)), starts.append(m.start()), ends.append(m.end())
+    for m in ESCAPE.finditer(layer.text, lo, hi):
+        chars += [layer.text[at : m.start()], _escaped(m)]
+        starts += [*range(at, m.start()), m.start()]
+        ends += [*range(at + 1, m.start() + 1), m.end()]
         at = m.end()
-    for k in range(at, hi):
-        chars.append(layer.text[k]), starts.append(k), ends.append(k + 1)
-    a, b = np.array(starts, np.int64), np.array(ends, np.int64)
+    chars.append(layer.text[at:hi])
+    a, b = np.array([*starts, *range(at, hi)], np.int64), np.array([*ends, *range(at + 1, hi + 1)], np.int64)
     if layer.start is not None:
         a, b = layer.start[a], layer.end[b - 1]
     return Layer("".join(chars), a, b, layer.depth + 1)
 
 
-def _percent(layer: Layer, lo: int, hi: int) -> Layer | None:
-    """Percent-decoded run; several encoded bytes may make one character."""
+def _percent(layer: Layer, lo: int, hi: int) -> Layer:
+    """A line with its percent-encoded bytes decoded; several may make one character."""
     raw, starts, ends, at = bytearray(), [], [], lo
-    while at < hi:
-        m = PERCENT.match(layer.text, at, hi)
-        piece = bytes([int(layer.text[at + 1 : at + 3], 16)]) if m else layer.text[at].encode("utf-8", "surrogatepass")
-        stop = at + 3 if m else at + 1
-        raw += piece
-        starts += [at] * len(piece)
-        ends += [stop] * len(piece)
-        at = stop
+
+    def plain(stop: int) -> None:
+        for k in range(at, stop):
+            c = layer.text[k].encode("utf-8", "surrogatepass")
+            raw.extend(c)
+            starts.extend([k] * len(c))
+            ends.extend([k + 1] * len(c))
+
+    for m in PERCENT.finditer(layer.text, lo, hi):
+        plain(m.start())
+        raw.append(int(m.group()[1:], 16))
+        starts.append(m.start())
+        ends.append(m.end())
+        at = m.end()
+    plain(hi)
     try:
         text = raw.decode()
     except UnicodeDecodeError:
@@ -176,12 +180,11 @@ def _escaped(m: re.Match) -> str:
 
 def _opened(layer: Layer) -> Iterator[Layer | None]:
     text = layer.text
-    if "%" in text:
-        for m in PERCENT_RUN.finditer(text):
-            yield _percent(layer, m.start(), m.end())
-    if "\\" in text:
-        for m in ESCAPE_RUN.finditer(text):
-            yield _substituted(layer, m.start(), m.end(), ESCAPE, _escaped)
+    for mark, pattern, undo in (("%", PERCENT, _percent), ("\\", ESCAPE, _unescaped)):
+        if mark in text:
+            for m in LINE.finditer(text):
+                if pattern.search(text, m.start(), m.end()):
+                    yield undo(layer, m.start(), m.end())
     for m in BASE64.finditer(text):
         run = m.group().rstrip("=")
         if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run[1:].islower()):

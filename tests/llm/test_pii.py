@@ -30,6 +30,11 @@ def test_invalid_values_stay(value):
     assert pseudonymise(f"a {value} b", KEY) == (f"a {value} b", [])
 
 
+def test_words_in_capitals_after_an_iban():
+    made, found = pseudonymise("TO DE89 3704 0044 0532 0130 00 AS AGREED", KEY)
+    assert [f[2] for f in found] == ["iban"] and made.endswith(" AS AGREED")
+
+
 def test_equal_values_stay_linked():
     plain, spaced = (pseudonymise(v, KEY)[0] for v in ("4111111111111111", "4111-1111-1111-1111"))
     assert plain == spaced.replace("-", "")

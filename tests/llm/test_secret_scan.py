@@ -54,6 +54,14 @@ def test_span_within_a_layer():
     assert text[a:b] == "AKIA" + "B" * 18
 
 
+def test_partly_escaped_lines():
+    for text in (r"x \u0070assword = \u0022hunter2hunter2\u0022 y", "x %70assword = %22hunter2hunter2%22 y 100%"):
+        (a, k, b), = scan(text)[1]
+        assert KINDS[k] == "assign" and text[a:b].startswith(("%70", "\\u0070")) and text[a:b].endswith("hunter2")
+    long_run = "%" + "A" * 200_000 + " %41"  # linear in the length of a run
+    assert scan(long_run)[1] == []
+
+
 def test_repeated_layers_end():
     text = B64(("%25" * 40 + " " + B64(b"AKIA" + b"C" * 20)).encode()) + " " + B64(b"AKIA" + b"C" * 20)
     assert scan(text)[2] < 50
