@@ -19,7 +19,6 @@ gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,7 +165,6 @@ def _links(t: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
     n[left] += new @ copies[right]
     if lo != hi:
         n[right] += new.T @ copies[left]
-    root = np.arange(len(rep))
     order = np.argsort(np.argsort(rep))
     root = order.copy()  # labels in id order, spread along links until they rest
     while True:
