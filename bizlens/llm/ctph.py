@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from bizlens.llm.common import documents, mix64, partitions, slices, small_batches
 from bizlens.llm.textbytes import BASE, INVERSE, powers
@@ -145,7 +145,7 @@ def neighbours(docs: DataFrame, per_pair: Callable, schema: str) -> DataFrame:
              .select(F.shiftright("at", 1).alias("at"), (F.col("at") % 2).alias("guest"), "doc_id", "text")
              .repartition(partitions(spark), "at")
              .sortWithinPartitions("at", "guest", F.col("doc_id").desc_nulls_last(), "text"))
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None  # range, guest, id and text of the row that waits for its follower
