@@ -4,9 +4,10 @@ A text is the first layer. Each layer is scanned for the base patterns;
 each line in it with percent-encoding or Unicode escapes, and each run that is
 base64 (both alphabets) or hexadecimal text, or such bytes of a gzip, zlib,
 bzip2 or xz stream, is decoded to a new layer, until no new layer appears. A
-layer whose content was met before in the same text is not opened again (cycle
-detection), so the worklist ends: every new layer is met once, and all but the
-compressed ones are no longer than their source. A compressed layer that grows
+layer whose content was met before at the same place of the text is not opened
+again (cycle detection), so the worklist ends: every new layer is met once a
+place, and all but the compressed ones are no longer than their source. Equal
+layers at two places are opened at both. A compressed layer that grows
 beyond ``MAX_LAYER`` bytes (a decompression bomb) is not opened.
 
 A layer's characters carry the span of the source characters that they come
@@ -198,6 +199,14 @@ def _opened(layer: Layer) -> Iterator[Layer | None]:
         yield _byte_layer(layer, bytes.fromhex(m.group()), m.start(), m.end(), 2, 1)
 
 
+def _place(layer: Layer) -> bytes:
+    """A layer's content and the place of each of its characters, as a key."""
+    h = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16)
+    h.update(layer.start.astype(np.int64).tobytes())
+    h.update(layer.end.astype(np.int64).tobytes())
+    return h.digest()
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
     """Base spans, all spans (start, kind, end) and the number of layers opened."""
     base = base_spans(text)
@@ -205,7 +214,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     while work:
         layer = work.pop()
         for inner in _opened(layer):
-            if inner is None or (key := hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()) in seen:
+            if inner is None or (key := _place(inner)) in seen:
                 continue
             seen.add(key)
             layers += 1

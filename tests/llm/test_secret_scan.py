@@ -67,6 +67,17 @@ def test_repeated_layers_end():
     assert scan(text)[2] < 50
 
 
+@pytest.mark.parametrize("blob", [B64(SECRET.encode()), urllib.parse.quote(SECRET, safe=""), B64(B64(SECRET.encode()).encode()), B64(gzip.compress(SECRET.encode(), mtime=0))])
+@pytest.mark.parametrize("between", [" ", "\n", " and once more\n"])
+def test_equal_layers_are_reported_at_each_place(blob, between):
+    text = between.join([blob] * 3)
+    places = {text.index(blob, k * (len(blob) + len(between))) for k in range(3)}
+    spans = [(a, b) for a, k, b in scan(text)[1] if KINDS[k] == "assign"]
+    if between == "\n" or "%" not in blob:  # a percent-encoded line is one layer
+        assert len(spans) == 3
+    assert all(any(p <= a < b <= p + len(blob) for a, b in spans) for p in places)
+
+
 def test_query(spark, small_dir, texts):
     got = {r["doc_id"]: r for r in op4_secrets(spark, small_dir).collect()}
     assert len(got) == len(texts)
