@@ -1,7 +1,8 @@
 """Operator 8: near-duplicate embeddings by iterative quantisation.
 
-Rotations are learned from a bounded sample (``SAMPLE`` rows, those of least
-hashed id): starting at random, each alternates between the signs of the
+Rotations are learned from a bounded sample of distinct vectors (``SAMPLE`` of
+them, those of least hash; copies would draw the cuts to their vector):
+starting at random, each alternates between the signs of the
 rotated vectors and the rotation that best maps the vectors onto these signs;
 bits are cut at the sample's median, so they are balanced. Every vector is then
 coded by each rotation and indexed in tables keyed by ``BITS`` bits of its
@@ -83,7 +84,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     linkable = F.col("label").isNotNull() & F.coalesce(usable, F.lit(False))
     rows = rows.withColumn("class", F.when(linkable, F.sha2(F.concat_ws(" ", F.lit("v"), F.col("vec").cast("array<string>")), 256)))
     good = rows.where(F.col("class").isNotNull())
-    train = good.select("vec", F.xxhash64("vec_id").alias("h")).orderBy("h").limit(sample).toPandas()
+    classes = stored(good.groupBy("label", "class").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec")), "classes")
+    train = classes.dropDuplicates(["class"]).select("vec", F.xxhash64("class").alias("h")).orderBy("h").limit(sample).toPandas()
     if train.empty:
         return rows.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -96,8 +98,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
         ones = _unit_rows(pa.array(x), dim) @ w >= cut
         return pd.Series(list((ones.reshape(len(x), tables, bits) @ place).astype(np.int32)))
 
-    classes = (good.groupBy("label", "class").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
-               .withColumn("keys", table_keys("vec")).withColumn("dim", F.size("vec")))
+    classes = classes.withColumn("keys", table_keys("vec")).withColumn("dim", F.size("vec"))
     classes = stored(classes, "vectors")
     bucket = ["label", "dim", "t", "key"]
     keyed = classes.select("rep", "label", "dim", F.posexplode("keys").alias("t", "key"))

@@ -57,6 +57,23 @@ def test_clusters_copies_and_unusable_vectors(spark, block):
     assert all(h == whole[h[0]] for h in have if h[0] >= 300)
 
 
+def test_recall_beside_many_copies(spark):
+    """A third of the rows are copies of one vector, in the midst of its near copies."""
+    rng = np.random.default_rng(3)
+    hot = rng.standard_normal(64) / 8
+    vectors = rng.standard_normal((1400, 64)) / 8
+    vectors[:200] = hot + 0.2 * vectors[:200]  # about 0.98 to the hot one
+    vectors = [[float(np.float32(c)) for c in v] for v in [hot, *vectors]]
+    rows = [(k, v, 1, 1) for k, v in enumerate(vectors)] + [(10_000 + k, vectors[0], 1, 1) for k in range(700)]
+    want = {r[0]: r[1] for r in plain([(k, v, 1) for k, v, *_ in rows[: len(vectors)]])}
+    have = {r[0]: r[1] for r in got(near_duplicates(spark.createDataFrame(rows, SCHEMA)))}
+    assert have[0] - 700 >= 0.9 * want[0] > 100  # pairs of distinct vectors
+    linked = [k for k in range(1, len(vectors)) if have[k] > 700]  # those that meet the hot vector count its copies
+    assert len(linked) >= 0.9 * want[0]
+    among = sum(have[k] - (701 if have[k] > 700 else 0) for k in range(1, len(vectors)))
+    assert among >= 0.9 * (sum(want.values()) - 2 * want[0])
+
+
 def test_query_recall(spark, small_dir):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{small_dir}/embeddings.parquet").collect()]
     want, have = plain(rows), got(op8_embedding_duplicates(spark, small_dir))
