@@ -62,6 +62,19 @@ def test_query(spark, small_dir, texts, monkeypatch, table):
         assert got[i]["score"] == pytest.approx(plain.score(t or ""), rel=1e-5)
 
 
+@pytest.mark.parametrize("sent, table", [(1 << 16, 1 << 24), (50, 3000), (1, 1)])
+def test_rare_contexts_count(spark, small_dir, texts, monkeypatch, sent, table):
+    """Against a trie without a least share, whatever is looked up by the worker."""
+    monkeypatch.setattr(ppm, "SENT", sent, raising=False)
+    monkeypatch.setattr(ppm, "TABLE", table)
+    some = spark.createDataFrame([(i, t) for i, t in texts[:60]], "doc_id long, text string")
+    plain = Plain([t or "" for _, t in texts[20:60]])
+    plain.places = 0  # no share is too small
+    got = {r["doc_id"]: r["score"] for r in score(some, train(some.where(some.doc_id.isin([i for i, _ in texts[20:60]])))).collect()}
+    for i, t in texts[:40]:
+        assert got[i] == pytest.approx(plain.score(t or ""), rel=1e-5)
+
+
 def test_symbols_of_a_context_share_one():
     rng = np.random.default_rng(1)
     lower = rng.dirichlet(np.ones(256), 50)
