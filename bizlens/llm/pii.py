@@ -11,7 +11,8 @@ letters and digits are kept or made anew, so a pseudonym passes the same check.
 Equal values get equal pseudonyms in all documents, however they are written.
 
 Defined results: null text stays null; texts without a valid value stay as they
-are; values overlapping an earlier or (from the same place) a longer one are
+are; a value that fails its check is tried again without its last groups, and then from
+its later ones; values overlapping an earlier or (from the same place) a longer one are
 part of that one; rows are treated one by one, so repeated rows repeat; an
 empty table gives an empty result; all other columns pass unchanged.
 """
@@ -40,8 +41,10 @@ PATTERNS = {
     "date": re.compile(r"(?<![0-9/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9]|[/.-][0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
     "phone": re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}|[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4})(?![0-9])"),
-    "card": re.compile(r"(?<![0-9.-])[2-6][0-9]{3}(?:[ -]?[0-9]){8,15}(?![0-9]|[.-][0-9])"),
+    "card": re.compile(r"(?<![0-9.])[2-6][0-9]{3}(?:[ -]?[0-9]){8,15}(?![0-9]|\.[0-9])"),
 }
+#: What stands between the groups of a value that other groups may follow.
+GROUPED = {"iban": re.compile(" "), "phone": re.compile(r"[ .-](?=[0-9])"), "card": re.compile("[ -]")}
 #: A text without any of these holds no value.
 MARK = re.compile(r"[0-9@]")
 
@@ -181,19 +184,33 @@ def _phone(value: str, key: bytes) -> str | None:
 PSEUDONYM = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
+def _ends(kind: str, value: str) -> list[str]:
+    """``value`` and its shorter forms that end with a group (free digits or words
+    may follow), the longest first; a telephone number of its plan's length before these."""
+    if kind not in GROUPED:
+        return [value]
+    ends = [value, *(value[: m.start()] for m in reversed(list(GROUPED[kind].finditer(value))))]
+    if kind == "phone" and value.startswith("+1"):
+        ends.sort(key=lambda v: len(_digits(v)) != 11)
+    return ends
+
+
 def find(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the valid values, in order, not overlapping."""
     if not MARK.search(text):
         return []
     found = []
     for kind, pattern in PATTERNS.items():
-        for m in pattern.finditer(text):
-            value, made = m.group(), PSEUDONYM[kind](m.group(), key)
-            while made is None and kind == "iban" and " " in value:  # words in capitals may follow
-                value = value.rpartition(" ")[0]
-                made = PSEUDONYM[kind](value, key)
-            if made is not None:
-                found.append((m.start(), -m.start() - len(value), kind, made))
+        m = pattern.search(text)
+        while m:
+            value = m.group()
+            for value in _ends(kind, value):
+                if (made := PSEUDONYM[kind](value, key)) is not None:
+                    found.append((m.start(), -m.start() - len(value), kind, made))
+                    break
+            else:
+                value = "" if kind in GROUPED else value
+            m = pattern.search(text, m.start() + max(len(value), 1))  # a value may begin within a failed one
     out, at = [], 0
     for start, end, kind, made in sorted(found):
         if start >= at:

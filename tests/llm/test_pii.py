@@ -35,6 +35,17 @@ def test_words_in_capitals_after_an_iban():
     assert [f[2] for f in found] == ["iban"] and made.endswith(" AS AGREED")
 
 
+@pytest.mark.parametrize("text, value, kind", [
+    ("4111 1111 1111 1111 12/25", "4111 1111 1111 1111", "card"), ("4111 1111 1111 1111 123", "4111 1111 1111 1111", "card"),
+    ("2023 4111 1111 1111 1111", "4111 1111 1111 1111", "card"), ("2023 4111111111111111 12", "4111111111111111", "card"),
+    ("2023-4111-1111-1111-1111-12", "4111-1111-1111-1111", "card"), ("+1 988 555 2485 12", "+1 988 555 2485", "phone")])
+def test_values_beside_free_digits(text, value, kind):
+    made, found = pseudonymise(text, KEY)
+    at = text.index(value)
+    assert [(a, b, k) for a, b, k, _ in found] == [(at, at + len(value), kind)]
+    assert made == text.replace(value, pseudonymise(value, KEY)[0]) != text
+
+
 def test_equal_values_stay_linked():
     plain, spaced = (pseudonymise(v, KEY)[0] for v in ("4111111111111111", "4111-1111-1111-1111"))
     assert plain == spaced.replace("-", "")
