@@ -8,7 +8,8 @@ there by a keyed Feistel network; a result that the format doesn't allow is
 permuted again until it is allowed (cycle walking), so valid values map one to
 one to valid values. Separators, check digits, letter case and the place of
 letters and digits are kept or made anew, so a pseudonym passes the same check.
-Equal values get equal pseudonyms in all documents, however they are written.
+Equal values get equal pseudonyms in all documents, however they are written:
+telephone numbers are read as country code and digits, national forms as of +1.
 
 Defined results: null text stays null; texts without a valid value stay as they
 are; a value that fails its check is tried again without its last groups, and then from
@@ -43,6 +44,8 @@ PATTERNS = {
     "phone": re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}|[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4})(?![0-9])"),
     "card": re.compile(r"(?<![0-9.])[2-6][0-9]{3}(?:[ -]?[0-9]){8,15}(?![0-9]|\.[0-9])"),
 }
+#: Country codes of two digits; 1 and 7 have one, all others three.
+CODES_OF_TWO = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 #: What stands between the groups of a value that other groups may follow.
 GROUPED = {"iban": re.compile(" "), "phone": re.compile(r"[ .-](?=[0-9])"), "card": re.compile("[ -]")}
 #: A text without any of these holds no value.
@@ -167,18 +170,26 @@ def _ssn(value: str, key: bytes) -> str | None:
     return _written(value, f"{permute(d, 10**9, key, 'ssn', lambda x: bool(issued(x))):09d}") if issued(d) else None
 
 
+def _code(digits: str) -> str:
+    """The country code that an international number begins with."""
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in CODES_OF_TWO else 3]
+
+
 def _phone(value: str, key: bytes) -> str | None:
-    code = re.match(r"\+[0-9]{1,3}(?![0-9])", value)
-    head = code.group() if code else ("+" if value[0] == "+" else "")
-    rest = value[len(head):]
-    d = _digits(rest)
-    if not 7 <= len(d) <= 14 or len(_digits(head)) + len(d) > 15:
+    trunk = value.replace("(0)", "(o)")  # not part of the number
+    d = _digits(trunk)
+    if not 7 <= len(d) <= 15:
         return None
-    if head:
-        first = lambda x: True
-    else:  # national form: area and exchange begin with 2 to 9
-        first = lambda x: x // 10**9 > 1 and x // 10**6 % 10 > 1
-    return head + _written(rest, str(permute(int(d), 10 ** len(d), key, "phone" + head, first)).zfill(len(d)))
+    code, given = (_code(d), True) if value[0] == "+" else ("1", False)
+    rest = d[len(code):] if given else d
+    national = lambda x: x // 10**9 > 1 and x // 10**6 % 10 > 1  # noqa: E731  area and exchange begin with 2 to 9
+    if code == "1" and len(rest) == 10:
+        kind = national(int(rest))
+        allowed = lambda x: national(x) == kind
+    else:
+        allowed = lambda x: True
+    made = str(permute(int(rest), 10 ** len(rest), key, "phone+" + code, allowed)).zfill(len(rest))
+    return _written(trunk, (code if given else "") + made).replace("(o)", "(0)")
 
 
 PSEUDONYM = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}

@@ -55,6 +55,17 @@ def test_equal_values_stay_linked():
     assert len({pseudonymise(v, KEY)[0] for v in values}) == len(set(values))
 
 
+def test_equal_phones_stay_linked():
+    digits = lambda v: "".join(c for c in pseudonymise(v, KEY)[0] if c.isdigit())
+    for forms in (["+1 988-555-2485", "+19885552485", "+1 (988) 555-2485", "+1.988.555.2485"], ["+44 20 7946 0958", "+442079460958", "+44 2079 460958"],
+                  ["+35312345678", "+353 12 345 678"]):
+        assert len({digits(v) for v in forms}) == 1 and digits(forms[0]) != "".join(c for c in forms[0] if c.isdigit())
+        assert all(len(pseudonymise(v, KEY)[1]) == 1 for v in forms)
+    assert digits("988-555-2485") == digits("+19885552485")[1:] and digits("+44 (0)20 7946 0958").replace("440", "44", 1) == digits("+442079460958")
+    made = {digits(f"+1988555{k:04d}") for k in range(3000)} | {digits(f"+1088555{k:04d}") for k in range(3000)}
+    assert len(made) == 6000  # one to one
+
+
 def test_query_changes_found_spans_only(spark, small_dir, texts):
     got = {r["doc_id"]: r for r in op5_pseudonyms(spark, small_dir).collect()}
     assert len(got) == len(texts)
