@@ -7,8 +7,10 @@ bzip2 or xz stream, is decoded to a new layer, until no new layer appears. A
 layer whose content was met before at the same place of the text is not opened
 again (cycle detection), so the worklist ends: every new layer is met once a
 place, and all but the compressed ones are no longer than their source. Equal
-layers at two places are opened at both. A compressed layer that grows
-beyond ``MAX_LAYER`` bytes (a decompression bomb) is not opened.
+layers at two places are opened at both. A compressed layer, all members of it,
+is read in overlapping blocks of about ``MAX_LAYER`` bytes. Base64 is also joined
+over line breaks, and of bytes that are no text the printable runs (also of
+UTF-16) are layers.
 
 A layer's characters carry the span of the source characters that they come
 from, so each finding is reported where its encoded form stands in the text.
@@ -24,6 +26,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -48,7 +51,14 @@ LINE = re.compile(r"[^\n]+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){10,}(?![0-9A-Fa-f])")
-MAX_LAYER = 8 << 20
+RUN = re.compile("[A-Za-z0-9+/_-]+")
+#: A run that ends its line, and the lines of base64 alone that follow it.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+(?=[ \t=]*\r?(?:\n|\Z)))+")
+#: What a layer of other bytes is searched for; all that is looked for is ASCII, of 12 characters at least.
+PRINTABLE = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
+UTF16_LE, UTF16_BE = re.compile(rb"(?:[\t\r\n\x20-\x7e]\0){12,}"), re.compile(rb"(?:\0[\t\r\n\x20-\x7e]){12,}")
+ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+MAX_LAYER, OVERLAP = 8 << 20, 1 << 20
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -79,21 +89,44 @@ class Layer:
         return int(self.start[lo:hi].min()), int(self.end[lo:hi].max())
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """The content of a gzip, zlib, bzip2 or xz stream; None where it is none or longer than ``MAX_LAYER``."""
-    try:
-        if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] == 0x78 and data[1] in (0x01, 0x5E, 0x9C, 0xDA):
-            d = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
-        else:
-            return None
-        out = d.decompress(data, MAX_LAYER + 1)
-        return out if len(out) <= MAX_LAYER else None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+def _decoder(data: bytes):
+    if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] == 0x78 and data[1] in (0x01, 0x5E, 0x9C, 0xDA):
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
+def _inflate(data: bytes, size: int) -> Iterator[bytes]:
+    """The content of gzip, zlib, bzip2 or xz streams that follow each other, in
+    pieces of at most ``size`` bytes, as far as they can be read."""
+    while data and (d := _decoder(data)) is not None:
+        try:
+            while not d.eof:
+                out = d.decompress(data, size)
+                data = d.unconsumed_tail if hasattr(d, "unconsumed_tail") else b""
+                if out:
+                    yield out
+                elif not data:
+                    return  # the stream is cut short
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return
+        data = d.unused_data.lstrip(b"\0")
+
+
+def _blocks(data: bytes) -> Iterator[bytes]:
+    """Inflated content in blocks; each begins with the last ``OVERLAP`` bytes of
+    its predecessor, at a whole group of four of a run of base64."""
+    held, new = b"", 0
+    for piece in _inflate(data, MAX_LAYER // 2):
+        held, new = held + piece, new + len(piece)
+        if len(held) >= MAX_LAYER:
+            yield held
+            cut = len(held) - OVERLAP
+            cut -= (cut - len(held[:cut].rstrip(ALPHABET))) % 4
+            held, new = held[cut:], 0
+    if new:
+        yield held
 
 
 def _as_text(data: bytes) -> str | None:
@@ -106,23 +139,67 @@ def _as_text(data: bytes) -> str | None:
     return text if text and odd * 20 <= min(len(text), 4096) else None
 
 
-def _byte_layer(layer: Layer, data: bytes, lo: int, hi: int, num: int, den: int) -> Layer | None:
-    """The layer of bytes whose byte i was written by characters from i * num / den on."""
+def _texts(data: bytes) -> Iterator[tuple[str, int, int]]:
+    """(text, first byte, bytes a character or 0 for UTF-8) of the text in some
+    bytes: all of it, or its printable runs, and its runs of UTF-16."""
     text = _as_text(data)
     if text is not None:
-        width = np.array([len(c.encode()) for c in text]) if not text.isascii() else np.ones(len(text), np.int64)
-        stop = np.cumsum(width)
-        a = lo + (stop - width) * num // den
-        b = np.minimum(lo + -(-stop * num // den), hi)
-        if layer.start is None:
-            return Layer(text, a, b, layer.depth + 1)
-        return Layer(text, layer.start[a], layer.end[b - 1], layer.depth + 1)
-    plain = _inflate(data)
-    text = plain and _as_text(plain)
-    if not text:
+        yield text, 0, 0
+    else:
+        for m in PRINTABLE.finditer(data):
+            yield m.group().decode("ascii"), m.start(), 1
+    if b"\0" in data:
+        for pattern, first in ((UTF16_LE, 0), (UTF16_BE, 1)):
+            for m in pattern.finditer(data):
+                yield m.group()[first::2].decode("ascii"), m.start(), 2
+
+
+def _inflated(data: bytes, a: int, b: int, depth: int) -> Iterator[Layer]:
+    for block in _blocks(data):
+        for text, _, _ in _texts(block):  # a compressed character depends on the whole run
+            yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)), depth)
+
+
+def _byte_layers(layer: Layer, data: bytes, at: np.ndarray, num: int, den: int) -> Iterator[Layer | Iterator[Layer]]:
+    """The layers of bytes whose byte i was written by characters from at[i * num / den] on."""
+    if _decoder(data) is not None and _as_text(data) is None:
+        yield _inflated(data, *layer.span(int(at[0]), int(at[-1]) + 1), layer.depth + 1)
+    for text, first, wide in _texts(data):
+        if wide:
+            width = np.full(len(text), wide, np.int64)
+        else:
+            width = np.array([len(c.encode()) for c in text]) if not text.isascii() else np.ones(len(text), np.int64)
+        stop = first + np.cumsum(width)
+        a = at[(stop - width) * num // den]
+        b = at[np.minimum(-(-stop * num // den), len(at)) - 1] + 1
+        if layer.start is not None:
+            a, b = layer.start[a], layer.end[b - 1]
+        yield Layer(text, a, b, layer.depth + 1)
+
+
+def _base64(run: str) -> bytes | None:
+    try:
+        return base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
+    except (binascii.Error, ValueError):
         return None
-    a, b = layer.span(lo, hi)  # a compressed character depends on the whole run
-    return Layer(text, np.full(len(text), a), np.full(len(text), b), layer.depth + 1)
+
+
+def _wrapped(text: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Runs of base64 over several lines, and the places of their characters: all
+    of each, and its parts of lines of one length with a last line no longer."""
+    for m in WRAPPED.finditer(text):
+        lines = [(k.start(), k.end()) for k in RUN.finditer(text, m.start(), m.end())]
+        groups, first = [(0, len(lines))], 0
+        for k in range(1, len(lines) + 1):
+            size = lines[first][1] - lines[first][0]
+            if k == len(lines) or lines[k - 1][1] - lines[k - 1][0] != size or lines[k][1] - lines[k][0] > size:
+                if k - first > 1:
+                    groups.append((first, k))
+                first = k
+        for lo, hi in dict.fromkeys(groups):
+            run, at = "".join(text[a:b] for a, b in lines[lo:hi]), np.concatenate([np.arange(a, b) for a, b in lines[lo:hi]])
+            keep = len(run) - (len(run) % 4 == 1)
+            yield run[:keep], at[:keep]
 
 
 def _unescaped(layer: Layer, lo: int, hi: int) -> Layer:
@@ -179,7 +256,7 @@ def _escaped(m: re.Match) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
 
 
-def _opened(layer: Layer) -> Iterator[Layer | None]:
+def _opened(layer: Layer) -> Iterator[Layer | Iterator[Layer]]:
     text = layer.text
     for mark, pattern, undo in (("%", PERCENT, _percent), ("\\", ESCAPE, _unescaped)):
         if mark in text:
@@ -190,13 +267,15 @@ def _opened(layer: Layer) -> Iterator[Layer | None]:
         run = m.group().rstrip("=")
         if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run[1:].islower()):
             continue  # no base64 length, or a plain word
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        yield _byte_layer(layer, data, m.start(), m.start() + len(run), 4, 3)
+        data = _base64(run)
+        if data:
+            yield from _byte_layers(layer, data, np.arange(m.start(), m.start() + len(run)), 4, 3)
+    for run, at in _wrapped(text):
+        data = _base64(run)
+        if data:
+            yield from _byte_layers(layer, data, at, 4, 3)
     for m in HEX_RUN.finditer(text):
-        yield _byte_layer(layer, bytes.fromhex(m.group()), m.start(), m.end(), 2, 1)
+        yield from _byte_layers(layer, bytes.fromhex(m.group()), np.arange(m.start(), m.end()), 2, 1)
 
 
 def _place(layer: Layer) -> bytes:
@@ -213,8 +292,17 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     found, seen, work, layers = set(base), set(), [Layer(text)], 0
     while work:
         layer = work.pop()
-        for inner in _opened(layer):
-            if inner is None or (key := _place(inner)) in seen:
+        if isinstance(layer, Layer):
+            opened = _opened(layer)
+        else:  # an inflated stream: its next block, and then the rest
+            opened = [*itertools.islice(layer, 1)]
+            if opened:
+                work.append(layer)
+        for inner in opened:
+            if not isinstance(inner, Layer):
+                work.append(inner)
+                continue
+            if (key := _place(inner)) in seen:
                 continue
             seen.add(key)
             layers += 1

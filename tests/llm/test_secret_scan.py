@@ -78,6 +78,20 @@ def test_equal_layers_are_reported_at_each_place(blob, between):
     assert all(any(p <= a < b <= p + len(blob) for a, b in spans) for p in places)
 
 
+NOISE = random.Random(5).randbytes
+
+
+@pytest.mark.parametrize("hidden", [
+    B64(gzip.compress(b"a b " * 3_000_000 + SECRET.encode() + b" c d" * 900_000, mtime=0)),  # 12 MB before it
+    B64(gzip.compress(b"plain words", mtime=0) + gzip.compress(SECRET.encode(), mtime=0)), B64(bz2.compress(b"plain") + bz2.compress(SECRET.encode())),
+    base64.encodebytes(b"words of any kind, " * 5 + SECRET.encode()).decode(), base64.encodebytes(gzip.compress(NOISE(90) + SECRET.encode(), mtime=0)).decode(),
+    B64(NOISE(5000) + SECRET.encode()), B64(SECRET.encode("utf-16")), B64(SECRET.encode("utf-16-be")), NOISE(30).hex() + SECRET.encode().hex()])
+def test_whole_layers(hidden):
+    text = f"before {hidden} after"
+    spans = [(a, b) for a, k, b in scan(text)[1] if KINDS[k] == "assign"]
+    assert spans and all(7 <= a < b <= 7 + len(hidden) for a, b in spans)
+
+
 def test_query(spark, small_dir, texts):
     got = {r["doc_id"]: r for r in op4_secrets(spark, small_dir).collect()}
     assert len(got) == len(texts)
