@@ -290,11 +290,14 @@ def _verified(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
+                       keys: bool = False) -> DataFrame:
     """Id, ``n_shingles`` and ``component_id`` for every row. ``percent``: the
-    least Jaccard similarity in hundredths, compared exactly."""
+    least Jaccard similarity in hundredths, compared exactly. ``keys``: also
+    ``text_key`` (xxhash64 of the text) and ``component`` (a key of its own, as
+    rows of one id may be in several components; null without shingles)."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
 
     def sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -329,10 +332,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
                     one, two = mix64(s).sum(dtype=np.uint64), mix64(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
                     out.append((n, int(one.view(np.int64)), int(two.view(np.int64)), rare[:first].view(np.int64), packed_point(s)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), *(pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True))],
-                    ["id", "n", "class", "check", "keys", "point"])
+                    [b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), *(pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True))],
+                    ["id", "text_key", "n", "class", "check", "keys", "point"])
 
-    made = stored(rows.mapInArrow(describe, "id long, n long, class long, check long, keys array<long>, point binary"), "sets")
+    made = stored(rows.mapInArrow(describe, "id long, text_key long, n long, class long, check long, keys array<long>, point binary"), "sets")
     classes = made.where("n > 0").groupBy("class", "check", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("point").alias("point"))
     posted = classes.select("class", F.explode("keys").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
@@ -346,7 +349,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
     family = family.join(made.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "class")
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     wanted = family.join(family.groupBy("family").agg(parts.alias("blocks")), "family")
-    texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"])).select("text", "class", "family", "blocks")
+    texts = rows.drop("text_key").join(wanted, rows["id"].eqNullSafe(wanted["id"])).select("text", "class", "family", "blocks")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -362,10 +365,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
     links = (_blocks(texts.mapInArrow(again, "class long, family long, blocks long, shingles binary"), "blocks", "class")
              .repartition(*group).sortWithinPartitions(*group).mapInArrow(_verified(percent), "a long, b long"))
     linked = components(links).withColumnsRenamed({"node": "class", "component": "top"})
-    members = made.select("id", "n", "class").join(linked, "class", "left").withColumn("top", F.coalesce("top", "class"))
+    members = made.select("id", "text_key", "n", "class").join(linked, "class", "left").withColumn("top", F.coalesce("top", "class"))
     least = members.where("n > 0").groupBy("top").agg(F.min("id").alias("component_id"))
     return members.join(least, "top", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        *([F.col("text_key"), F.when(F.col("n") > 0, F.col("top")).alias("component")] if keys else []))
 
 
 def op2_jaccard(spark, sf_dir: str) -> DataFrame:

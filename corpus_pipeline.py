@@ -4,10 +4,10 @@ Parquet, and all but the last return the columns of ``documents``.
 
 Defined results: the language stage drops texts whose language can't be told
 (null texts and texts without a letter) and nothing else; of each group of near
-duplicates the document of least id stays, documents without words have no
-group and stay, and repeated rows of one id and text stay once; in texts that
-change, ``n_chars`` is counted anew. Rows without an id are kept or dropped
-together, as nothing tells them apart. Empty tables pass through.
+duplicates the document of least id stays (of several texts of that id one),
+documents without words have no group and stay, and repeated rows of one id and
+text stay once; in texts that change, ``n_chars`` is counted anew. Rows without
+an id come last in their group and are told apart by their text. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -28,13 +28,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2 on shingles of five words at a Jaccard similarity of 0.8 or
     more: one document of each group stays."""
-    found = stored(jaccard.jaccard_components(docs, shingle=5, percent=80), "groups")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
-    once = docs.join(keep.where("rows = 1"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    found = stored(jaccard.jaccard_components(docs, shingle=5, percent=80, keys=True), "groups")
+    texts = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"), F.first("component").alias("component"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "rows")).alias("first")
+    keep = (texts.where("component is null").select("doc_id", "text_key", "rows")
+            .unionByName(texts.where("component is not null").groupBy("component").agg(first).select("first.doc_id", "first.text_key", "first.rows"))
+            .withColumnsRenamed({"doc_id": "kept_id", "text_key": "kept_key"}))
+    kept = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key"))
+    once = docs.join(keep.where("rows = 1"), kept, "left_semi")
     repeated = keep.where("rows > 1")
     if repeated.isEmpty():
         return once
-    more = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    more = docs.join(repeated, kept, "left_semi")
     return once.unionByName(more.dropDuplicates(["doc_id", "text"]))
 
 

@@ -30,6 +30,14 @@ def test_stages(spark, small_dir, docs):
     assert sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in whole) == sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in placed)
 
 
+def test_one_document_of_each_group_where_ids_repeat(spark, small_dir):
+    x, y = (" ".join(f"{w}{k}" for k in range(60)) for w in "xy")
+    kept = lambda rows: sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), small_dir).collect())
+    two = kept([(5, x), (5, x + " end")])
+    assert len(two) == 1 and two[0] in [(5, x), (5, x + " end")]
+    assert kept([(3, x), (5, x), (5, y), (5, y), (7, "")]) == [(3, x), (5, y), (7, "")]
+
+
 def test_odd_and_empty(spark, small_dir, odd, none):
     for rows in (odd, none):
         docs = rows
