@@ -15,6 +15,7 @@ from bizlens.llm.langid import op10_language
 from bizlens.llm.packing import op1_packing
 from bizlens.llm.pii import op5_pseudonyms
 from bizlens.llm.ppm import op6_ppm_scores
+from bizlens.llm.repeats import op12_repeats
 from bizlens.llm.secret_scan import op4_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_duplicates": op8_embedding_duplicates,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
+    "op12_repeats": op12_repeats,
 }
 
 ORACLES: dict[str, str] = {"op3_perspectives": OP3_SQL}
