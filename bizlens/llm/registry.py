@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bizlens.llm.bpe import op9_byte_bpe
 from bizlens.llm.chat import OP3_SQL, op3_perspectives
+from bizlens.llm.collocations import OP13_SQL, op13_collocations
 from bizlens.llm.ctph import op7_fingerprints
 from bizlens.llm.itq import op8_embedding_duplicates
 from bizlens.llm.jaccard import op2_jaccard
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
     "op12_repeats": op12_repeats,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLES: dict[str, str] = {"op3_perspectives": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_perspectives": OP3_SQL, "op13_collocations": OP13_SQL}
