@@ -16,6 +16,7 @@ from bizlens.llm.langid import op10_language
 from bizlens.llm.packing import op1_packing
 from bizlens.llm.pii import op5_pseudonyms
 from bizlens.llm.ppm import op6_ppm_scores
+from bizlens.llm.repair import op11_repair
 from bizlens.llm.repeats import op12_repeats
 from bizlens.llm.secret_scan import op4_secrets
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_duplicates": op8_embedding_duplicates,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
+    "op11_repair": op11_repair,
     "op12_repeats": op12_repeats,
     "op13_collocations": op13_collocations,
 }
