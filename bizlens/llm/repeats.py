@@ -46,8 +46,8 @@ from bizlens.llm.common import documents, gather, mix64, partitions, small_batch
 from bizlens.llm.textbytes import BASE, INVERSE, powers, text_bytes
 
 LENGTH, TRIGGER = 50, 20
-SLICE_TEXT, BLOCK, BUCKET_TEXT = 8 << 20, 1 << 20, 32 << 20
-HEAVY, CHUNK = 4096, 1 << 16
+SLICE_TEXT, BLOCK, BUCKET_TEXT = 1 << 20, 1 << 18, 16 << 20
+HEAVY, CHUNK = 4096, 1 << 14
 NO_ID = np.iinfo(np.int64).max
 KEY_BITS = 48
 
@@ -162,11 +162,11 @@ class Parse:
         end = first + windows + self.length - 1
         content = mix64((total[end] - total[first]) * down[first]) ^ mix64(windows.astype(np.uint64))
         t = least[first]
-        return first + start, windows, t - first, roll[t], content
+        return first + start, windows, t - first, mix64(~roll[t]), content  # least hashes are small ones: mixed again, keys are spread evenly
 
     def trigger_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct triggers in order, and in how many distinct phrases each is (255: or more)."""
-        return self.key[self.trigger_at], np.minimum(np.diff(np.append(self.trigger_at, len(self.key))), 255).astype(np.uint8)
+        """Distinct triggers in order, and in how many distinct phrases each is."""
+        return self.key[self.trigger_at], np.diff(np.append(self.trigger_at, len(self.key))).astype(np.uint32)
 
     def outgoing(self, codes: np.ndarray) -> tuple[np.ndarray, ...]:
         """What other slices must be asked about, sorted by key: the key, the
@@ -296,7 +296,7 @@ def _ask_triggers(buckets: int, length: int) -> Callable:
 
 def _shared_triggers(rows: pa.Table) -> pa.Table:
     """For a range of triggers: which of them several slices have."""
-    sent = [grow(b, np.uint64, np.uint8) for b in rows.column("head").to_pylist()]
+    sent = [grow(b, np.uint64, np.uint32) for b in rows.column("head").to_pylist()]
     keys = [np.cumsum(k) for k, _ in sent]
     all_keys = np.concatenate(keys)
     distinct, which, slices = np.unique(all_keys, return_inverse=True, return_counts=True)
@@ -308,7 +308,7 @@ def _shared_triggers(rows: pa.Table) -> pa.Table:
 
 
 def _codes(p: Parse, replies: list[dict]) -> np.ndarray:
-    """What a slice was told of its triggers, in their order (255: at least that many phrases here)."""
+    """What a slice was told of its triggers, in their order."""
     return np.concatenate([grow(r["codes"], np.uint8)[0] for r in replies]) if replies else np.zeros(len(p.trigger_at), np.uint8)
 
 
@@ -409,6 +409,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must be from {TRIGGER} to {TRIGGER + 127}")
     spark = docs.sparkSession
     small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")  # a row of the slices is about a megabyte
     slices = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(pack, "slice long, bytes long, data binary"), "slices")
     total = slices.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(partitions(spark), -(-total // BUCKET_TEXT))
