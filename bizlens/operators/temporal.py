@@ -1,20 +1,22 @@
 """As-of (nearest event), status at a date, state transitions and durations.
 
-Spark has no as-of join operator. ``nearest_event`` is written as an equi
-join on the entity key with the time inequality as a join filter, then a
-``rank() == 1`` per key and anchor (ties kept). Spark plans that filter as a partial
-WindowGroupLimit before the shuffle and a final one after it: every task
-forwards only its nearest rows of each key, so a key holding a third of all
-events is reduced in every task, and the input is read once.
+Spark has no as-of join operator. ``nearest_event`` puts events and anchors in
+one ordered sequence per entity and carries the last (or next) event time along
+it (``ordered.scan``): over ranges of (entity, time) found by sampled splits,
+and across their borders by one edge row. No event meets an anchor that it is
+not nearest to, so the work is linear in both, also where one entity has most
+of the rows; the nearest times then meet their events in an equi join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bizlens.operators.keys import join_null_safe
+from bizlens.operators.ordered import parts, scan
 from bizlens.operators.rank import top_per_group
 
 
@@ -26,18 +28,24 @@ def nearest_event(events: DataFrame, anchors: DataFrame, key: str, ts: str, anch
     events at the nearest time are returned (ties kept), each with the anchor's
     time as ``anchor_ts``. Repeated anchors count once; rows without key or time
     are near nothing."""
-    a = anchors.select(F.col(key).alias("__k"), F.col(anchor_ts).alias("__at")).distinct()
-    if direction == "after":
-        cond = F.col(ts) >= F.col("__at") if inclusive else F.col(ts) > F.col("__at")
-        order = F.asc(ts)
-    elif direction == "before":
-        cond = F.col(ts) <= F.col("__at") if inclusive else F.col(ts) < F.col("__at")
-        order = F.desc(ts)
-    else:
+    if direction not in ("after", "before"):
         raise ValueError(direction)
-    cand = events.join(a, (F.col(key) == F.col("__k")) & cond).drop("__k")
-    near = top_per_group(cand, [key, "__at"], [order], 1, ties=True)
-    return near.withColumnRenamed("__at", anchor_ts)
+    after = direction == "after"
+    near = nearest_times(events, anchors, key, ts, anchor_ts, after, inclusive)
+    return events.join(near, (F.col(key) == F.col("__k")) & (F.col(ts) == F.col("__near"))).drop("__k", "__near").withColumnRenamed("__at", anchor_ts)
+
+
+def nearest_times(events: DataFrame, anchors: DataFrame, key: str, ts: str, anchor_ts: str, after: bool, inclusive: bool) -> DataFrame:
+    """``__k``, ``__at``, ``__near``: the nearest event time of each anchor that has one."""
+    when = events.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("__k"), F.col(ts).alias("__t"), F.col(ts).alias("__event"), F.lit(None).cast(anchors.schema[anchor_ts].dataType).alias("__at")).distinct()
+    asked = anchors.filter(F.col(key).isNotNull() & F.col(anchor_ts).isNotNull()).select(
+        F.col(key).alias("__k"), F.col(anchor_ts).alias("__t"), F.lit(None).cast(events.schema[ts].dataType).alias("__event"), F.col(anchor_ts).alias("__at")).distinct()
+    # at equal times the sequence reaches an event before the anchor only where equality counts
+    is_event = F.col("__event").isNotNull()
+    both = when.unionByName(asked).withColumn("__side", F.when(is_event == F.lit(after == inclusive), 1).otherwise(0))
+    carried = scan(both, ["__k"], ["__t", "__side"], {"__near": ("last", "__event")}, backward=after)
+    return carried.filter(F.col("__at").isNotNull() & F.col("__near").isNotNull()).select("__k", "__at", "__near")
 
 
 def extreme_rows(df: DataFrame, key: str, ts: str, which: str = "first") -> DataFrame:
@@ -68,9 +76,36 @@ def time_in_state(df: DataFrame, start: str, end: str, open_end: str = "9999-12-
 
 
 def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict) -> DataFrame:
-    """Exact percentiles of ``value`` per group (linear interpolation,
-    like ``quantile_cont``)."""
-    return df.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in ps.items()])
+    """Exact percentiles of ``value`` (not NULL) per group, by rank
+    selection: linear interpolation between the two neighbouring ranks, like
+    ``quantile_cont``; NULL for a group without values.
+
+    Values are counted per group, a histogram over ranges of (group, value) tells
+    which ranges hold the wanted ranks, and only these ranges are ranked. So no
+    group's values are gathered anywhere, whatever their number."""
+    keys = list(keys)
+    counts = parts(df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__n")), keys + ["__v"])
+    ranges = counts.groupBy(*keys, "__b").agg(F.sum("__n").alias("__sum"))
+    by = Window.partitionBy(*keys)
+    ranges = ranges.select(*keys, "__b", F.sum("__sum").over(by).alias("__total"),
+                           (F.sum("__sum").over(by.orderBy("__b")) - F.col("__sum")).alias("__before"), "__sum")
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), (F.lit(float(p)) * (F.col("__total") - 1)).alias("at")) for name, p in ps.items()])
+    near = lambda w: (F.floor(w["at"]) < F.col("__before") + F.col("__sum")) & (F.ceil(w["at"]) >= F.col("__before"))
+    hit = ranges.withColumn("__wanted", F.filter(wanted, near)).filter(F.size("__wanted") > 0)
+    ranked = join_null_safe(counts, hit, keys + ["__b"])
+    upto = F.sum("__n").over(Window.partitionBy(*keys, "__b").orderBy("__v")) + F.col("__before")
+    ranked = ranked.withColumn("__upto", upto).select(*keys, "__v", "__n", "__upto", F.explode("__wanted").alias("__w"))
+
+    def at_rank(rank: Column) -> Column:  # the value whose rows cover that rank (from 0)
+        return F.max(F.when((rank >= F.col("__upto") - F.col("__n")) & (rank < F.col("__upto")), F.col("__v").cast("double")))
+
+    found = ranked.groupBy(*keys, F.col("__w.name").alias("__name"), F.col("__w.at").alias("__at")).agg(
+        at_rank(F.floor("__w.at")).alias("__lo"), at_rank(F.ceil("__w.at")).alias("__hi"))
+    exact = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * (F.col("__at") - F.floor("__at"))
+    out = found.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == n, exact)).alias(n) for n in ps])
+    if not keys:
+        return out
+    return join_null_safe(df.select(*keys).distinct(), out, keys, "left")
 
 
 def approx_percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict,
