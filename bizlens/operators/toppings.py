@@ -1,7 +1,9 @@
 """Operators on items made of listed parts (recipes, exclusions, extras).
 
-The parts come from a table (``topping_id, topping_name``), read as one map or
-list per query; a part that the table lacks has no name and is left out.
+Items repeat few list texts, so texts are made once for each distinct list (or
+recipe with its changes) and joined back to the items. The parts come from a
+table (``topping_id, topping_name``) of any size, met by opened lists in an
+equi join; a part that the table lacks has no name and is left out.
 """
 
 from __future__ import annotations
@@ -10,55 +12,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.text import csv_items
+from bizlens.operators.keys import join_null_safe
 
 
-def _names(toppings: DataFrame) -> Column:
-    """id (text) -> (sort key, name); one value for the whole query."""
-    entry = F.struct(F.col("topping_id").cast("string"), F.struct(F.lower("topping_name").alias("k"), F.col("topping_name").alias("name")))
-    return toppings.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-
-
-def _named(items: Column, names: Column) -> Column:
-    return F.filter(F.transform(items, lambda t: F.try_element_at(names, t)), lambda x: x.isNotNull())
+def list_names(texts: DataFrame, toppings: DataFrame, col: str, out: str) -> DataFrame:
+    """``col`` and the names of its listed parts in their order (``out``), for
+    every distinct list that has any."""
+    opened = texts.select(col).distinct().select(col, F.posexplode(csv_items(col)).alias("__pos", "__id"))
+    named = opened.join(toppings, F.col("__id") == F.col("topping_id").cast("string"))
+    listed = F.sort_array(F.collect_list(F.struct("__pos", "topping_name")))
+    return named.groupBy(col).agg(F.array_join(F.transform(listed, lambda x: x["topping_name"]), ", ").alias(out))
 
 
 def item_label(items: DataFrame, toppings: DataFrame, name: str = "pizza_name", out: str = "order_item") -> DataFrame:
     """Adds 'Name - Exclude A, B - Extra C' from the lists ``exclusions`` and ``extras``."""
-    j = items.withColumn("__names", _names(toppings))
-
-    def part(text: str, col: str) -> Column:
-        listed = F.transform(_named(csv_items(col), F.col("__names")), lambda x: x["name"])
-        return F.when(F.size(listed) > 0, F.concat(F.lit(text), F.array_join(listed, ", "))).otherwise("")
-
-    return j.withColumn(out, F.concat(F.col(name), part(" - Exclude ", "exclusions"), part(" - Extra ", "extras"))).drop("__names")
-
+    def part(text: str, names: str) -> Column:
+        return F.coalesce(F.concat(F.lit(text), F.col(names)), F.lit(""))
 
-def recipe_lists(recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """``pizza_id`` and its named parts in alphabetical order (case-insensitive),
-    made once per recipe: ``parts`` of (k, name, id)."""
-    names = recipes.withColumn("__names", _names(toppings))
-    parts = F.transform(csv_items("toppings"), lambda t: F.struct(
-        F.try_element_at("__names", t)["k"].alias("k"), F.try_element_at("__names", t)["name"].alias("name"), t.alias("id")))
-    return names.select("pizza_id", F.array_sort(F.filter(parts, lambda p: p["name"].isNotNull())).alias("parts"))
+    j = items
+    for col in ("exclusions", "extras"):
+        j = j.join(list_names(items, toppings, col, f"__{col}"), col, "left")
+    label = F.concat(F.col(name), part(" - Exclude ", "__exclusions"), part(" - Extra ", "__extras"))
+    return j.select(*[F.col(c) for c in items.columns if c != out], label.alias(out))
 
 
 def ingredient_list(items: DataFrame, recipes: DataFrame, toppings: DataFrame, name: str = "pizza_name",
                     out: str = "ingredient_list") -> DataFrame:
     """Adds 'Name: A, 2xB, ...': the recipe's parts without the exclusions
-    and with the extras, alphabetical, with 'Nx' before a part that occurs N > 1
-    times. One pass over the recipe where an item has no extras."""
-    j = items.join(recipe_lists(recipes, toppings), "pizza_id").withColumns(
-        {"__names": _names(toppings), "__out": csv_items("exclusions")})
-    kept = F.filter("parts", lambda p: ~F.array_contains("__out", p["id"]))
-    j = j.withColumns({"__kept": F.transform(kept, lambda p: F.struct(p["k"], p["name"])),
-                       "__extra": _named(csv_items("extras"), F.col("__names"))})
-    both = F.array_sort(F.concat("__kept", "__extra"))
-    counted = F.transform(F.array_distinct("__all"), lambda p: F.struct(F.size(F.filter("__all", lambda q: q == p)).alias("n"), p["name"].alias("name")))
-    texts = F.when(F.size("__extra") == 0, F.transform("__kept", lambda p: p["name"])).otherwise(
-        F.transform(counted, lambda c: F.when(c["n"] > 1, F.concat(c["n"].cast("string"), F.lit("x"), c["name"])).otherwise(c["name"])))
-    j = j.withColumn("__all", F.when(F.size("__extra") > 0, both))
-    return j.withColumn(out, F.concat(F.col(name), F.lit(": "), F.array_join(texts, ", "))).drop(
-        "parts", "__names", "__out", "__kept", "__extra", "__all")
+    and with the extras, alphabetical (case-insensitive), with 'Nx' before a part
+    that occurs N > 1 times. Items of an unknown recipe are left out."""
+    changes = ["__recipe", "exclusions", "extras"]
+    j = items.join(recipes.select("pizza_id", F.col("toppings").alias("__recipe")), "pizza_id")
+    kinds = j.select(*changes).distinct()
+    out_of = csv_items("exclusions")
+    kept = F.when(F.size("__out") == 0, F.col("__in")).otherwise(F.filter("__in", lambda p: ~F.array_contains("__out", p)))
+    opened = kinds.withColumns({"__in": csv_items("__recipe"), "__out": out_of}).select(*changes, F.explode(F.concat(kept, csv_items("extras"))).alias("__id"))
+    named = opened.join(toppings, F.col("__id") == F.col("topping_id").cast("string"))
+    counted = named.groupBy(*changes, "topping_name").agg(F.count("*").alias("n"))
+    text = F.when(F.col("n") > 1, F.concat(F.col("n").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(F.col("topping_name"))
+    listed = F.sort_array(F.collect_list(F.struct(F.lower("topping_name").alias("k"), F.col("topping_name").alias("name"), text.alias("text"))))
+    lists = counted.groupBy(*changes).agg(F.array_join(F.transform(listed, lambda x: x["text"]), ", ").alias("__text"))
+    j = join_null_safe(j, lists, changes, "left")
+    made = F.concat(F.col(name), F.lit(": "), F.coalesce("__text", F.lit("")))
+    return j.select(*[F.col(c) for c in items.columns if c != out], made.alias(out))
 
 
 def ingredient_usage(items: DataFrame, recipes: DataFrame, toppings: DataFrame, out: str = "total_quantity") -> DataFrame:
