@@ -9,9 +9,9 @@ cut counts (of equals the first). A candidate that lies inside a longer one
 which has at least ``absorb`` percent of its count is dropped.
 
 Counting. A task inserts the three words that start at each place into a trie
-over word ids: the root leads by first word to a hash container of the other
-two, a container of more than ``BURST`` entries bursts into one container for
-each second word. At ``SPILL`` entries whole subtrees leave, the largest ones
+over word ids: the root leads by the first word's id to hash containers, and a
+container of more than ``BURST`` entries bursts into containers by the second
+word's id. At ``SPILL`` entries whole subtrees leave, the largest ones
 first, until half of the entries are left. They leave as sorted runs, cut by
 the hash of their first two words; each such prefix partition merges its runs
 on its own, sums the counts of the phrases' beginnings on the way and keeps
@@ -23,11 +23,13 @@ Defined results: null texts are empty; a null language is ``und``, together
 with rows of that very name; repeated rows count again, ids play no part; a
 piece without words gives nothing; long texts are counted whole; an empty
 table gives an empty result. Other columns are ignored. Scores and counts are
-exact: products are decimals of 38 digits, which hold counts to 10^16.
+exact: products are decimals of 38 digits, which hold counts to 10^16. Within a
+task a word is known by a 64-bit hash, between tasks by its bytes.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ from bizlens.llm.common import documents, mix64, partitions, slices, small_batch
 from bizlens.llm.textbytes import BASE, INVERSE, LOWER, powers, text_bytes
 
 MIN_COUNT, TOP, ABSORB = 10, 2000, 50
-BURST, SPILL, PART_TEXT = 4096, 400_000, 16 << 20
+FAN, BURST, SPILL, PART_TEXT = 64, 16_384, 400_000, 16 << 20
 BITS = 21  # of a word id within a task or a partition
 CUT, GAP = np.zeros(256, bool), np.zeros(256, bool)
 CUT[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
@@ -69,14 +71,19 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class HatTrie:
-    """Counts of places by the up to three words that start there."""
+    """Counts of places by the up to three words that start there. A node is a
+    hash container of packed words, or, burst, a list of nodes by word id."""
 
     def __init__(self) -> None:
-        self.names: list[tuple[str, bytes]] = []  # (language, word) of each id
+        self.clear()
+
+    def clear(self) -> None:
+        self.names: list[bytes] = []  # of each id, with its hash and language
         self.hashes: list[int] = []
-        self.ids: dict[tuple[str, bytes], int] = {}
-        self.root: dict[int, dict] = {}  # first word -> container, or second word -> container where burst
-        self.burst: set[int] = set()
+        self.langs: list[int] = []
+        self.tongues: dict[str, int] = {}
+        self.ids: dict[int, int] = {}  # by the hash of language and word
+        self.root: list = [Counter() for _ in range(FAN)]  # by the first word
         self.entries = 0
 
     def insert(self, langs: list[str], data: np.ndarray, offsets: np.ndarray) -> None:
@@ -91,75 +98,59 @@ class HatTrie:
         lang = of[text]
         salt = mix64(np.array([zhash(x) for x in names], np.uint64))
         h, where, word = np.unique(_hash(data, start, end) ^ salt[lang], return_index=True, return_inverse=True)
-        raw, ids = data.tobytes(), np.empty(len(h), np.int64)
-        for k, (x, s, e, g) in enumerate(zip(h.tolist(), start[where].tolist(), end[where].tolist(), lang[where].tolist())):
-            name = (names[g], raw[s:e])
-            i = self.ids.get(name)
-            if i is None:
-                i = self.ids[name] = len(self.names)
-                self.names.append(name)
-                self.hashes.append(x)
-            ids[k] = i
-        a = ids[word]
+        known = list(map(self.ids.get, h.tolist()))
+        raw, tongue = data.tobytes(), [self.tongues.setdefault(x, len(self.tongues)) for x in names]
+        for k in [k for k, i in enumerate(known) if i is None]:
+            w, x = where[k], int(h[k])
+            known[k] = self.ids[x] = len(self.names)
+            self.names.append(raw[start[w] : end[w]])
+            self.hashes.append(x)
+            self.langs.append(tongue[lang[w]])
+        a = np.array(known, np.int64)[word]
         b, c = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
         b[:-1] = np.where(piece[1:] == piece[:-1], a[1:] + 1, 0)
         c[:-2] = np.where(piece[2:] == piece[:-2], a[2:] + 1, 0)
-        key, count = np.unique((a << 2 * BITS) | (b << BITS) | c, return_counts=True)
-        self._add(key, count)
-
-    def _add(self, key: np.ndarray, count: np.ndarray) -> None:
-        """Sorted keys: one container at a time."""
-        first = key >> 2 * BITS
-        at = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
-        rest, keys, counts = key & (1 << 2 * BITS) - 1, key, count.tolist()
-        rest = rest.tolist()
-        for w, s, e in zip(first[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)]):
-            box = self.root.setdefault(w, {})
-            if w in self.burst:
-                for r, n in zip(rest[s:e], counts[s:e]):
-                    child = box.setdefault(r >> BITS, {})
-                    self.entries -= len(child)
-                    child[r] = child.get(r, 0) + n
-                    self.entries += len(child)
+        self._add(self.root, (a << 2 * BITS) | (b << BITS) | c, 2 * BITS)
+
+    def _add(self, nodes: list, keys: np.ndarray, shift: int) -> None:
+        """``keys`` to the nodes of one word's ids."""
+        slot = (keys >> shift & FAN - 1).astype(np.uint8)
+        keys = keys[np.argsort(slot, kind="stable")]
+        ends = np.cumsum(np.bincount(slot, minlength=FAN)).tolist()
+        for k, (s, e) in enumerate(zip([0, *ends], ends)):
+            if s == e:
+                continue
+            node = nodes[k]
+            if isinstance(node, list):
+                self._add(node, keys[s:e], shift - BITS)
                 continue
-            self.entries -= len(box)
-            for r, n in zip(rest[s:e], counts[s:e]):
-                box[r] = box.get(r, 0) + n
-            self.entries += len(box)
-            if len(box) > BURST:
-                children: dict[int, dict] = {}
-                for r, n in box.items():
-                    children.setdefault(r >> BITS, {})[r] = n
-                self.root[w] = children
-                self.burst.add(w)
+            self.entries -= len(node)
+            node.update(keys[s:e].tolist())
+            self.entries += len(node)
+            if len(node) > BURST and shift == 2 * BITS:
+                children: list = [Counter() for _ in range(FAN)]
+                for key, n in node.items():
+                    children[key >> BITS & FAN - 1][key] = n
+                nodes[k] = children
 
     def spill(self, everything: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(key, count) of the subtrees that leave, sorted."""
         trees = []
-        for w, box in self.root.items():
-            trees += [(len(child), w, second) for second, child in box.items()] if w in self.burst else [(len(box), w, None)]
+        for at, node in enumerate(self.root):
+            trees += [(len(child), node, k) for k, child in enumerate(node)] if isinstance(node, list) else [(len(node), self.root, at)]
         trees.sort(key=lambda t: -t[0])
         keep = 0 if everything else self.entries // 2
-        keys, counts = [], []
-        for size, w, second in trees:
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size, nodes, k in trees:
             if self.entries <= keep:
                 break
-            box = self.root[w]
-            box = box.pop(second) if second is not None else self.root.pop(w)
-            if w in self.burst and not self.root[w]:
-                del self.root[w]
-                self.burst.discard(w)
-            keys.append(np.fromiter(box.keys(), np.int64, size) | w << 2 * BITS)
-            counts.append(np.fromiter(box.values(), np.int64, size))
+            keys.append(np.fromiter(nodes[k].keys(), np.int64, size))
+            counts.append(np.fromiter(nodes[k].values(), np.int64, size))
+            nodes[k] = Counter()
             self.entries -= size
-        if not self.root:
-            names, hashes, self.names, self.hashes, self.ids = self.names, self.hashes, [], [], {}
-            self.left = (names, hashes)
-        else:
-            self.left = (self.names, self.hashes)
-        key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        key = np.concatenate(keys)
         order = np.argsort(key)
-        return key[order], (np.concatenate(counts) if counts else key)[order]
+        return key[order], np.concatenate(counts)[order]
 
 
 def zhash(name: str) -> int:
@@ -177,31 +168,33 @@ def _sums(group: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _runs(trie: HatTrie, key: np.ndarray, count: np.ndarray, parts: int) -> pa.RecordBatch:
     """Spilled subtrees as one sorted run for each prefix partition and
     language: word table, columns of word numbers, counts."""
-    names, hashes = trie.left
+    names, hashes = trie.names, trie.hashes
     mask = (1 << BITS) - 1
-    a, b, c = key >> 2 * BITS, key >> BITS & mask, key & mask
-    at, total = _sums(a, count)
-    more = b > 0
-    a, b, c = (np.concatenate([x, y[more]]) for x, y in ((a[at], a), (np.zeros(len(at), np.int64), b), (np.zeros(len(at), np.int64), c)))
-    count = np.concatenate([total, count[more]])
+    first = key >> 2 * BITS
+    at, total = _sums(first, count)
+    more = (key >> BITS & mask) > 0
+    key, count = np.concatenate([first[at] << 2 * BITS, key[more]]), np.concatenate([total, count[more]])
+    a, b = key >> 2 * BITS, key >> BITS & mask
     h = np.array(hashes, np.uint64)
     part = (mix64(h[a] + np.where(b > 0, mix64(h[b - 1]), np.uint64(0))) % np.uint64(parts)).astype(np.int64)
-    langs, of = np.unique(np.array([n[0] for n in names], object), return_inverse=True) if names else ([], np.zeros(0, np.int64))
-    group = part * max(len(langs), 1) + of[a]
-    order = np.argsort(group, kind="stable")
-    group, a, b, c, count = group[order], a[order], b[order], c[order], count[order]
+    langs = list(trie.tongues)
+    group = part * len(langs) + np.array(trie.langs, np.int64)[a]
+    order = np.lexsort((key, group))
+    group, key, count = group[order], key[order], count[order]
     at = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else []
     rows = []
     for s, e in zip(at, [*at[1:], len(group)]):
-        here = np.stack([a[s:e] + 1, b[s:e], c[s:e]])
-        ids, local = np.unique(here, return_inverse=True)
-        local = local.reshape(here.shape)
-        if ids[0] > 0:  # number 0 says that no word follows
-            ids, local = np.append(0, ids), local + 1
-        order = np.lexsort(local[::-1])
-        body = np.concatenate([local[:, order].astype(np.uint32).ravel().view(np.uint8).reshape(-1, 4).T.ravel(), count[s:e][order].view(np.uint8).reshape(-1, 8).T.ravel()])
-        table = b" ".join(names[i][1] for i in (ids[1:] - 1).tolist())
-        rows.append((int(group[s] // max(len(langs), 1)), langs[group[s] % max(len(langs), 1)], e - s, zstandard.compress(table, 1), zstandard.compress(body.tobytes(), 1)))
+        here = np.stack([(key[s:e] >> 2 * BITS) + 1, key[s:e] >> BITS & mask, key[s:e] & mask])
+        if 20 * (e - s) > len(names):
+            used = np.zeros(len(names) + 1, bool)
+            used[here] = used[0] = True  # number 0 says that no word follows
+            ids, local = np.flatnonzero(used), (np.cumsum(used) - 1)[here]
+        else:
+            ids, local = np.unique(np.append(0, here), return_inverse=True)
+            local = local[1:].reshape(here.shape)
+        body = np.concatenate([local.astype(np.uint32).ravel().view(np.uint8).reshape(-1, 4).T.ravel(), count[s:e].view(np.uint8).reshape(-1, 8).T.ravel()])
+        table = b" ".join([names[i] for i in (ids[1:] - 1).tolist()])
+        rows.append((int(group[s] // len(langs)), langs[group[s] % len(langs)], e - s, zstandard.compress(table, 1), zstandard.compress(body.tobytes(), 1)))
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()))],
                            names=["part", "lang", "n", "words", "run"])
 
@@ -215,6 +208,7 @@ def _count(parts: int):
                 trie.insert(batch.column(0).slice(s, e - s).to_pylist(), data, offsets)
                 if len(trie.names) >= 1 << BITS - 2:
                     yield _runs(trie, *trie.spill(True), parts)
+                    trie.clear()
                 while trie.entries >= SPILL:
                     yield _runs(trie, *trie.spill(), parts)
         yield _runs(trie, *trie.spill(True), parts)
@@ -235,10 +229,10 @@ def merged(rows: list[tuple[int, bytes, bytes]], least: int) -> tuple[list[tuple
         counts.append(np.ascontiguousarray(body[12 * n :].reshape(8, n).T).view(np.int64).reshape(n))
     a, b, c = np.concatenate(cols, axis=1)
     count = np.concatenate(counts)
-    order = np.lexsort((c, b, a))
-    a, b, c, count = a[order], b[order], c[order], count[order]
     width = len(ids) + 1
     pair = a * width + b
+    order = np.argsort((pair << BITS) | c) if width < 1 << BITS - 1 else np.lexsort((c, pair))
+    a, b, c, count, pair = a[order], b[order], c[order], count[order], pair[order]
     at, f = _sums(pair, count)
     one = b[at] == 0
     words = int(f[one].sum())
