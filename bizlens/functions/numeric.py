@@ -17,11 +17,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def ratio_round(num, den, digits: int = 2, mult: int = 1) -> Column:
+def ratio_round(num, den, digits: int = 2, mult: int = 1, long: bool = False) -> Column:
     """``round(mult * num / den, digits)`` for integer-valued ``num``/``den``;
-    NULL when ``den`` is 0 or NULL."""
+    NULL when ``den`` is 0 or NULL. With ``long`` the arithmetic is that of 64-bit
+    integers, for rows (not sums) whose ``2 * mult * 10^digits * num`` is known
+    to fit; a value beyond ends the query with an error."""
     num, den = _col(num), _col(den)
     scale = 10 ** digits
+    if long:
+        n, d = F.abs(num).cast("long"), F.abs(F.nullif(den, F.lit(0))).cast("long")
+        return F.signum(num) * F.signum(den) * F.call_function("div", n * F.lit(2 * mult * scale) + d, d * 2) / F.lit(scale)
     a = F.abs(num).cast("decimal(38,0)") * F.lit(2 * mult * scale) + F.abs(den).cast("decimal(38,0)")
     b = F.abs(den).cast("decimal(38,0)") * 2
     q = (a - F.pmod(a, b)) / b           # exact: a - a mod b is a multiple of b

@@ -2,15 +2,16 @@
 
 - ``null_share``: percentage of rows with a NULL key
 - ``reference_gap``: keys on one side that the other side lacks (anti join)
-- ``presence``: number of distinct periods each entity appears in
+- ``presence``: number of distinct periods each entity appears in, from bit sets
 - ``cumulative_share``: running percentage of entities, most-present first
 - ``drop_sparse``: rows of entities seen in fewer than n periods (semi join)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from bizlens.functions.numeric import ratio_round
 from bizlens.operators.keys import join_null_safe
@@ -39,11 +40,28 @@ def reference_gap(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return out
 
 
+def period_number(df: DataFrame, period: str) -> Column:
+    """A period column as a whole number: months for dates, otherwise the value."""
+    c = F.col(period)
+    return F.year(c) * 12 + F.month(c) if isinstance(df.schema[period].dataType, DateType) else c.cast("long")
+
+
+def period_bits(df: DataFrame, entity: str, period: str, *more: Column) -> DataFrame:
+    """The set of an entity's periods as words of 64 bits: ``__word`` and
+    ``__bits`` (bit i is period 64 * word + i). Tasks forward one number for an
+    entity and word, however many rows and periods that is; NULL is no period."""
+    n = period_number(df, period)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(n, F.lit(64)).cast("int"))
+    return df.groupBy(entity, F.floor(n / 64).alias("__word")).agg(F.bit_or(bit).alias("__bits"), *more)
+
+
 def presence(df: DataFrame, entity: str, period: str, out: str = "total_months",
              distinct: bool = True) -> DataFrame:
-    """Periods (distinct, or rows when ``distinct=False``) per entity."""
-    agg = F.count_distinct(period) if distinct else F.count(period)
-    return df.groupBy(entity).agg(agg.alias(out))
+    """Periods (distinct months of a date column or distinct whole numbers;
+    rows with a period when ``distinct=False``) per entity, from bit sets."""
+    if not distinct:
+        return df.groupBy(entity).agg(F.count(period).alias(out))
+    return period_bits(df, entity, period).groupBy(entity).agg(F.coalesce(F.sum(F.bit_count("__bits").cast("long")), F.lit(0)).alias(out))
 
 
 def cumulative_share(counts: DataFrame, order: str, value: str, out: str, digits: int = 2) -> DataFrame:
@@ -66,7 +84,8 @@ def cumulative_share(counts: DataFrame, order: str, value: str, out: str, digits
 def sparse_rows(df: DataFrame, entity: str, period: str, min_periods: int, out: str) -> DataFrame:
     """How many rows belong to entities present in fewer than
     ``min_periods`` periods: one aggregate per entity, then its sum."""
-    per = df.groupBy(entity).agg(F.count(entity).alias("__rows"), F.count_distinct(period).alias("__n"))
+    bits = period_bits(df, entity, period, F.count(entity).alias("__r"))
+    per = bits.groupBy(entity).agg(F.sum("__r").alias("__rows"), F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0)).alias("__n"))
     return per.agg(F.coalesce(F.sum(F.when(F.col("__n") < min_periods, F.col("__rows"))), F.lit(0)).alias(out))
 
 

@@ -48,4 +48,4 @@ def delivery_metrics(items: DataFrame, deliveries: DataFrame) -> DataFrame:
 
 
 def speed_kmh(km: Column, minutes: Column) -> Column:
-    return ratio_round(exact(km) * 60, exact(minutes), 1)
+    return ratio_round(exact(km) * 60, exact(minutes), 1, long=True)

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizlens.functions.calendar import sunday_week
 from bizlens.functions.numeric import ratio_round
+from bizlens.operators.ordered import scan
 
 # --- fixed values: segment code -> age band / demographic ---------------------
 AGE_BANDS = {"1": "Young Adults", "2": "Middle Aged", "3": "Retirees", "4": "Retirees"}
@@ -45,17 +46,31 @@ def band_columns(segment: str = "segment") -> dict:
             "demographic": _map_code(F.left(F.col(segment), F.lit(1)), DEMOGRAPHICS)}
 
 
-def missing_values(spark: SparkSession, present: DataFrame, col: str, lo: int, hi: int,
-                   out: str, by: str | None = None) -> DataFrame:
-    """Integers in [lo, hi] that do not occur in ``present[col]``; with
-    ``by``, that do not occur for each value of that column."""
-    seen = present.select(*([by] if by else []), F.col(col).alias(out)).distinct()
-    if by is None:
-        series = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias(out))
-        return series.join(seen, out, "left_anti")
-    series = seen.select(by).distinct().withColumn(out, F.explode(F.sequence(F.lit(lo), F.lit(hi))))
-    return series.join(seen.withColumnsRenamed({by: "__by", out: "__n"}),
-                       F.col(by).eqNullSafe(F.col("__by")) & (F.col(out) == F.col("__n")), "left_anti")
+def gap_ranges(present: DataFrame, col: str, lo: int | Column, hi: int | Column, by: str | None = None, bucket: Column | None = None) -> DataFrame:
+    """The ranges of whole numbers in [lo, hi] (of 64 bits) that do not
+    occur in ``present[col]``, as ``first_missing`` and ``last_missing``; with
+    ``by``, that do not occur for each value of that column. A gap lies between a
+    value and the one before it, which ``ordered.scan`` carries across sampled
+    ranges of values; nothing is enumerated, so the work follows the values
+    present, not the domain. NULL is no value."""
+    keys = [by] if by else []
+    lo, hi = ((x if isinstance(x, Column) else F.lit(x)).cast("long") for x in (lo, hi))
+    v = F.col(col).cast("long")
+    values = present.filter(v.between(lo, hi)).select(*keys, v.alias("__v"), F.lit(False).alias("__end")).distinct()
+    groups = present.select(by).distinct() if by else present.sparkSession.range(1)
+    ends = groups.select(*keys, hi.alias("__v"), F.lit(True).alias("__end"))
+    cut = None if bucket is None else F.floor((F.col("__v") - lo) / bucket)
+    near = scan(values.unionByName(ends), keys, ["__v", "__end"], {"__p": ("last", "__v")}, bucket=cut, exclusive=True)
+    prev = F.col("__p")
+    first = F.when(prev.isNull(), lo).when(prev < hi, prev + 1)
+    last = F.when(F.col("__end"), F.col("__v")).when(F.col("__v") > lo, F.col("__v") - 1)
+    return near.select(*keys, first.alias("first_missing"), last.alias("last_missing")).filter(F.col("first_missing") <= F.col("last_missing"))
+
+
+def missing_values(present: DataFrame, col: str, lo: int, hi: int, out: str, by: str | None = None) -> DataFrame:
+    """The numbers of ``gap_ranges`` one by one."""
+    gaps = gap_ranges(present, col, lo, hi, by, bucket=F.lit(1 << 16))
+    return gaps.select(*([by] if by else []), F.explode(F.sequence(F.col("first_missing").cast("int"), F.col("last_missing").cast("int"))).alias(out))
 
 
 def _window_sum(measure: str, week: str, lo: int, hi: int, year_col: str | None, year: int | None,

@@ -90,25 +90,33 @@ def previous_balances(balances: DataFrame, key: str = "customer_id") -> DataFram
 def trailing_day_balances(txns: DataFrame, days: int = 30, key: str = "customer_id", ts: str = "txn_date",
                           amount: Column | None = None) -> DataFrame:
     """The sum of an entity's end-of-day balances over the last ``days``
-    (at most 31) days of every month, as ``day_balances`` (0 before its first
-    transaction); a mean is this divided by ``days``.
-
-    A transaction is part of the balance of min(days, days since) of these days:
-    fewer than ``days`` in its own month and perhaps the next, all of them later,
-    so months are enough and no row per day is made."""
-    if not 1 <= days <= 31:
-        raise ValueError("days must be 1 to 31")
+    days (any number) of every month from its first transaction on, as
+    ``day_balances`` (0 before that transaction); a mean is this divided by ``days``.
+
+    The balances of all days up to day d sum up to (d + 1) * A - B, where A adds
+    the amounts and B amount * day of the transactions up to d. A window is the
+    difference of two such sums, and between two transactions both A and B stand
+    still: an entity's running sums (one row a day with transactions) give every
+    month's two sums by opening the months between them, and no row per day is
+    made."""
+    if days < 1:
+        raise ValueError("days must be 1 or more")
     amt = signed_amount() if amount is None else amount
-    own, following = F.last_day(ts), F.last_day(F.add_months(F.trunc(ts, "MM"), 1))
-    held = lambda end: amt * F.least(F.lit(days), F.datediff(end, F.col(ts)) + 1)
-    part = txns.filter(F.col(ts).isNotNull()).groupBy(F.col(key).alias("__k"), F.trunc(ts, "MM").alias("__m")).agg(
-        F.sum(held(own)).alias("__own"), F.sum(held(following)).alias("__next"))
-    grid = closing_balances(txns, key, ts, amount)
-    months = grid.join(part, F.col(key).eqNullSafe(F.col("__k")) & (F.col("month") == F.col("__m")), "left")
-    w = Window.partitionBy(key).orderBy("month")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    total = zero(F.col("__own")) + zero(F.lag("__next").over(w)) + days * zero(F.lag("closing_balance", 2).over(w))
-    return months.select(key, "month", total.alias("day_balances"))
+    txns = txns.filter(F.col(ts).isNotNull())
+    last = txns.agg(F.trunc(F.max(ts), "MM")).scalar()
+    daily = txns.groupBy(F.col(key).alias("__k"), F.to_date(ts).alias("__d")).agg(F.sum(amt).alias("__n"))
+    own = Window.partitionBy("__k").orderBy("__d")
+    daily = daily.select("__k", "__d", F.sum("__n").over(own).alias("__a"), F.sum(F.col("__n") * F.unix_date("__d")).over(own).alias("__b"),
+                         F.lead("__d").over(own).alias("__next"))
+    # months whose end (shift 0), or the day before whose window (shift ``days``), falls on or after this day and before the next one
+    side = F.explode(F.array(F.struct(F.lit(0).alias("shift"), F.lit(1).alias("sign")), F.struct(F.lit(days).alias("shift"), F.lit(-1).alias("sign"))))
+    both = daily.withColumn("__s", side)
+    first = F.trunc(F.date_add("__d", F.col("__s.shift")), "MM")
+    until = F.least(F.add_months(F.trunc(F.date_add("__next", F.col("__s.shift")), "MM"), -1), last)
+    months = both.withColumn("__m", F.explode(F.when(first <= until, F.sequence(first, until, F.expr("INTERVAL 1 MONTH")))))
+    day = F.unix_date(F.last_day("__m")).cast("long") - F.col("__s.shift")
+    return months.groupBy(F.col("__k").alias(key), F.col("__m").alias("month")).agg(
+        F.sum(F.col("__s.sign") * ((day + 1) * F.col("__a") - F.col("__b"))).alias("day_balances"))
 
 
 def balance_stats(txns: DataFrame, key: str = "customer_id", ts: str = "txn_date", amount: Column | None = None) -> DataFrame:

@@ -39,7 +39,7 @@ from bizlens.operators.keys import join_null_safe
 SAMPLE = 16
 
 
-def parts(df: DataFrame, by: Sequence[str], out: str = "__b", n: int | None = None) -> DataFrame:
+def parts(df: DataFrame, by: Sequence[str], out: str = "__b", n: int | None = None, along: str | None = None) -> DataFrame:
     """Adds the number of the range of ``by`` (in ascending order, NULL first)
     that a row falls into: ``n`` ranges (a power of two; by default no fewer than
     the shuffle partitions) of about equal numbers of rows; rows of equal ``by``
@@ -48,14 +48,16 @@ def parts(df: DataFrame, by: Sequence[str], out: str = "__b", n: int | None = No
     The splits are a sample: the rows of least hash in each of some groups, so
     every task forwards a bounded number of rows, the sample is the same each
     time it is taken, and it stays within the plan as one scalar subquery. A row
-    finds its range by binary search."""
+    finds its range by binary search. ``along``: a column of an aggregate that the
+    sample reads along, so that it shares the aggregate's exchange with the rows."""
     n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = max(n - 1, 1).bit_length()
     n = 1 << steps
     h = F.xxhash64(*by)
     groups = max(n // 4, 1)
     w = Window.partitionBy("__g").orderBy("__h")
-    sample = (df.select(F.struct(*by).alias("__at"), h.alias("__h"), F.pmod(h, F.lit(groups)).alias("__g"))
+    rows = df if along is None else df.filter(F.col(along) >= 0)
+    sample = (rows.select(F.struct(*by).alias("__at"), h.alias("__h"), F.pmod(h, F.lit(groups)).alias("__g"))
               .withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= SAMPLE * n // groups))
     sample = sample.agg(F.sort_array(F.collect_set("__at")).alias("a")).select(
         F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda k: F.get("a", (k * F.size("a") / n).cast("int"))))
@@ -86,7 +88,7 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[
     b = b0.withColumns({f"__l_{out}": fns[fn](src).over(local) for out, (fn, src) in values.items()})
     # one row a (key, range): what the range adds, then what all before it add up to
     end = F.min if backward else F.max
-    edge = {out: end(F.when(F.col(src).isNotNull(), F.struct(*order, F.col(src).alias("__v"))))["__v"] if fn == "last" else fns[fn](src) for out, (fn, src) in values.items()}
+    edge = {out: end(F.when(F.col(src).isNotNull(), F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(src).alias("v"))))["v"] if fn == "last" else fns[fn](src) for out, (fn, src) in values.items()}
     edges = b0.groupBy(*keys, "__b").agg(*[c.alias(f"__e_{out}") for out, c in edge.items()])
     before = Window.partitionBy(*keys).orderBy(way("__b")).rowsBetween(Window.unboundedPreceding, -1)
     carry = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from bizlens.operators.keys import join_null_safe
 from bizlens.operators.ordered import parts, scan
@@ -44,7 +45,14 @@ def nearest_times(events: DataFrame, anchors: DataFrame, key: str, ts: str, anch
     # at equal times the sequence reaches an event before the anchor only where equality counts
     is_event = F.col("__event").isNotNull()
     both = when.unionByName(asked).withColumn("__side", F.when(is_event == F.lit(after == inclusive), 1).otherwise(0))
-    carried = scan(both, ["__k"], ["__t", "__side"], {"__near": ("last", "__event")}, backward=after)
+    # a key has at most one event and one anchor a day, so whole keys are small where times are dates
+    small = all(isinstance(t, DateType) for t in (events.schema[ts].dataType, anchors.schema[anchor_ts].dataType))
+    if small:
+        way = F.desc if after else F.asc
+        along = Window.partitionBy("__k").orderBy(way("__t"), way("__side"))
+        carried = both.withColumn("__near", F.last("__event", ignorenulls=True).over(along))
+    else:
+        carried = scan(both, ["__k"], ["__t", "__side"], {"__near": ("last", "__event")}, backward=after)
     return carried.filter(F.col("__at").isNotNull() & F.col("__near").isNotNull()).select("__k", "__at", "__near")
 
 
@@ -84,7 +92,8 @@ def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict) ->
     which ranges hold the wanted ranks, and only these ranges are ranked. So no
     group's values are gathered anywhere, whatever their number."""
     keys = list(keys)
-    counts = parts(df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__n")), keys + ["__v"])
+    every = df.groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    counts = parts(every.filter(F.col("__v").isNotNull()), keys + ["__v"], along="__n")
     ranges = counts.groupBy(*keys, "__b").agg(F.sum("__n").alias("__sum"))
     by = Window.partitionBy(*keys)
     ranges = ranges.select(*keys, "__b", F.sum("__sum").over(by).alias("__total"),
@@ -102,10 +111,10 @@ def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict) ->
     found = ranked.groupBy(*keys, F.col("__w.name").alias("__name"), F.col("__w.at").alias("__at")).agg(
         at_rank(F.floor("__w.at")).alias("__lo"), at_rank(F.ceil("__w.at")).alias("__hi"))
     exact = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * (F.col("__at") - F.floor("__at"))
-    out = found.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == n, exact)).alias(n) for n in ps])
-    if not keys:
-        return out
-    return join_null_safe(df.select(*keys).distinct(), out, keys, "left")
+    null = F.lit(None)
+    empty = every.filter(F.col("__v").isNull()).select(*keys, null.cast("string").alias("__name"), null.cast("double").alias("__exact"))
+    found = found.select(*keys, "__name", exact.alias("__exact")).unionByName(empty)
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == n, F.col("__exact"))).alias(n) for n in ps])
 
 
 def approx_percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict,

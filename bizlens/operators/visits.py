@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizlens.operators.joins import checked_broadcast, interval_join
+from bizlens.operators.joins import interval_join
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class EventCodes:
 
 
 def funnel(events: DataFrame, pages: DataFrame, by: Sequence[str], distinct_purchases: bool = True,
-           codes: EventCodes = EventCodes(), max_pages: int = 10_000) -> DataFrame:
+           codes: EventCodes = EventCodes()) -> DataFrame:
     """Views, cart adds, purchases (cart adds in a purchasing visit) and
     abandoned cart adds per ``by`` (columns of ``pages``), over the pages with a
     ``product_id`` that have any event.
@@ -49,7 +49,7 @@ def funnel(events: DataFrame, pages: DataFrame, by: Sequence[str], distinct_purc
         carted, purchased = F.col("adds") * F.greatest(k, F.lit(1)), F.col("adds") * k
     carts = carts.join(bought, "visit_id", "left").groupBy("page_id").agg(
         F.sum(carted).alias("carted"), F.sum(purchased).alias("bought"))
-    products = checked_broadcast(pages.filter(F.col("product_id").isNotNull()), max_pages)
+    products = pages.filter(F.col("product_id").isNotNull())
     g = per_page.join(carts, "page_id", "left").join(products, "page_id").groupBy(*by).agg(
         F.sum("product_viewed").alias("product_viewed"),
         F.coalesce(F.sum("carted"), F.lit(0)).alias("product_addedtocart"),
@@ -59,7 +59,7 @@ def funnel(events: DataFrame, pages: DataFrame, by: Sequence[str], distinct_purc
 
 def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame, campaigns: DataFrame,
                   campaign_per_event: bool = False, codes: EventCodes = EventCodes(),
-                  max_pages: int = 10_000, max_campaigns: int = 1_000) -> DataFrame:
+                  max_campaigns: int | None = None) -> DataFrame:
     """One row per user and visit: start time, page views, cart adds,
     purchase, impressions, clicks, the products added to the cart in their order
     and the campaign running at the visit's start; purchase is a 1/0 flag.
@@ -68,10 +68,12 @@ def visit_summary(events: DataFrame, users: DataFrame, pages: DataFrame, campaig
 
     ``events``: ``visit_id, cookie_id, page_id, event_type, event_time,
     sequence_number``; ``users``: ``user_id, cookie_id``, a cookie may belong to
-    several users and a user may have several cookies in a visit."""
+    several users and a user may have several cookies in a visit. Pages and
+    campaigns may be of any number; ``max_campaigns`` states that they are few,
+    so that they are sent to all tasks (after a check)."""
     et = F.col("event_type")
     added = F.col("product_id").isNotNull() & (et == codes.cart)
-    ev = events.join(checked_broadcast(pages, max_pages), "page_id", "left")
+    ev = events.join(pages, "page_id", "left")
     across = ["campaign_name"] if campaign_per_event else []
     if campaign_per_event:
         ev = interval_join(ev, campaigns, "event_time", "start_date", "end_date", "left", max_rows=max_campaigns)

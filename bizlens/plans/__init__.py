@@ -10,6 +10,7 @@ runs on the raw input tables alone.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -45,6 +46,24 @@ def view_sql(name: str, sql: str) -> None:
     VIEW_SQL[name] = sql
 
 
+# result tables that the original keeps (CREATE TABLE AS SELECT), by name
+KEPT: dict[str, Callable[[Domain], DataFrame]] = {}
+
+
+def kept(name: str):
+    """Registers the derivation of a result table that a store may hold; a plan
+    reads it with ``kept_table``."""
+    def deco(fn: Callable[[Domain], DataFrame]):
+        KEPT[name] = fn
+        return fn
+    return deco
+
+
+def kept_table(d: Domain, name: str) -> DataFrame:
+    """The stored form of a result table where there is one, else its derivation."""
+    return d.saved(name, lambda: KEPT[name](d))
+
+
 def _all_views() -> dict[str, str]:
     return {**DOMAIN_SQL, **VIEW_SQL}
 
@@ -97,17 +116,29 @@ def oracle_queries() -> dict[str, str]:
     return {name: with_views(q.sql) for name, q in load_all().items() if q.sql}
 
 
-# domain tables that a store may hold, in the order of their derivation; the rest are projections of one table
-STORED_TABLES = ("sales", "customer_orders", "customer_nodes", "weekly_sales", "click_events", "users")
+# what a store may hold, in the order of their derivation, and the columns that the queries join or group it
+# by: domain tables whose derivation joins, numbers or parses rows, and result tables that the original keeps
+STORED_TABLES: dict[str, tuple[str, ...]] = {
+    "sales": ("customer_id",), "customer_orders": ("order_id",), "customer_nodes": ("customer_id",), "weekly_sales": (),
+    "click_events": ("visit_id",), "users": ("cookie_id",), "interest_metrics_dated": ("interest_id",),
+    "clean_weekly_sales": (), "product_analysis": ()}
 
 
-def store_tables(spark: SparkSession, sf_dir: str, names=STORED_TABLES) -> TableStore:
-    """Writes derived tables once, for many queries over one input. The caller
-    drops the store."""
+def store_tables(spark: SparkSession, sf_dir: str, names=tuple(STORED_TABLES), buckets: int | None = None, took: dict | None = None) -> TableStore:
+    """Writes tables once, for many queries over one input; a later one is
+    derived from the earlier ones in the store. With ``buckets`` tables that are
+    joined by a column are laid out in as many buckets of it, sorted, so such
+    joins and groupings need no exchange. ``took`` receives the seconds of each.
+    The caller drops the store."""
     load_all()
     store = TableStore(spark)
     for name in names:
-        store.write(name, getattr(Domain(spark, sf_dir, store), name))
+        t0 = time.perf_counter()
+        d = Domain(spark, sf_dir, store)
+        table = KEPT[name](d) if name in KEPT else getattr(d, name)
+        store.write(name, table, STORED_TABLES.get(name, ()), buckets)
+        if took is not None:
+            took[name] = round(time.perf_counter() - t0, 3)
     return store
 
 

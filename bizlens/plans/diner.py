@@ -127,6 +127,30 @@ def last_before_join(d: Domain) -> DataFrame:
     return _nearest(d, "before")
 
 
+@query("nearest_purchase_any_anchor", """
+SELECT a.customer_id, a.start_date, s.order_date, s.product_id
+FROM (SELECT DISTINCT customer_id, start_date FROM subscriptions) a
+ASOF JOIN (SELECT DISTINCT customer_id, order_date FROM sales) n ON n.customer_id = a.customer_id AND n.order_date < a.start_date
+JOIN sales s ON s.customer_id = n.customer_id AND s.order_date = n.order_date""")
+def nearest_purchase_any_anchor(d: Domain) -> DataFrame:
+    """D1-7 for any number of anchors a customer: the purchases last before each
+    start of a subscription (ties kept), as a backward as-of join without pairs."""
+    near = nearest_event(d.sales, d.subscriptions, "customer_id", "order_date", "start_date", "before")
+    return near.select("customer_id", "start_date", "order_date", "product_id")
+
+
+@query("first_purchase_any_anchor", """
+SELECT a.customer_id, a.start_date, min(s.order_date) AS order_date, CAST(count(*) AS BIGINT) AS items
+FROM (SELECT DISTINCT customer_id, start_date FROM subscriptions) a
+ASOF JOIN (SELECT DISTINCT customer_id, order_date FROM sales) n ON n.customer_id = a.customer_id AND n.order_date >= a.start_date
+JOIN sales s ON s.customer_id = n.customer_id AND s.order_date = n.order_date GROUP BY 1, 2""")
+def first_purchase_any_anchor(d: Domain) -> DataFrame:
+    """D1-6 for any number of anchors a customer: the day of the first purchase
+    on or after each start of a subscription, and its items."""
+    near = nearest_event(d.sales, d.subscriptions, "customer_id", "order_date", "start_date", "after", inclusive=True)
+    return near.groupBy("customer_id", "start_date").agg(F.min("order_date").alias("order_date"), F.count("*").alias("items"))
+
+
 def _pre_member(d: Domain) -> DataFrame:
     return (d.sales.join(d.members, "customer_id").join(d.menu, "product_id")
             .filter(F.col("order_date") < F.col("join_date")))

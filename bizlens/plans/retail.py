@@ -18,7 +18,7 @@ from bizlens.functions.numeric import ratio_round, ratio_round_sql
 from bizlens.operators.aggregate import share_of_total, total_by
 from bizlens.operators.impact import (AGE_BANDS, DEMOGRAPHICS, UNKNOWN, band_columns, before_after,
                                       calendar_columns, impact_by_areas, missing_values)
-from bizlens.plans import query, view_sql
+from bizlens.plans import kept, kept_table, query, view_sql
 from bizlens.sources.domain import Domain
 
 # --- parameters: the event week, set to the inputs' date range (a Monday in week 24)
@@ -28,6 +28,7 @@ EVENT_WEEK = 24
 AREAS = ("region", "platform", "age_band", "demographic", "customer_type")
 
 
+@kept("clean_weekly_sales")
 def clean_weekly_sales_df(d: Domain, week=sunday_week) -> DataFrame:
     """M5-1: typed and enriched weekly sales."""
     ws = d.weekly_sales.withColumn("week_date", F.to_date("week_date", "yyyy-MM-dd"))
@@ -57,7 +58,7 @@ view_sql("clean_weekly_sales", _CLEAN_SQL.format(week="strftime(week_date, '%U')
 
 def _cws(d: Domain) -> DataFrame:
     """The clean table, from a store where one holds it (the original's CTAS)."""
-    return d.saved("clean_weekly_sales", lambda: clean_weekly_sales_df(d))
+    return kept_table(d, "clean_weekly_sales")
 
 
 @query("clean_weekly_sales", "SELECT * FROM clean_weekly_sales")
@@ -83,7 +84,7 @@ SELECT n AS missing_week FROM (SELECT CAST(range AS INTEGER) AS n FROM range(1,
 WHERE NOT EXISTS (SELECT 1 FROM clean_weekly_sales c WHERE c.week_number = t.n)""")
 def missing_weeks(d: Domain) -> DataFrame:
     """M5-2.2: week numbers 1-52 without any row."""
-    return missing_values(d.spark, _cws(d), "week_number", 1, 52, "missing_week")
+    return missing_values(_cws(d), "week_number", 1, 52, "missing_week")
 
 
 @query("missing_weeks_by_year", """
@@ -93,7 +94,7 @@ WHERE NOT EXISTS (SELECT 1 FROM clean_weekly_sales c WHERE c.calendar_year = y.c
 def missing_weeks_by_year(d: Domain) -> DataFrame:
     """M5-2.2 per year: week numbers 1-52 that a year of the data lacks (the
     data begin and end within a year)."""
-    return missing_values(d.spark, _cws(d), "week_number", 1, 52, "missing_week", by="calendar_year")
+    return missing_values(_cws(d), "week_number", 1, 52, "missing_week", by="calendar_year")
 
 
 @query("transactions_by_year", """

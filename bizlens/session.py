@@ -72,20 +72,35 @@ class TableStore:
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
         self.names: set[str] = set()
-
-    def write(self, name: str, df: DataFrame) -> None:
-        df.write.parquet(f"{self.path}/{name}")
+        self.bucketed: set[str] = set()
+
+    def write(self, name: str, df: DataFrame, keys: tuple[str, ...] = (), buckets: int | None = None) -> None:
+        """Writes a table; with ``buckets`` and ``keys`` as a catalogue table
+        bucketed and sorted by the keys (its files lie in the store, too)."""
+        if buckets and keys:
+            (df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{self.path}/{name}").format("parquet").saveAsTable(self._table(name)))
+            self.bucketed.add(name)
+        else:
+            df.write.parquet(f"{self.path}/{name}")
         self.names.add(name)
 
+    def _table(self, name: str) -> str:
+        return f"store_{self.path.rsplit('/', 1)[-1]}_{name}"
+
     def read(self, name: str) -> DataFrame:
+        if name in self.bucketed:
+            return self.spark.table(self._table(name))
         return self.spark.read.parquet(f"{self.path}/{name}")
 
     def drop(self) -> None:
         """Deletes the store's files; its tables are derived again when read."""
+        for name in self.bucketed:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
         self.names.clear()
+        self.bucketed.clear()
 
     def __enter__(self) -> TableStore:
         return self

@@ -355,9 +355,13 @@ class Domain:
 
     @cached_property
     def interest_metrics_dated(self) -> DataFrame:
-        """S8-1: ``month_year`` as the DATE of the month start."""
-        return self.interest_metrics.withColumn(
-            "month_year", F.to_date(F.concat(F.lit("01-"), F.col("month_year")), "dd-MM-yyyy"))
+        """S8-1: ``month_year`` as the DATE of the month start (the original retypes the column in place)."""
+        return self.saved("interest_metrics_dated", self._build_interest_metrics_dated)
+
+    def _build_interest_metrics_dated(self) -> DataFrame:
+        text = F.col("month_year")
+        month = F.make_date(F.substring(text, 4, 4).cast("int"), F.substring(text, 1, 2).cast("int"), F.lit(1))
+        return self.interest_metrics.withColumn("month_year", month)
 
     @cached_property
     def interest_map(self) -> DataFrame:
