@@ -14,8 +14,12 @@ is capped; pairs are counted, never listed.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without label, link with nothing. Vectors of different
-length don't link. Repeated rows are vectors of their own. An empty table
-gives an empty result. Other columns are ignored.
+length don't link. Repeated rows are vectors of their own, also rows of one id
+with different vectors or labels: links are between classes of equal vectors,
+and ids only name what was found. A component's id is its least id, null where
+all of its rows lack one; rows without an id are kept in such a component only.
+Magnitudes play no part (vectors are scaled by their largest component before
+they are squared). An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,9 +70,10 @@ def _unit_rows(vectors: pa.Array, dim: int) -> np.ndarray:
     out = np.zeros((len(at) - 1, dim))
     for k in range(len(at) - 1):
         x = flat[at[k] : at[k + 1]]
-        n = np.sqrt((x * x).sum()) if len(x) else 0.0
-        if n > 0 and np.isfinite(n):
-            out[k, : min(dim, len(x))] = x[:dim] / n
+        top = np.abs(x).max() if len(x) else 0.0
+        if top > 0 and np.isfinite(top):
+            x = x / top
+            out[k, : min(dim, len(x))] = x[:dim] / np.sqrt((x * x).sum())
     return out
 
 
@@ -84,7 +89,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     linkable = F.col("label").isNotNull() & F.coalesce(usable, F.lit(False))
     rows = rows.withColumn("class", F.when(linkable, F.sha2(F.concat_ws(" ", F.lit("v"), F.col("vec").cast("array<string>")), 256)))
     good = rows.where(F.col("class").isNotNull())
-    classes = stored(good.groupBy("label", "class").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec")), "classes")
+    classes = good.groupBy("label", "class").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")  # a class's own number, fixed once written
     train = classes.dropDuplicates(["class"]).select("vec", F.xxhash64("class").alias("h")).orderBy("h").limit(sample).toPandas()
     if train.empty:
         return rows.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
@@ -108,25 +114,25 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
     group = [*bucket, "lo", "hi"]
-    met = (met.select(*group, "own", "rep").join(classes.select("rep", "label", "copies", "keys", "vec"), ["rep", "label"])
+    met = (met.select(*group, "own", "rep").join(classes.select("rep", "copies", "keys", "vec"), "rep")
            .select(*group, "own", "rep", "copies", "keys", "vec").repartition(*group).sortWithinPartitions(*group))
-    label_type = met.schema["label"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, group):
             yield from _links(t, least)
 
-    found = stored(met.mapInArrow(run, f"rep long, label {label_type}, n long, root long"), "links")
-    counts = found.groupBy("rep", "label").agg(F.sum("n").alias("n"))
+    found = stored(met.mapInArrow(run, "rep long, n long, root long"), "links")
+    counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    classes = (classes.select("label", "class", "rep", "copies").join(counts, ["rep", "label"], "left")
-               .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("label", "class", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"),
-                       F.coalesce("component", "rep").alias("component")))
-    out = rows.select("vec_id", "label", "class").join(classes, ["label", "class"], "left")
-    own = F.coalesce("component", "vec_id")
+    classes = (classes.select("label", "class", "rep", "copies", "least_id").join(counts, "rep", "left")
+               .join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("component", "rep")))
+    named = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    classes = classes.join(named, "root").select(
+        F.col("label").alias("of"), F.col("class").alias("same"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), "component_id")
+    out = rows.select("vec_id", "label", "class").join(classes, (F.col("label") == F.col("of")) & (F.col("class") == F.col("same")), "left")
+    own = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(F.col("vec_id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-                      own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"))
+                      own.alias("component_id"), F.col("vec_id").eqNullSafe(own).alias("kept"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.Table]:
@@ -182,8 +188,8 @@ def _links(t: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
     some = np.flatnonzero((n > 0) | (root != order))
     if len(some):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rep[some]), t["label"].take(some).combine_chunks(), pa.array(n[some]), pa.array(ids[root[some]])],
-            ["rep", "label", "n", "root"])
+            [pa.array(rep[some]), pa.array(n[some]), pa.array(ids[root[some]])],
+            ["rep", "n", "root"])
 
 
 def op8_embedding_duplicates(spark, sf_dir: str) -> DataFrame:

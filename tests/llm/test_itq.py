@@ -74,6 +74,42 @@ def test_recall_beside_many_copies(spark):
     assert among >= 0.9 * (sum(want.values()) - 2 * want[0])
 
 
+def result(spark, rows, kind="float"):
+    """Among vectors of another label, as the cuts need some to fall between."""
+    more = np.random.default_rng(4).standard_normal((300, 16)) / 4
+    df = spark.createDataFrame([(*r, 1) for r in rows] + [(1000 + k, [float(c) for c in v], 9, 1) for k, v in enumerate(more)], SCHEMA.replace("float", kind))
+    out = [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_duplicates(df).collect()]
+    return sorted([r for r in out if r[0] is None or r[0] < 1000], key=repr)
+
+
+def test_one_id_in_two_labels_joins_nothing(spark):
+    a, b = [1.0] + [0.0] * 15, [0.0, 1.0] + [0.0] * 14
+    near_a, near_b = [1.0, 0.1] + [0.0] * 14, [0.1, 1.0] + [0.0] * 14
+    have = result(spark, [(5, a, 1), (7, near_a, 1), (5, b, 2), (3, near_b, 2)])
+    assert have == sorted([(5, 1, 5, True), (7, 1, 5, False), (5, 1, 3, False), (3, 1, 3, True)], key=repr)
+
+
+def test_one_id_with_two_vectors_counts_each(spark):
+    a, b = [1.0] + [0.0] * 15, [0.0, 1.0] + [0.0] * 14
+    near_a, near_b = [1.0, 0.1] + [0.0] * 14, [0.1, 1.0] + [0.0] * 14
+    have = result(spark, [(5, a, 1), (7, near_a, 1), (5, b, 1), (9, near_b, 1)])
+    assert have == sorted([(5, 1, 5, True), (7, 1, 5, False), (5, 1, 5, True), (9, 1, 5, False)], key=repr)
+
+
+def test_rows_without_id_keep_their_links(spark):
+    a, near = [1.0] + [0.0] * 15, [1.0, 0.1] + [0.0] * 14
+    other = [0.0] * 15 + [1.0]
+    have = result(spark, [(None, a, 1), (2, near, 1), (None, other, 1), (None, None, 1)])
+    assert have == sorted([(None, 1, 2, False), (2, 1, 2, True), (None, 0, None, True), (None, 0, None, True)], key=repr)
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e-310, 1.0])
+def test_magnitudes_play_no_part(spark, size):
+    a = [size * c for c in [1.0, -2.0, 3.0, 0.5] * 4]
+    have = result(spark, [(1, a, 1), (2, [2 * c for c in a], 1), (3, [-c for c in a], 1)], "double")
+    assert have == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
 def test_query_recall(spark, small_dir):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{small_dir}/embeddings.parquet").collect()]
     want, have = plain(rows), got(op8_embedding_duplicates(spark, small_dir))
