@@ -346,10 +346,12 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
     possible = (met.join(points, "class").select(*group, "own", "class", "n", "point").repartition(*group).sortWithinPartitions(*group)
                 .mapInArrow(_possible(percent), "a long, b long"))
     family = components(possible).withColumnsRenamed({"node": "class", "component": "family"})
-    family = family.join(made.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "class")
+    # a class's text is read again at one (id, text), so that rows without an id, or of one id, don't meet each other's classes
+    at = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key"))
+    family = family.join(made.where("n > 0").groupBy("class").agg(at.alias("at"), F.first("n").alias("n")), "class").select("class", "family", "n", "at.id", F.col("at.text_key").alias("same"))
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     wanted = family.join(family.groupBy("family").agg(parts.alias("blocks")), "family")
-    texts = rows.drop("text_key").join(wanted, rows["id"].eqNullSafe(wanted["id"])).select("text", "class", "family", "blocks")
+    texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]) & (F.col("text_key") == F.col("same"))).select("text", "class", "family", "blocks")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

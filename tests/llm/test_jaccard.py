@@ -90,3 +90,20 @@ def test_points_of_finer_levels_fold_and_full_counts_bound_nothing():
 def test_families_split_by_shingles(spark, monkeypatch, texts, docs):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 300)
     assert rows(jaccard_components(docs)) == plain(texts)
+
+
+def test_rows_without_id_meet_their_own_classes_only(spark, monkeypatch):
+    """300 rows without an id in 100 families: as many texts are read again, not their product."""
+    seen = []
+    blocks = jaccard._blocks
+
+    def counted(df, *rest):
+        if "shingles" in df.columns:
+            seen.append(df.count())
+        return blocks(df, *rest)
+
+    monkeypatch.setattr(jaccard, "_blocks", counted)
+    texts = [(None, " ".join(f"w{f}x{k}" for k in range(60)) + end) for f in range(100) for end in ("", " tail", " other tail")] + [(4, "w0x1 " * 9), (4, "one two three four five")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert rows(jaccard_components(df)) == plain(texts)
+    assert seen and seen[0] <= 310
