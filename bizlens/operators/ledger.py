@@ -55,16 +55,22 @@ def closing_balances(txns: DataFrame, key: str = "customer_id", ts: str = "txn_d
     transaction to the last month of all data, carried over months without
     transactions: ``key, month, net, closing_balance``. The window runs over one
     row per entity and month with transactions; rows without a date are left out."""
-    net = period_net(txns.filter(F.col(ts).isNotNull()), key, F.trunc(ts, "MM").alias("month"), "net", amount)
-    last = txns.agg(F.trunc(F.max(ts), "MM")).scalar()
-    by_month = Window.partitionBy(key).orderBy("month")
-    held = cumulative(net, key, "month", "net", "closing_balance").withColumn(
-        "__until", F.coalesce(F.add_months(F.lead("month").over(by_month), -1), last))
+    held = _held(txns, key, ts, amount)
     months = held.withColumn("__month", F.explode(F.sequence("month", "__until", F.expr("INTERVAL 1 MONTH"))))
     return months.select(key, F.col("__month").alias("month"),
                          F.when(F.col("__month") == F.col("month"), F.col("net")).otherwise(0).alias("net"), "closing_balance")
 
 
+def _held(txns: DataFrame, key: str, ts: str, amount: Column | None) -> DataFrame:
+    """One row per entity and month with transactions: net, closing balance and
+    the last month that it holds for (``__until``)."""
+    net = period_net(txns.filter(F.col(ts).isNotNull()), key, F.trunc(ts, "MM").alias("month"), "net", amount)
+    last = txns.agg(F.trunc(F.max(ts), "MM")).scalar()
+    by_month = Window.partitionBy(key).orderBy("month")
+    return cumulative(net, key, "month", "net", "closing_balance").withColumns({
+        "__until": F.coalesce(F.add_months(F.lead("month").over(by_month), -1), last), "__first": F.lag("month").over(by_month).isNull(), "__last": last})
+
+
 def balance_growth(balances: DataFrame, key: str = "customer_id", by: str = "month", value: str = "closing_balance",
                    relative_to_size: bool = True) -> DataFrame:
     """Adds ``pct_increase``, the change of ``value`` from an entity's
@@ -80,11 +86,14 @@ def allocation(amounts: DataFrame, by: str, amount: Column, out: str) -> DataFra
     return amounts.groupBy(by).agg(F.sum(F.greatest(amount, F.lit(0))).alias(out))
 
 
-def previous_balances(balances: DataFrame, key: str = "customer_id") -> DataFrame:
+def previous_balances(txns: DataFrame, key: str = "customer_id", ts: str = "txn_date", amount: Column | None = None) -> DataFrame:
     """For every month of ``closing_balances`` the balance at the end of
-    the month before (0 in an entity's first month), as ``previous_balance``."""
-    prev = F.lag("closing_balance").over(Window.partitionBy(key).orderBy("month"))
-    return balances.select(key, "month", F.coalesce(prev, F.lit(0)).alias("previous_balance"))
+    the month before (0 in an entity's first month), as ``previous_balance``:
+    a closing balance opened over the months that follow the ones it holds for."""
+    after = F.sequence(F.col("month"), F.least(F.add_months("__until", 1), F.col("__last")), F.expr("INTERVAL 1 MONTH"))
+    months = _held(txns, key, ts, amount).withColumn("__month", F.explode(after)).filter(F.col("__first") | (F.col("__month") > F.col("month")))
+    return months.select(key, F.col("__month").alias("month"),
+                         F.when(F.col("__month") > F.col("month"), F.col("closing_balance")).otherwise(0).alias("previous_balance"))
 
 
 def trailing_day_balances(txns: DataFrame, days: int = 30, key: str = "customer_id", ts: str = "txn_date",

@@ -83,17 +83,19 @@ def time_in_state(df: DataFrame, start: str, end: str, open_end: str = "9999-12-
             .withColumn("days", F.datediff(F.col(end), F.col(start))))
 
 
-def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict) -> DataFrame:
+def percentiles_by(df: DataFrame, keys: Sequence[str], value: str, ps: dict, width: float | None = None) -> DataFrame:
     """Exact percentiles of ``value`` (not NULL) per group, by rank
     selection: linear interpolation between the two neighbouring ranks, like
     ``quantile_cont``; NULL for a group without values.
 
     Values are counted per group, a histogram over ranges of (group, value) tells
     which ranges hold the wanted ranks, and only these ranges are ranked. So no
-    group's values are gathered anywhere, whatever their number."""
+    group's values are gathered anywhere, whatever their number. Ranges come from
+    sampled splits or, where a sensible ``width`` of them is known, from that."""
     keys = list(keys)
     every = df.groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
-    counts = parts(every.filter(F.col("__v").isNotNull()), keys + ["__v"], along="__n")
+    some = every.filter(F.col("__v").isNotNull())
+    counts = parts(some, keys + ["__v"], along="__n") if width is None else some.withColumn("__b", F.floor(F.col("__v") / width))
     ranges = counts.groupBy(*keys, "__b").agg(F.sum("__n").alias("__sum"))
     by = Window.partitionBy(*keys)
     ranges = ranges.select(*keys, "__b", F.sum("__sum").over(by).alias("__total"),

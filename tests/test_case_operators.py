@@ -25,7 +25,7 @@ def test_balances_are_carried_over_a_year_end(spark):
     b = closing_balances(t)
     assert rows(b) == [(1, D(2020, 11, 1), 10, 10), (1, D(2020, 12, 1), 0, 10), (1, D(2021, 1, 1), 0, 10), (1, D(2021, 2, 1), -4, 6),
                        (2, D(2021, 1, 1), -3, -3), (2, D(2021, 2, 1), 0, -3)]
-    total = allocation(previous_balances(b), "month", F.col("previous_balance"), "total")
+    total = allocation(previous_balances(t), "month", F.col("previous_balance"), "total")
     assert rows(total) == [(D(2020, 11, 1), 0), (D(2020, 12, 1), 10), (D(2021, 1, 1), 10), (D(2021, 2, 1), 10)]
     grown = {(r.customer_id, r.month): r.pct_increase for r in balance_growth(b).collect()}
     assert grown[1, D(2020, 11, 1)] is None and grown[1, D(2020, 12, 1)] == 0 and grown[1, D(2021, 2, 1)] == -40

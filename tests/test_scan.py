@@ -103,5 +103,7 @@ def test_percentiles_by_rank_selection(spark):
     assert set(got) == set(spark_own) and got["none"] == (None,) * 5
     for g, want in spark_own.items():
         assert got[g] == want if want[0] is None else got[g] == pytest.approx(want, rel=1e-12)
+    for width in (7, 1e6):
+        assert {r.g: tuple(r[p] for p in ps) for r in percentiles_by(df, ["g"], "v", ps, width=width).collect()} == got
     whole = percentiles_by(df, [], "v", {"m": 0.5}).first().m
     assert whole == statistics.median(v for _, v in data if v is not None)
