@@ -2,18 +2,22 @@
 
 A text is the first layer. Each layer is scanned for the base patterns;
 each line in it with percent-encoding or Unicode escapes, and each run that is
-base64 (both alphabets) or hexadecimal text, or such bytes of a gzip, zlib,
-bzip2 or xz stream, is decoded to a new layer, until no new layer appears. A
-layer whose content was met before at the same place of the text is not opened
-again (cycle detection), so the worklist ends: every new layer is met once a
-place, and all but the compressed ones are no longer than their source. Equal
-layers at two places are opened at both. A compressed layer, all members of it,
-is read in overlapping blocks of about ``MAX_LAYER`` bytes. Base64 is also joined
-over line breaks, and of bytes that are no text the printable runs (also of
-UTF-16) are layers.
+base64 (both alphabets) or hexadecimal text, is decoded to a new layer, until no
+new layer appears. What stands before a run may belong to its alphabet (a path's
+``/``, the ``d`` of ``id``), so a run is read at each of its four (two)
+alignments, and a gzip, zlib, bzip2 or xz stream is found wherever in the bytes
+it begins. A layer whose content was met before at the same place of the text is
+not opened again (cycle detection), so the worklist ends: every new layer is met
+once a place, and all but the compressed ones are no longer than their source.
+Equal layers at two places are opened at both. A compressed layer, all members
+of it, is read in overlapping blocks of about ``MAX_LAYER`` bytes; as all of its
+characters come from the same place, a block equal to an earlier one adds
+nothing and is read no further. Base64 is also joined over line breaks, and of
+bytes that are no text the printable runs (also of UTF-16) are layers.
 
 A layer's characters carry the span of the source characters that they come
-from, so each finding is reported where its encoded form stands in the text.
+from, so each finding is reported where its encoded form stands in the text; one
+in a compressed stream from the stream's first character to the end of its run.
 
 Defined results: null text counts as empty; an empty text has no spans; a
 finding that maps to the same kind and span twice is one span; repeated rows
@@ -22,7 +26,6 @@ are scanned one by one; empty tables give empty results.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -30,7 +33,7 @@ import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,15 +53,16 @@ PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 LINE = re.compile(r"[^\n]+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")
-HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){10,}(?![0-9A-Fa-f])")
+HEX_RUN = re.compile(r"[0-9A-Fa-f]{20,}")
 RUN = re.compile("[A-Za-z0-9+/_-]+")
 #: A run that ends its line, and the lines of base64 alone that follow it.
-WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+(?=[ \t=]*\r?(?:\n|\Z)))+")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+(?=[ \t=]*\r?(?:\n|\Z)))+")
 #: What a layer of other bytes is searched for; all that is looked for is ASCII, of 12 characters at least.
 PRINTABLE = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
 UTF16_LE, UTF16_BE = re.compile(rb"(?:[\t\r\n\x20-\x7e]\0){12,}"), re.compile(rb"(?:\0[\t\r\n\x20-\x7e]){12,}")
-ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-MAX_LAYER, OVERLAP = 8 << 20, 1 << 20
+IN_BASE64 = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"))
+STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+MAX_LAYER, OVERLAP, READ = 8 << 20, 1 << 20, 256 << 10
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -97,36 +101,56 @@ def _decoder(data: bytes):
     return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
 
 
-def _inflate(data: bytes, size: int) -> Iterator[bytes]:
-    """The content of gzip, zlib, bzip2 or xz streams that follow each other, in
-    pieces of at most ``size`` bytes, as far as they can be read."""
-    while data and (d := _decoder(data)) is not None:
+def _inflate(data: bytes, at: int, size: int) -> Generator[bytes, None, int]:
+    """The content of the compressed streams that follow each other from ``at`` on, in
+    pieces of at most ``size`` bytes, as far as they can be read; returns where the
+    last whole one ends."""
+    whole = at
+    while (d := _decoder(data[at : at + 6])) is not None:
+        tail = b""
         try:
             while not d.eof:
-                out = d.decompress(data, size)
-                data = d.unconsumed_tail if hasattr(d, "unconsumed_tail") else b""
+                if not tail and getattr(d, "needs_input", True):
+                    tail = data[at : at + READ]
+                    at += len(tail)
+                out = d.decompress(tail, size)
                 if out:
                     yield out
-                elif not data:
-                    return  # the stream is cut short
+                elif not tail:
+                    return whole  # the stream is cut short
+                tail = getattr(d, "unconsumed_tail", b"")
         except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-            return
-        data = d.unused_data.lstrip(b"\0")
-
-
-def _blocks(data: bytes) -> Iterator[bytes]:
-    """Inflated content in blocks; each begins with the last ``OVERLAP`` bytes of
-    its predecessor, at a whole group of four of a run of base64."""
-    held, new = b"", 0
-    for piece in _inflate(data, MAX_LAYER // 2):
+            return whole
+        at -= len(d.unused_data)
+        whole = at
+        while data[at : at + 1] == b"\0":
+            at += 1
+    return whole
+
+
+def _blocks(data: bytes, at: int) -> Generator[bytes, None, int]:
+    """Inflated content in different blocks; each begins with the last ``OVERLAP`` bytes
+    of its predecessor, at a whole group of four of a run of base64."""
+    held, new, met = b"", 0, set()
+    pieces = _inflate(data, at, MAX_LAYER // 2)
+    while True:
+        try:
+            piece = next(pieces)
+        except StopIteration as stop:
+            end = stop.value
+            break
         held, new = held + piece, new + len(piece)
         if len(held) >= MAX_LAYER:
-            yield held
+            if (key := hashlib.blake2b(held, digest_size=16).digest()) not in met:
+                met.add(key)
+                yield held
             cut = len(held) - OVERLAP
-            cut -= (cut - len(held[:cut].rstrip(ALPHABET))) % 4
+            other = np.flatnonzero(~IN_BASE64[np.frombuffer(held, np.uint8, cut)])
+            cut -= (cut - (int(other[-1]) + 1 if len(other) else 0)) % 4
             held, new = held[cut:], 0
     if new:
         yield held
+    return end
 
 
 def _as_text(data: bytes) -> str | None:
@@ -135,8 +159,9 @@ def _as_text(data: bytes) -> str | None:
         text = data.decode()
     except UnicodeDecodeError:
         return None
-    odd = sum(not (c.isprintable() or c in "\t\r\n") for c in text[:4096])
-    return text if text and odd * 20 <= min(len(text), 4096) else None
+    head = text[:4096]
+    odd = len(head) - sum(map(str.isprintable, head)) - sum(map(head.count, "\t\r\n"))
+    return text if text and odd * 20 <= len(head) else None
 
 
 def _texts(data: bytes) -> Iterator[tuple[str, int, int]]:
@@ -154,16 +179,31 @@ def _texts(data: bytes) -> Iterator[tuple[str, int, int]]:
                 yield m.group()[first::2].decode("ascii"), m.start(), 2
 
 
-def _inflated(data: bytes, a: int, b: int, depth: int) -> Iterator[Layer]:
-    for block in _blocks(data):
-        for text, _, _ in _texts(block):  # a compressed character depends on the whole run
-            yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)), depth)
+def _inflated(layer: Layer, data: bytes, at: np.ndarray, num: int, den: int) -> Generator[Layer, None, None]:
+    """The texts of all compressed streams in some bytes."""
+    last = int(at[-1]) + 1
+
+    def opened(first: int) -> Generator[Layer, None, int]:
+        a, b = layer.span(int(at[first * num // den]), last)
+        blocks = _blocks(data, first)
+        while True:
+            try:
+                block = next(blocks)
+            except StopIteration as stop:
+                return stop.value
+            for text, _, _ in _texts(block):  # a compressed character depends on the whole stream
+                yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)), layer.depth + 1)
+
+    m = STREAM.search(data)
+    while m:
+        end = yield from opened(m.start())
+        m = STREAM.search(data, max(m.start() + 1, end))
 
 
 def _byte_layers(layer: Layer, data: bytes, at: np.ndarray, num: int, den: int) -> Iterator[Layer | Iterator[Layer]]:
     """The layers of bytes whose byte i was written by characters from at[i * num / den] on."""
-    if _decoder(data) is not None and _as_text(data) is None:
-        yield _inflated(data, *layer.span(int(at[0]), int(at[-1]) + 1), layer.depth + 1)
+    if STREAM.search(data) and _as_text(data) is None:
+        yield _inflated(layer, data, at, num, den)
     for text, first, wide in _texts(data):
         if wide:
             width = np.full(len(text), wide, np.int64)
@@ -177,11 +217,14 @@ def _byte_layers(layer: Layer, data: bytes, at: np.ndarray, num: int, den: int)
         yield Layer(text, a, b, layer.depth + 1)
 
 
-def _base64(run: str) -> bytes | None:
-    try:
-        return base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+def _base64(layer: Layer, run: str, at: np.ndarray) -> Iterator[Layer | Iterator[Layer]]:
+    """The layers of a run of base64 at each of the four places where a group of four may begin."""
+    run = run.replace("-", "+").replace("_", "/")
+    for first in range(4):
+        stop = len(run) - ((len(run) - first) % 4 == 1)
+        if stop - first >= 8:
+            data = binascii.a2b_base64(run[first:stop] + "=" * (-(stop - first) % 4))
+            yield from _byte_layers(layer, data, at[first:stop], 4, 3)
 
 
 def _wrapped(text: str) -> Iterator[tuple[str, np.ndarray]]:
@@ -198,8 +241,7 @@ def _wrapped(text: str) -> Iterator[tuple[str, np.ndarray]]:
                 first = k
         for lo, hi in dict.fromkeys(groups):
             run, at = "".join(text[a:b] for a, b in lines[lo:hi]), np.concatenate([np.arange(a, b) for a, b in lines[lo:hi]])
-            keep = len(run) - (len(run) % 4 == 1)
-            yield run[:keep], at[:keep]
+            yield run, at
 
 
 def _unescaped(layer: Layer, lo: int, hi: int) -> Layer:
@@ -265,24 +307,21 @@ def _opened(layer: Layer) -> Iterator[Layer | Iterator[Layer]]:
                     yield undo(layer, m.start(), m.end())
     for m in BASE64.finditer(text):
         run = m.group().rstrip("=")
-        if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run[1:].islower()):
-            continue  # no base64 length, or a plain word
-        data = _base64(run)
-        if data:
-            yield from _byte_layers(layer, data, np.arange(m.start(), m.start() + len(run)), 4, 3)
+        if not (run.isalpha() and (run.islower() or run[1:].islower())):  # a plain word
+            yield from _base64(layer, run, np.arange(m.start(), m.start() + len(run)))
     for run, at in _wrapped(text):
-        data = _base64(run)
-        if data:
-            yield from _byte_layers(layer, data, at, 4, 3)
+        yield from _base64(layer, run, at)
     for m in HEX_RUN.finditer(text):
-        yield from _byte_layers(layer, bytes.fromhex(m.group()), np.arange(m.start(), m.end()), 2, 1)
+        for first in (m.start(), m.start() + 1):
+            stop = m.end() - (m.end() - first) % 2
+            yield from _byte_layers(layer, bytes.fromhex(text[first:stop]), np.arange(first, stop), 2, 1)
 
 
 def _place(layer: Layer) -> bytes:
     """A layer's content and the place of each of its characters, as a key."""
     h = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16)
-    h.update(layer.start.astype(np.int64).tobytes())
-    h.update(layer.end.astype(np.int64).tobytes())
+    for x in (layer.start, layer.end):
+        h.update((x if any(x.strides) else x[:1]).astype(np.int64).tobytes())  # one place of all characters: once
     return h.digest()
 
 

@@ -104,3 +104,72 @@ def test_query(spark, small_dir, texts):
 
 def test_odd_rows(odd, none):
     assert find_secrets(odd).count() == odd.count() and find_secrets(none).count() == 0
+
+
+BLOBS = [B64(SECRET.encode()), base64.urlsafe_b64encode(gzip.compress(SECRET.encode(), mtime=0)).decode(), B64(bz2.compress(SECRET.encode())),
+         B64(zlib.compress(SECRET.encode())), SECRET.encode().hex(), gzip.compress(SECRET.encode(), mtime=0).hex()]
+
+
+@pytest.mark.parametrize("before", ["a/", "/ab/", "path/", "xy-", "k_", "id", "d", "abc+", "x/y/z/"])
+@pytest.mark.parametrize("blob", BLOBS)
+def test_glued_blobs_are_found_at_their_place(before, blob):
+    text = f"see {before}{blob} end"
+    found = [(a, b) for a, k, b in scan(text)[1] if KINDS[k] == "assign"]
+    at = text.index(blob)
+    assert any(at <= a < b <= at + len(blob) for a, b in found), found
+
+
+def test_wrapped_blobs_behind_a_prefix():
+    blob = B64(b"x" * 40 + SECRET.encode() + b"y" * 30)
+    lines = [f"xy-{blob[:60]}", *(blob[k:k + 63] for k in range(60, len(blob), 63))]
+    text = "\n".join(lines)
+    assert any(KINDS[k] == "assign" for _, k, _ in scan(text)[1])
+
+
+def every_start(text):
+    """Kinds with a finding in base64 or hex read from any character on, and the characters read."""
+    out = set()
+    for start in range(len(text)):
+        run = re.match("[A-Za-z0-9+/_-]*", text[start:])[0].replace("-", "+").replace("_", "/")
+        run = run[: len(run) // 4 * 4]
+        read = base64.b64decode(run).decode("latin-1")
+        out |= {(start + a * 4 // 3, k) for a, k, b in plain_kinds(read)}
+        run = re.match("(?:[0-9a-fA-F]{2})*", text[start:])[0]
+        out |= {(start + a * 2, k) for a, k, b in plain_kinds(bytes.fromhex(run).decode("latin-1"))}
+    return out
+
+
+def plain_kinds(text):
+    return [(a, k, b) for a, k, b in plain(text)]
+
+
+def test_runs_against_every_start():
+    rng = random.Random(7)
+    secrets = [SECRET, "AKIA" + "Q7" * 9, "token: abcdef123456", "0123456789abcdef01234567"]
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            s = ("pad " * rng.randint(1, 5) + rng.choice(secrets) + " pad" * rng.randint(0, 4)).encode()
+            parts += [rng.choice(["", "/", "a/", "id", "k_", "7", "xy-"]), rng.choice([B64(s).rstrip("="), s.hex()]), rng.choice([" ", "/", "\n", "."])]
+        text = "".join(parts)
+        spans = scan(text)[1]
+        for a, k in every_start(text):
+            assert any(kind == k and lo <= a + 2 and a <= hi for lo, kind, hi in spans), (text, a, KINDS[k], spans)
+
+
+def test_a_long_even_stream_is_read_in_bounded_time():
+    import time
+
+    data = b"a" * (200 << 20)
+    text = "x " + B64(zlib.compress(data, 9)) + " y"
+    began = time.perf_counter()
+    assert scan(text)[2] >= 1
+    assert time.perf_counter() - began < 20
+    hidden = B64(zlib.compress(b"\n" * (40 << 20) + SECRET.encode(), 9))
+    assert any(KINDS[k] == "assign" for _, k, _ in scan(hidden)[1])
+
+
+def test_members_of_a_stream_are_read_once():
+    member = gzip.compress(SECRET.encode(), mtime=0)
+    text = B64(member * 400)
+    assert {(a, k, b) for a, k, b in scan(text)[1] if KINDS[k] == "assign"} == {(0, 0, len(text.rstrip("=")))}
