@@ -1,5 +1,7 @@
 """Operator 10: phrases against substring search, held-out accuracy."""
 
+import random
+import time
 import zlib
 
 import pytest
@@ -30,12 +32,42 @@ def test_phrases(text):
         assert total[k, 0] == phrases(p, k, text, SAMPLES[lang])
 
 
-def test_stretches_end_phrases(monkeypatch):
-    text = "the cat sat on the mat " * 20
-    whole = CrossParser(SAMPLES).parse([text])[0]
-    monkeypatch.setattr(langid, "STRETCH", 50)
-    cut = CrossParser(SAMPLES).parse([text])[0]
-    assert (cut >= whole).all() and (cut <= whole + len(text) // 50 + 1).all()
+def test_stretches_change_nothing(monkeypatch):
+    rng = random.Random(5)
+    words = "the cat sat on mat and dog ran off le chat est sur tapis un chien court zz zzz q".split()
+    texts = ["the cat sat on the mat " * 40, "z" * 777, "zz " * 300, "q" * 500, "x", "", "cat the ", "on the mat and the dog ran" * 30,
+             *(" ".join(rng.choices(words, k=rng.randint(1, 200))) for _ in range(30)), "".join(rng.choices("the cat", k=900))]
+    parser = CrossParser(SAMPLES)
+    whole = parser.parse(texts)[0]
+    for stretch in (1, 2, 7, 50, 64, 333):
+        monkeypatch.setattr(langid, "STRETCH", stretch)
+        assert (parser.parse(texts)[0] == whole).all()
+    for k, lang in enumerate(parser.langs):
+        assert [phrases(parser, k, t, SAMPLES[lang]) for t in texts] == whole[k].tolist()
+
+
+def test_many_letters_take_no_room():
+    rng = random.Random(6)
+    samples = {f"l{k}": "".join(rng.choices([chr(c) for c in range(0x4E00 + 3000 * k, 0x4E00 + 3000 * k + 3000)], k=24_000)) for k in range(4)}
+    samples |= {f"m{k}": " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(4000)) for k in range(6)}
+    parser = CrossParser(samples)
+    assert parser.moves.keys.nbytes + parser.moves.to.nbytes < 60 << 20
+    langs = parser.predict([samples["l2"][100:300], samples["m1"][50:400], samples["l0"][:50]])[0]
+    assert langs == ["l2", "m1", "l0"]
+
+
+def test_even_text_takes_linear_time():
+    parser, began = CrossParser(SAMPLES), time.perf_counter()
+    parser.parse(["zz " * 700_000 + "the cat"])
+    assert time.perf_counter() - began < 30
+
+
+def test_more_labels_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGS", 3)
+    rows = [(k, f"text of label {k % 5} " * 60, f"l{k % 5}" if k < 40 else "l0") for k in range(50)]
+    samples = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [lang for lang, _ in samples] == ["l0", "l1", "l2"]
+    assert all(0 < len(t) <= langid.TRAIN_CHARS for _, t in samples)
 
 
 def test_query(spark, small_dir, docs):
