@@ -5,13 +5,20 @@ them, those of least hash; copies would draw the cuts to their vector):
 starting at random, each alternates between the signs of the
 rotated vectors and the rotation that best maps the vectors onto these signs;
 bits are cut at the sample's median, so they are balanced. Every vector is then
-coded by each rotation and indexed in tables keyed by ``BITS`` bits of its
-codes. Vectors that share a key in some table are reranked by cosine in double
+coded by each rotation and indexed in tables keyed by substrings of its codes.
+Vectors that share a key in some table are reranked by cosine in double
 precision with the original vectors. Equal vectors of a label form one class
 that is indexed once. A pair that meets in several tables counts in the first.
 Large buckets are split in blocks whose pairs are separate tasks, so no bucket
 is capped; pairs are counted, never listed.
 
+A key has ``SPARE`` bits more than the largest label needs to number its classes
+(``BITS`` at least), so the strangers that a vector meets in a table do not grow
+with the data. Longer keys part more near copies, so there are more tables:
+``TABLES``, and on until of the sample's vectors, each turned to exactly the least
+cosine in a random direction, a share of ``RECALL`` still meets its original
+(``MOST_TABLES`` at most). Closer pairs meet more often.
+
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without label, link with nothing. Vectors of different
 length don't link. Repeated rows are vectors of their own, also rows of one id
@@ -24,6 +31,7 @@ they are squared). An empty table gives an empty result. Other columns are ignor
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,29 +42,54 @@ from pyspark.sql import DataFrame, functions as F
 from bizlens.llm.common import stored
 from bizlens.llm.components import components
 
-SAMPLE, BITS, TABLES, ROUNDS, BLOCK = 20_000, 12, 32, 30, 1024
+SAMPLE, ROUNDS, BLOCK = 20_000, 30, 1024
+BITS, SPARE, TABLES, MOST_TABLES = 12, 2, 32, 512
+RECALL, TURNED = 0.99, 2000
 
 
-def learn_rotations(x: np.ndarray, bits: int, rounds: int = ROUNDS, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Projections (columns) and thresholds for at least ``bits`` bits, several
-    rotations of the sample's principal axes where one has too few columns."""
+def _rotations(x: np.ndarray, rounds: int, seed: int) -> Iterator[np.ndarray]:
+    """Rotations of the sample's principal axes, one projection a column."""
     rng, dim = np.random.default_rng(seed), x.shape[1]
-    mean = x.mean(axis=0)
-    centred = x - mean
+    centred = x - x.mean(axis=0)
     _, _, axes = np.linalg.svd(centred.T @ centred)
     v = centred @ axes.T
-    parts = []
-    for _ in range(-(-bits // dim)):
+    while True:
         r = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         for _ in range(rounds):
             b = np.where(v @ r >= 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(b.T @ v)
             r = (left @ right).T
-        parts.append(axes.T @ r)
-    w = np.concatenate(parts, axis=1)[:, :bits]
+        yield axes.T @ r
+
+
+def learn_rotations(x: np.ndarray, bits: int, rounds: int = ROUNDS, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Projections (columns) and thresholds for ``bits`` bits, of several
+    rotations where one has too few columns."""
+    w = np.concatenate([*itertools.islice(_rotations(x, rounds, seed), -(-bits // x.shape[1]))], axis=1)[:, :bits]
     return w, np.median(x @ w, axis=0)
 
 
+def learn_tables(x: np.ndarray, bits: int, least: float, tables: int = TABLES, most: int = MOST_TABLES, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Projections and thresholds for tables of ``bits`` bits, as many as let unit vectors of
+    cosine ``least`` meet in one."""
+    rng = np.random.default_rng(seed + 1)
+    some = x[:TURNED]
+    away = rng.standard_normal(some.shape)
+    away -= (away * some).sum(axis=1, keepdims=True) * some
+    away /= np.maximum(np.sqrt((away * away).sum(axis=1, keepdims=True)), 1e-12)
+    near = least * some + np.sqrt(max(0.0, 1 - least * least)) * away
+    made, w, cut = _rotations(x, ROUNDS, seed), np.zeros((x.shape[1], 0)), np.zeros(0)
+    met, have = np.zeros(len(some), bool), 0
+    while have < most and (have < tables or met.mean() < RECALL):
+        while w.shape[1] < (have + 1) * bits:
+            new = next(made)
+            w, cut = np.concatenate([w, new], axis=1), np.concatenate([cut, np.median(x @ new, axis=0)])
+        own = slice(have * bits, (have + 1) * bits)
+        met |= ((some @ w[:, own] >= cut[own]) == (near @ w[:, own] >= cut[own])).all(axis=1)
+        have += 1
+    return w[:, : have * bits], cut[: have * bits]
+
+
 def _matrix(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat components as doubles (null: not a number) and offsets; null vectors are empty."""
     lens = [0 if v is None else len(v) for v in vectors]
@@ -78,8 +111,7 @@ def _unit_rows(vectors: pa.Array, dim: int) -> np.ndarray:
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding",
-                    label_col: str = "label", sample: int = SAMPLE, bits: int = BITS, tables: int = TABLES,
-                    block: int = BLOCK) -> DataFrame:
+                    label_col: str = "label", sample: int = SAMPLE, bits: int | None = None, block: int = BLOCK) -> DataFrame:
     """Id, ``n_links`` (other vectors with cosine of at least ``least``),
     ``component_id`` and ``kept`` for every row."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vec"))
@@ -96,13 +128,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
         return rows.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     dim = int(train["vec"].map(len).mode()[0])
-    w, cut = learn_rotations(_unit_rows(pa.array(train["vec"]), dim), bits * tables)
-    place = (1 << np.arange(bits)).astype(np.int64)
+    if bits is None:
+        largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+        bits = max(BITS, int(largest - 1).bit_length() + SPARE)
+    w, cut = learn_tables(_unit_rows(pa.array(train["vec"]), dim), bits, least)
+    tables, place = w.shape[1] // bits, (1 << np.arange(bits)).astype(np.int64)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<long>")
     def table_keys(x: pd.Series) -> pd.Series:
         ones = _unit_rows(pa.array(x), dim) @ w >= cut
-        return pd.Series(list((ones.reshape(len(x), tables, bits) @ place).astype(np.int32)))
+        return pd.Series(list(ones.reshape(len(x), tables, bits) @ place))
 
     classes = classes.withColumn("keys", table_keys("vec")).withColumn("dim", F.size("vec"))
     classes = stored(classes, "vectors")

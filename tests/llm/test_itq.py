@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 from bizlens.llm.components import components
-from bizlens.llm.itq import learn_rotations, near_duplicates, op8_embedding_duplicates
+from bizlens.llm.itq import BITS, TABLES, learn_rotations, learn_tables, near_duplicates, op8_embedding_duplicates
 
 
 def plain(rows, least=0.93):
@@ -117,6 +117,39 @@ def test_query_recall(spark, small_dir):
     assert all(h[1] <= w[1] for h, w in zip(have, want, strict=True))
 
 
+@pytest.mark.parametrize("n", [600, 6000])
+def test_recall_at_two_sizes(spark, n):
+    """Near copies down to the least cosine, in one label."""
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 32))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    half = n // 2
+    away = rng.standard_normal((half, 32)) / np.sqrt(32)
+    x[half:] = x[:half] + away * rng.uniform(0.1, 0.42, (half, 1))
+    x = x.astype(np.float32).astype(float)
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    want = (unit @ unit.T >= 0.93).sum() - n
+    df = spark.createDataFrame([(k, [float(c) for c in v], 1, 1) for k, v in enumerate(x)], SCHEMA)
+    have = got(near_duplicates(df))
+    assert want > 0.5 * n and 0.95 * want <= sum(h[1] for h in have) <= want
+
+
+def test_strangers_met_do_not_grow_with_the_rows():
+    rng = np.random.default_rng(11)
+    met = []
+    for n in (1000, 5000, 20_000):
+        x = rng.standard_normal((n, 32))
+        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+        bits = max(BITS, (n - 1).bit_length() + 2)
+        w, cut = learn_tables(x, bits, 0.93)
+        tables = w.shape[1] // bits
+        assert tables >= TABLES
+        keys = (x @ w >= cut).reshape(n, tables, bits) @ (1 << np.arange(bits))
+        pairs = sum(int((c * (c - 1) // 2).sum()) for c in (np.unique(keys[:, t], return_counts=True)[1] for t in range(tables)))
+        met.append(pairs / n)
+    assert met[1] <= 1.5 * met[0] and met[2] <= 1.5 * met[1], met
+
+
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     assert got(near_duplicates(spark.createDataFrame([(1, None, 1, 1)], SCHEMA))) == [(1, 0, 1, True)]
