@@ -3,6 +3,11 @@
 import datetime as dt
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
+from bizlens.operators.keys import join_hot, join_null_safe, key_counts
+from bizlens.operators.toppings import ingredient_list, item_label
 from bizlens.plans import spark_queries
 from bizlens.sources.driver import SCHEMAS
 
@@ -47,3 +52,42 @@ def test_opened_recipes_are_not_sent_everywhere(spark, tmp_path):
     used = Counter(t for x in lines if x["l_orderkey"] in delivered and x["l_partkey"] in size
                    for t in range(1, 13) if (x["l_partkey"] + t * (size[x["l_partkey"]] % 2 + 1)) % 3)
     assert sorted(r.total_quantity for r in df.collect()) == sorted(used.values())
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """Shuffled joins as planned, as for tables beyond any broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in zip(keys, ("-1", "false")):
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_items_of_one_list_are_not_one_task(spark, plain_joins):
+    tops = spark.createDataFrame([(1, "Bacon"), (2, "Cheese")], "topping_id int, topping_name string")
+    items = spark.range(4000).select(F.col("id").alias("order_id"), F.lit(7).alias("pizza_id"), F.lit("Meat").alias("pizza_name"), F.when(F.col("id") < 3900, "2, 1").alias("exclusions"),
+                                     F.when(F.col("id") % 2 == 0, "1").otherwise("null").alias("extras"))
+    labels = item_label(items, tops)
+    lists = ingredient_list(items, spark.createDataFrame([(7, "1, 2")], "pizza_id int, toppings string"), tops)
+    for made in (labels, lists):
+        in_task = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(in_task) == 4000 and max(in_task) < 2000, in_task
+    assert Counter(r.order_item for r in labels.collect()) == {
+        "Meat - Exclude Cheese, Bacon - Extra Bacon": 1950, "Meat - Exclude Cheese, Bacon": 1950, "Meat - Extra Bacon": 50, "Meat": 50}
+    assert Counter(r.ingredient_list for r in lists.collect()) == {
+        "Meat: Bacon": 1950, "Meat: ": 1950, "Meat: 2xBacon, Cheese": 50, "Meat: Bacon, Cheese": 50}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_hot_equals_a_null_safe_join(spark, plain_joins, how):
+    left = spark.range(3000).select(F.col("id").alias("n"), F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.when(F.col("id") % 2 == 0, F.col("id").cast("string"))).alias("a"),
+                                    F.when(F.col("id") % 4 > 0, 5).alias("b"))
+    left = left.unionAll(left.limit(100))
+    right = left.filter("n % 5 > 0").select("a", "b").distinct().withColumn("v", F.concat_ws("/", "a", "b"))
+    got = join_hot(left, right, ["a", "b"], key_counts(left, ["a", "b"]), how)
+    want = join_null_safe(left, right, ["a", "b"], how)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
