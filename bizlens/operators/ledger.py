@@ -104,28 +104,39 @@ def trailing_day_balances(txns: DataFrame, days: int = 30, key: str = "customer_
 
     The balances of all days up to day d sum up to (d + 1) * A - B, where A adds
     the amounts and B amount * day of the transactions up to d. A window is the
-    difference of two such sums, and between two transactions both A and B stand
-    still: an entity's running sums (one row a day with transactions) give every
-    month's two sums by opening the months between them, and no row per day is
-    made."""
+    difference of two such sums. Both stand still between two marks, where a mark
+    is a day with transactions or such a day shifted by ``days`` (from there on it
+    lies before the window): an entity's running sums over its marks give every
+    month by opening the months between a mark and the next, each month once, and
+    no row per day is made. Nothing is gathered after the months are opened."""
     if days < 1:
         raise ValueError("days must be 1 or more")
     amt = signed_amount() if amount is None else amount
     txns = txns.filter(F.col(ts).isNotNull())
     last = txns.agg(F.trunc(F.max(ts), "MM")).scalar()
     daily = txns.groupBy(F.col(key).alias("__k"), F.to_date(ts).alias("__d")).agg(F.sum(amt).alias("__n"))
-    own = Window.partitionBy("__k").orderBy("__d")
-    daily = daily.select("__k", "__d", F.sum("__n").over(own).alias("__a"), F.sum(F.col("__n") * F.unix_date("__d")).over(own).alias("__b"),
-                         F.lead("__d").over(own).alias("__next"))
-    # months whose end (shift 0), or the day before whose window (shift ``days``), falls on or after this day and before the next one
-    side = F.explode(F.array(F.struct(F.lit(0).alias("shift"), F.lit(1).alias("sign")), F.struct(F.lit(days).alias("shift"), F.lit(-1).alias("sign"))))
-    both = daily.withColumn("__s", side)
-    first = F.trunc(F.date_add("__d", F.col("__s.shift")), "MM")
-    until = F.least(F.add_months(F.trunc(F.date_add("__next", F.col("__s.shift")), "MM"), -1), last)
-    months = both.withColumn("__m", F.explode(F.when(first <= until, F.sequence(first, until, F.expr("INTERVAL 1 MONTH")))))
-    day = F.unix_date(F.last_day("__m")).cast("long") - F.col("__s.shift")
-    return months.groupBy(F.col("__k").alias(key), F.col("__m").alias("month")).agg(
-        F.sum(F.col("__s.sign") * ((day + 1) * F.col("__a") - F.col("__b"))).alias("day_balances"))
+    # a given number of partitions: fewer would be made for the size of the days, which the months opened from them exceed
+    daily = daily.repartition(int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__k")
+    marks = daily.select("__k", "__n", F.unix_date("__d").alias("__day"), F.explode(F.array(F.lit(0), F.lit(days))).alias("__shift"))
+    marks = marks.withColumn("__at", F.date_add(F.date_from_unix_date("__day"), F.col("__shift")))
+    own = Window.partitionBy("__k").orderBy("__at")
+    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def running(side: Column, value: Column) -> Column:
+        return F.sum(F.when(side, value)).over(upto)
+
+    now, gone = F.col("__shift") == 0, F.col("__shift") > 0
+    n, by_day = F.col("__n"), F.col("__n") * F.col("__day")
+    sums = marks.select("__k", "__at", F.lead("__at").over(own).alias("__next"), running(now, n).alias("__a"), running(now, by_day).alias("__b"),
+                        running(gone, n).alias("__a0"), running(gone, by_day).alias("__b0"))
+    # months whose end falls on or after this mark and before the next one (none where marks are on one day, but for the last)
+    first = F.trunc("__at", "MM")
+    until = F.least(F.add_months(F.trunc("__next", "MM"), -1), last)
+    months = sums.withColumn("__m", F.explode(F.when(first <= until, F.sequence(first, until, F.expr("INTERVAL 1 MONTH")))))
+    end = F.unix_date(F.last_day("__m")).cast("long")
+    total = (end + 1) * F.col("__a") - F.col("__b")
+    before = (end - days + 1) * F.col("__a0") - F.col("__b0")
+    return months.select(F.col("__k").alias(key), F.col("__m").alias("month"), (total - F.coalesce(before, F.lit(0))).alias("day_balances"))
 
 
 def balance_stats(txns: DataFrame, key: str = "customer_id", ts: str = "txn_date", amount: Column | None = None) -> DataFrame:

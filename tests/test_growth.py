@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bizlens.operators.keys import join_hot, join_null_safe, key_counts
+from bizlens.operators.ledger import trailing_day_balances
 from bizlens.operators.toppings import ingredient_list, item_label
 from bizlens.plans import spark_queries
 from bizlens.sources.driver import SCHEMAS
@@ -91,3 +92,14 @@ def test_join_hot_equals_a_null_safe_join(spark, plain_joins, how):
     want = join_null_safe(left, right, ["a", "b"], how)
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_trailing_balances_are_made_month_by_month(spark):
+    rows = [(1, D(2023, 1, 5), "deposit", None), (1, D(2023, 3, 3), "deposit", 8), (1, D(2023, 3, 10), "purchase", 3), (1, D(2023, 3, 17), "deposit", 2), (1, D(2023, 5, 31), "deposit", 1),
+            (2, D(2023, 2, 28), "purchase", 4), (2, D(2023, 2, 28), "deposit", 9), (None, D(2023, 4, 30), "deposit", 6)]
+    held = trailing_day_balances(spark.createDataFrame(rows, "customer_id int, txn_date date, txn_type string, txn_amount int"), 7)
+    lines = plan_lines(held)
+    opened = next(i for i, x in enumerate(lines) if "Generate" in x)
+    assert not any("Aggregate" in x for x in lines[:opened]), "months are gathered again"
+    assert {(r.customer_id, r.month.month): r.day_balances for r in held.collect()} == {
+        (1, 1): None, (1, 2): None, (1, 3): 49, (1, 4): 49, (1, 5): 50, (2, 2): 5, (2, 3): 35, (2, 4): 35, (2, 5): 35, (None, 4): 6, (None, 5): 42}
