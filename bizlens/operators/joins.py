@@ -57,9 +57,10 @@ def _right(c: Column, k: Column) -> Column:
     return F.call_function("shiftright", c, k)
 
 
-def dyadic_cover(first: Column, last: Column) -> Column:
+def dyadic_cover(first: Column, last: Column, levels: Column | None = None) -> Column:
     """The aligned blocks (``level``, ``block``) that make up the whole numbers
-    from ``first`` to ``last``: block b of level k holds b * 2^k to (b + 1) * 2^k - 1."""
+    from ``first`` to ``last``: block b of level k holds b * 2^k to (b + 1) * 2^k - 1.
+    ``levels``: the number of lengths to look at, where no interval needs more."""
     def at(k: Column) -> Column:
         size = F.call_function("shiftleft", F.lit(1).cast("long"), k)
         lo, hi = _right(first + size - 1, k), _right(last + 1, k)
@@ -67,7 +68,7 @@ def dyadic_cover(first: Column, last: Column) -> Column:
         block = lambda keep, b: F.when((lo < hi) & keep, F.struct(k.alias("level"), b.alias("block")))
         return F.array(block(odd(lo), lo), block(odd(hi), hi - 1))
 
-    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at)), lambda b: b.isNotNull())
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), (F.lit(LEVELS) if levels is None else levels) - 1), at)), lambda b: b.isNotNull())
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str, end: str,
@@ -86,10 +87,13 @@ def interval_join(points: DataFrame, intervals: DataFrame, ts: str, start: str,
     times = points.select(F.col(ts).alias("__ts")).filter(F.col("__ts").isNotNull()).distinct()
     # an open end (e.g. 9999-12-31) needs no cover beyond the points
     span = times.agg(F.min(_place("__ts", unit)).alias("lo"), F.max(_place("__ts", unit)).alias("hi"))
+    # and no block is longer than that (one length more, as log2 is rounded)
+    longest = F.floor(F.log2(F.col("hi").cast("double") - F.col("lo").cast("double") + 1)).cast("int") + 2
+    levels = span.select(F.least(longest, F.lit(LEVELS)).alias("levels")).scalar()
     iv = intervals.withColumns({"__first": F.greatest(_place(start, unit), span.select("lo").scalar()),
-                                "__last": F.least(_place(end, unit), span.select("hi").scalar())})
+                                "__last": F.least(_place(end, unit), span.select("hi").scalar()), "__levels": levels})
     iv = iv.filter(F.col(start).isNotNull() & (F.col(start) <= F.col(end)) & (F.col("__first") <= F.col("__last")))
-    iv = iv.withColumn("__at", F.explode(dyadic_cover(F.col("__first"), F.col("__last")))).drop("__first", "__last")
+    iv = iv.withColumn("__at", F.explode(dyadic_cover(F.col("__first"), F.col("__last"), F.col("__levels")))).drop("__first", "__last", "__levels")
     # a point is looked up at the lengths that occur only
     used = iv.select("__at.level").distinct().agg(F.collect_set("level")).scalar()
     asked = times.withColumn("__k", F.explode(used)).select(

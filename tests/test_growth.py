@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from bizlens.operators.joins import dyadic_cover
 from bizlens.operators.keys import join_hot, join_null_safe, key_counts
 from bizlens.operators.ledger import trailing_day_balances
 from bizlens.operators.toppings import ingredient_list, item_label
@@ -103,3 +104,32 @@ def test_trailing_balances_are_made_month_by_month(spark):
     assert not any("Aggregate" in x for x in lines[:opened]), "months are gathered again"
     assert {(r.customer_id, r.month.month): r.day_balances for r in held.collect()} == {
         (1, 1): None, (1, 2): None, (1, 3): 49, (1, 4): 49, (1, 5): 50, (2, 2): 5, (2, 3): 35, (2, 4): 35, (2, 5): 35, (None, 4): 6, (None, 5): 42}
+
+
+def test_stints_are_counted_before_they_meet_months(spark, tmp_path):
+    day = lambda k: T(1995, 1, 1) + dt.timedelta(days=(k * 37) % 500)
+    orders = [{"o_orderkey": k, "o_custkey": k % 9, "o_orderstatus": "O", "o_totalprice": 1000.0, "o_orderdate": day(k)} for k in range(90)]
+    orders += [{"o_orderkey": 200 + k, "o_custkey": 3, "o_orderstatus": "O", "o_totalprice": 1.0, "o_orderdate": T(1995, m, d)} for k, (m, d) in enumerate([(1, 31), (2, 28), (2, 28), (3, 1)])]
+    customers = [{"c_custkey": k, "c_nationkey": k % 4} for k in range(8)]
+    nations = [{"n_nationkey": k, "n_regionkey": k % 2} for k in range(4)]
+    folder = tables(spark, tmp_path, orders=orders, customer=customers, nation=nations)
+    df = spark_queries()["stints_open_at_month_end"](spark, folder)
+    lines = plan_lines(df)
+    covers = [i for i, x in enumerate(lines) if "Generate explode(filter(flatten" in x]
+    assert covers
+    for i in covers:  # what is cut into blocks is an aggregate
+        assert "Aggregate" in next(x for x in lines[i + 1 :] if not any(w in x for w in ("Filter", "Project", "AQEShuffleRead", "Exchange"))), "\n".join(lines)
+    ends = {(o["o_orderdate"].replace(day=28) + dt.timedelta(days=4)).replace(day=1).date() - dt.timedelta(days=1) for o in orders}
+    want = Counter()
+    for c in customers:
+        own = sorted((o["o_orderdate"], o["o_orderkey"]) for o in orders if o["o_custkey"] == c["c_custkey"])
+        for (a, _), b in zip(own, [x for x, _ in own[1:]] + [T(9999, 12, 31)]):
+            want.update((e, c["c_nationkey"] % 4 % 2 + 1) for e in ends if a.date() <= e <= b.date())
+    assert {(r.month_end, r.region_id): r.open_stints for r in df.collect()} == want
+
+
+def test_cover_of_the_lengths_that_are_needed(spark):
+    spans = [(a, a + n) for a in (-70, -1, 0, 5, 1023) for n in (0, 1, 6, 63, 127)]
+    df = spark.createDataFrame(spans, "a long, b long")
+    both = df.select(dyadic_cover(F.col("a"), F.col("b")).alias("every"), dyadic_cover(F.col("a"), F.col("b"), F.lit(8)).alias("some"))
+    assert both.filter("every = some").count() == len(spans)
