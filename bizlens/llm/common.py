@@ -8,14 +8,16 @@ memory of a task depends on the longest single text, not on the batch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES, BATCH_ROWS = 1 << 20, 1000
+#: Most bits of a bitmap of ``perhaps_in``.
+MOST_BITS = 1 << 26
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -90,6 +92,30 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def perhaps_in(hashes: DataFrame) -> Callable[[Column], Column]:
+    """A test of 64-bit hashes against a stored column of them: true for all that
+    are there and for few others, so that rows which can't match need not be
+    shuffled. Two bits a hash in a bitmap of 16 bits a hash or more, up to
+    ``MOST_BITS``; a fuller one lets more rows pass and loses none."""
+    (name,) = hashes.columns
+    bits = min(MOST_BITS, 1 << max(16, (16 * hashes.count()).bit_length()))
+    at = F.explode(F.array(*(F.shiftright(name, by).bitwiseAND(bits - 1) for by in (0, 32)))).alias("at")
+    words = (hashes.select(at).groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("held")).toArrow())
+    held = np.zeros(bits >> 6, np.int64)
+    held[words["word"].to_numpy()] = words["held"].to_numpy()
+    bitmap = hashes.sparkSession.createDataFrame(pa.table({"held": pa.array([held], pa.list_(pa.int64()))})).scalar()
+
+    def test(hashed: Column) -> Column:
+        yes = F.lit(True)
+        for by in (0, 32):
+            at = F.shiftright(hashed, by).bitwiseAND(bits - 1)
+            yes &= F.getbit(F.get(bitmap, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
+        return yes
+
+    return test
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,15 +14,20 @@ Equal sets form one class, and classes are compared:
    first n - ceil(percent * n / 100) + 1; classes meet under these keys. The
    order puts shingles last that a bounded sample of documents (``SAMPLE`` rows)
    repeats; it decides how many classes meet, never which are linked.
-2. In each key's classes an R-tree search starts from one class, takes all that
-   the bound allows out of the tree, goes on from these, and so on: a forest of
-   pairs, as many as classes at most, that connects whatever might be linked.
+2. In the classes of a key of many an R-tree search starts from one class, takes
+   all that the bound allows out of the tree, goes on from these, and so on: a
+   forest of pairs, as many as classes at most, that connects whatever might be
+   linked. Where sizes allow few pairs (``CROWD``), all are listed without points
+   and counted over the keys: the overlap of two sets is at most the number of
+   keys that they share and the shingles of one that are no keys, so pairs that
+   share too few for a link (``least_met``) are dropped, unless a key of many
+   links them.
 3. The components of these forests are families. Their shingles are made once
    more, and the same search in each family, with exact counts, gives the links.
 
 Large keys and families are split in blocks (by members, and families also by
 shingles) whose pairs are separate tasks, so none is capped, and no task emits
-more pairs than it has classes.
+more pairs than ``CROWD`` / 2 times its classes.
 
 Defined results: null and empty texts, and texts without words, have no shingle
 and link with nothing; rows with null id take part, and a component's id is the
@@ -38,13 +43,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from bizlens.llm.common import documents, mix64, slices, small_batches, stored
+from bizlens.llm.common import documents, mix64, perhaps_in, slices, small_batches, stored
 from bizlens.llm.components import components
 from bizlens.llm.textbytes import text_bytes, words
 
 SAMPLE, BLOCK, BLOCK_SHINGLES, FAN = 20_000, 2048, 1_000_000, 32
+#: Classes of a key whose pairs are listed in any case, with more at most half as many pairs to a class; rows that are looked at in one go.
+CROWD, MEET_ROWS = 8, 1 << 16
 #: Largest set of a level, and its number of groups (a power of 2).
-LEVELS = ((1500, 64), (6000, 256), (24_000, 1024), (1 << 62, 4096))
+LEVELS = ((250, 64), (4000, 256), (16_000, 1024), (1 << 62, 4096))
 FULL = 255  # a stored count from here on stands for any number
 
 
@@ -95,14 +102,14 @@ def points_at(packed: list[bytes], groups: int) -> np.ndarray:
     return out
 
 
-def by_level(size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, int]]:
+def by_level(size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, int, int]]:
     """Places of the sets of each level, with those of the next that may be
-    linked with them, and its number of groups."""
+    linked with them, its number of groups and its largest size."""
     low = 0
     for top, groups in LEVELS:
         own = np.flatnonzero((size > low) & (size * percent <= min(top, 1 << 50) * 100))
         if len(own) > 1 and size[own].min() <= top:
-            yield own, groups
+            yield own, groups, top
         low = top
 
 
@@ -111,6 +118,11 @@ def needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def least_met(a, b, percent: int):
+    """Least number of common keys of linked sets of sizes a and b."""
+    return needed(a, b, percent) + 1 - -(-percent * np.maximum(a, b) // 100)
+
+
 class CountTree:
     """R-tree over count vectors, packed by size and then by the most varying
     coordinate, from which found points can be taken out."""
@@ -142,10 +154,12 @@ class CountTree:
         return at[np.minimum(self.points[at], x).sum(axis=1) >= needed(n, self.size[at], p)]
 
 
-def forest(tree: CountTree, verify: Callable[[int, np.ndarray], np.ndarray] | None = None, sides: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def forest(tree: CountTree, verify: Callable[[int, np.ndarray], np.ndarray] | None = None, sides: np.ndarray | None = None,
+           top: int = 1 << 62) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (found, first) of each point and the first of its component, by what
     the tree allows (and ``verify`` confirms). ``sides``: whether a point is of
-    the first block, where only pairs across blocks are asked for."""
+    the first block, where only pairs across blocks are asked for. ``top``: larger
+    points are not paired with each other; the next level tells them apart better."""
     found, source = [], []
     for start in range(len(tree.size)):
         if not tree.left[start]:
@@ -157,6 +171,8 @@ def forest(tree: CountTree, verify: Callable[[int, np.ndarray], np.ndarray] | No
             got = tree.search(k)
             if sides is not None:
                 got = got[sides[got] != sides[k]]
+            if tree.size[k] > top:
+                got = got[tree.size[got] <= top]
             if verify is not None and len(got):
                 got = got[verify(k, got)]
             tree.left[got] = False
@@ -203,8 +219,87 @@ def _sides(t: pa.Table) -> np.ndarray | None:
     return None if lo == hi else t["own"].to_numpy() == lo
 
 
+def _few(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs of the classes of a key that may be linked by their sizes; None if they are many."""
+    order = np.argsort(size, kind="stable")
+    size = size[order]
+    after = np.searchsorted(size, size * 100 // percent, "right") - np.arange(1, len(size) + 1)
+    if 2 * after.sum() > CROWD * len(size):
+        return None
+    first = np.repeat(np.arange(len(size)), after)
+    second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(after) - after, after)
+    return order[first], order[second]
+
+
+def _meetings(percent: int):
+    """Step 2: rows sorted by key become the pairs (a, b) of keys of few, with
+    the least number of keys they must meet under, and the classes (a) of the
+    other keys. Of a key's classes no more than a few batches are held."""
+    def split(key: np.ndarray, ids: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        many = np.diff(starts)
+        x, y, crowded = [], [], []
+        for m in range(2, CROWD + 1):
+            f = starts[:-1][many == m]
+            for i in range(m):
+                for j in range(i + 1, m):
+                    x.append(f + i), y.append(f + j)
+        for k in np.flatnonzero(many > CROWD):
+            lo, hi = int(starts[k]), int(starts[k + 1])
+            if (few := _few(size[lo:hi], percent)) is None:
+                crowded.append(np.arange(lo, hi))
+            else:
+                x.append(lo + few[0]), y.append(lo + few[1])
+        x, y = np.concatenate(x), np.concatenate(y)
+        near = (100 * size[x] >= percent * size[y]) & (100 * size[y] >= percent * size[x]) & (ids[x] != ids[y])
+        x, y = x[near], y[near]
+        if len(x):
+            yield out(np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), least_met(size[x], size[y], percent), None)
+        if crowded:
+            at = np.concatenate(crowded)
+            yield out(ids[at], None, None, key[at])
+
+    def out(a, b, need, key) -> pa.RecordBatch:
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(a), *(none if c is None else pa.array(c, pa.int64()) for c in (b, need, key))], ["a", "b", "need", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
+        parts, rows, crowd = [], 0, None  # crowd: the key at hand, once it is known to be of many
+        for b in batches:
+            parts.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            rows += len(b)
+            if rows < MEET_ROWS:
+                continue
+            held = [np.concatenate([h, *(p[c] for p in parts)]) for c, h in enumerate(held)]
+            parts, rows = [], 0
+            if crowd is not None:
+                end = int(np.searchsorted(held[0], crowd, "right"))
+                yield out(held[1][:end], None, None, held[0][:end])
+                held, crowd = [h[end:] for h in held], crowd if end == len(held[0]) else None
+            if not len(held[0]):
+                continue
+            last = int(np.searchsorted(held[0], held[0][-1], "left"))
+            if last:
+                yield from split(*(h[:last] for h in held))
+                held = [h[last:] for h in held]
+            elif len(held[0]) > MEET_ROWS:
+                crowd = held[0][0]
+                yield out(held[1], None, None, held[0])
+                held = [h[:0] for h in held]
+        held = [np.concatenate([h, *(p[c] for p in parts)]) for c, h in enumerate(held)]
+        if crowd is not None:
+            end = int(np.searchsorted(held[0], crowd, "right"))
+            yield out(held[1][:end], None, None, held[0][:end])
+            held = [h[end:] for h in held]
+        if len(held[0]):
+            yield from split(*held)
+
+    return run
+
+
 def _possible(percent: int):
-    """Step 2: pairs of classes that the bound allows, a forest per key."""
+    """Step 2: pairs of classes that the bound allows, a forest per key of many."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts in _runs(batches, ["key", "lo", "hi"]):
             ids, size = t["class"].to_numpy(), t["n"].to_numpy()
@@ -228,9 +323,9 @@ def _possible(percent: int):
             for k in np.flatnonzero(many > 8):
                 lo = int(starts[k])
                 sides = _sides(t.slice(lo, int(many[k])))
-                for own, groups in by_level(size[lo : lo + many[k]], percent):
+                for own, groups, top in by_level(size[lo : lo + many[k]], percent):
                     tree = CountTree(points_at([packed[lo + o] for o in own], groups), size[lo + own], percent)
-                    x, y = forest(tree, None, None if sides is None else sides[own])
+                    x, y = forest(tree, None, None if sides is None else sides[own], top)
                     out_a.append(ids[lo + own[x]]), out_b.append(ids[lo + own[y]])
             if out_a and sum(map(len, out_a)):
                 yield _edges(np.concatenate(out_a), np.concatenate(out_b))
@@ -279,10 +374,10 @@ def _verified(percent: int):
                     return same * (100 + percent) >= percent * (size[k] + size[got])
 
                 sides = _sides(t)
-                for own, groups in by_level(size, percent):
+                for own, groups, top in by_level(size, percent):
                     tree = CountTree(np.stack([point(sets[o], groups) for o in own]), size[own], percent)
                     check = lambda k, got, own=own, verify=verify: verify(own[k], own[got])
-                    a, b = forest(tree, check, None if sides is None else sides[only][own])
+                    a, b = forest(tree, check, None if sides is None else sides[only][own], top)
                     out_a.append(ids[own[a]]), out_b.append(ids[own[b]])
             if out_a and sum(map(len, out_a)):
                 yield _edges(np.concatenate(out_a), np.concatenate(out_b))
@@ -337,21 +432,23 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85, id_
 
     made = stored(rows.mapInArrow(describe, "id long, text_key long, n long, class long, check long, keys array<long>, point binary"), "sets")
     classes = made.where("n > 0").groupBy("class", "check", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("point").alias("point"))
-    posted = classes.select("class", F.explode("keys").alias("key"))
-    shared = posted.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
-    shared = shared.select("key", F.ceil(F.col("met") / BLOCK).alias("blocks"))
-    met = _blocks(posted.join(shared, "key"), "blocks", "class")
+    met = stored(classes.select(F.explode("keys").alias("key"), "class", "n").repartition("key").sortWithinPartitions("key")
+                 .mapInArrow(_meetings(percent), "a long, b long, need long, key long"), "met")
+    pairs = met.where("key is null").groupBy("a", "b").agg(F.count("*").alias("times"), F.max("need").alias("need")).where("times >= need").select("a", "b")
+    crowded = met.where("key is not null").select("key", F.col("a").alias("class"))
+    dealt = _blocks(crowded.join(crowded.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "key"), "blocks", "class")
     group = ["key", "lo", "hi"]
     points = classes.select("class", "n", "point")
-    possible = (met.join(points, "class").select(*group, "own", "class", "n", "point").repartition(*group).sortWithinPartitions(*group)
-                .mapInArrow(_possible(percent), "a long, b long"))
+    possible = (dealt.join(points, "class").select(*group, "own", "class", "n", "point").repartition(*group).sortWithinPartitions(*group)
+                .mapInArrow(_possible(percent), "a long, b long")).unionByName(pairs)
     family = components(possible).withColumnsRenamed({"node": "class", "component": "family"})
     # a class's text is read again at one (id, text), so that rows without an id, or of one id, don't meet each other's classes
     at = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key"))
     family = family.join(made.where("n > 0").groupBy("class").agg(at.alias("at"), F.first("n").alias("n")), "class").select("class", "family", "n", "at.id", F.col("at.text_key").alias("same"))
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
-    wanted = family.join(family.groupBy("family").agg(parts.alias("blocks")), "family")
-    texts = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]) & (F.col("text_key") == F.col("same"))).select("text", "class", "family", "blocks")
+    wanted = stored(family.join(family.groupBy("family").agg(parts.alias("blocks")), "family"), "wanted")
+    asked = rows.where(perhaps_in(wanted.select(F.xxhash64("id", "same")))(F.xxhash64("id", "text_key")))
+    texts = asked.join(wanted, asked["id"].eqNullSafe(wanted["id"]) & (F.col("text_key") == F.col("same"))).select("text", "class", "family", "blocks")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

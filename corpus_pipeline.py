@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bizlens.llm import jaccard, langid, packing, pii
-from bizlens.llm.common import documents, stored
+from bizlens.llm.common import documents, perhaps_in, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keep = (texts.where("component is null").select("doc_id", "text_key", "rows")
             .unionByName(texts.where("component is not null").groupBy("component").agg(first).select("first.doc_id", "first.text_key", "first.rows"))
             .withColumnsRenamed({"doc_id": "kept_id", "text_key": "kept_key"}))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    told = stored(texts.join(keep.drop("rows"), same, "left").select("doc_id", "text_key", "rows", F.col("kept_key").isNotNull().alias("kept")), "kept")
+    # texts that stay as they are take no part in the joins
+    asked = perhaps_in(told.where("not kept or rows > 1").select(F.xxhash64("doc_id", "text_key")))(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    clear, docs = docs.where(~asked), docs.where(asked)
+    keep = told.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "rows")
     kept = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key"))
-    once = docs.join(keep.where("rows = 1"), kept, "left_semi")
+    once = clear.unionByName(docs.join(keep.where("rows = 1"), kept, "left_semi"))
     repeated = keep.where("rows > 1")
     if repeated.isEmpty():
         return once

@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from bizlens.llm import jaccard
 from bizlens.llm.jaccard import CountTree, jaccard_components, needed, op2_jaccard, point
@@ -107,3 +108,83 @@ def test_rows_without_id_meet_their_own_classes_only(spark, monkeypatch):
     df = spark.createDataFrame(texts, "doc_id long, text string")
     assert rows(jaccard_components(df)) == plain(texts)
     assert seen and seen[0] <= 310
+
+
+def test_sets_that_share_a_key_by_chance_are_not_read_again(spark, monkeypatch):
+    """40 documents of about 1450 shingles share a passage of 30 words; two others are near copies."""
+    seen = []
+    blocks = jaccard._blocks
+
+    def counted(df, *rest):
+        if "shingles" in df.columns:
+            seen.append(df.count())
+        return blocks(df, *rest)
+
+    monkeypatch.setattr(jaccard, "_blocks", counted)
+    monkeypatch.setattr(jaccard, "SAMPLE", 1)
+    shared = " ".join(f"s{k}" for k in range(30))
+    texts = [(i, f"{shared} {' '.join(f'u{i}-{k}' for k in range(1440 + i))}") for i in range(40)]
+    texts.append((50, texts[7][1] + " end"))
+    assert rows(jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"), shingle=5, percent=80)) == plain(texts, 5, 80)
+    assert seen == [2]
+
+
+@pytest.mark.parametrize("crowd", [2, 4, 8])
+def test_copies_of_any_size_with_keys_of_few_and_of_many(spark, monkeypatch, crowd):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "MEET_ROWS", 40)
+    monkeypatch.setattr(jaccard, "SAMPLE", 1)
+    rng = np.random.default_rng(crowd)
+    texts = []
+    for f in range(12):
+        base = [f"w{f}x{k}" for k in range(40 + 10 * f)]
+        for i in range(f + 1):
+            words = base[int(rng.integers(0, 1 + len(base) // 6)) :]
+            for at in rng.choice(len(words), rng.integers(0, 3), replace=False):
+                words[at] = f"x{f}-{i}-{at}"
+            texts.append((100 * f + i, " ".join(words)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert rows(jaccard_components(df, shingle=3)) == plain(texts, 3)
+    assert rows(jaccard_components(df, shingle=2, percent=70)) == plain(texts, 2, 70)
+
+
+@pytest.mark.parametrize("most", [4, 16, 1 << 16])
+def test_every_pair_of_a_key_is_listed_or_its_classes_are(monkeypatch, most):
+    monkeypatch.setattr(jaccard, "MEET_ROWS", most)
+    rng = np.random.default_rng(2)
+    many = [1, 2, 3, 1, 8, 9, 30, 1, 12, 200, 2, 1]
+    key = np.repeat(np.arange(len(many)), many)
+    ids, size = rng.permutation(len(key)), np.where(key == 8, 4 ** np.minimum(np.arange(len(key)) % 12, 9), rng.integers(90, 130, len(key)))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[a : a + 7]) for c in (key, ids, size)], ["key", "class", "n"]) for a in range(0, len(key), 7)]
+    got = [r for b in jaccard._meetings(85)(iter(batches)) for r in b.to_pylist()]
+    crowded = defaultdict(set)
+    for r in got:
+        if r["key"] is not None:
+            crowded[r["key"]].add(r["a"])
+    assert all(crowded[k] == set(ids[key == k].tolist()) for k in crowded)
+    assert set(crowded) <= {5, 6, 8, 9} and 9 in crowded and (most < 1 << 16 or 8 not in crowded)
+    want = []
+    for k in set(range(len(many))) - set(crowded):
+        at = np.flatnonzero(key == k)
+        want += [(*sorted((int(ids[x]), int(ids[y]))), int(jaccard.least_met(size[x], size[y], 85))) for x in at for y in at if x < y and 100 * min(size[x], size[y]) >= 85 * max(size[x], size[y])]
+    assert sorted((r["a"], r["b"], r["need"]) for r in got if r["key"] is None) == sorted(want)
+
+
+def test_linked_sets_share_as_many_first_shingles():
+    rng = np.random.default_rng(5)
+    for percent in (50, 80, 85, 100):
+        for _ in range(300):
+            n = int(rng.integers(1, 40))
+            a = rng.choice(60, n, replace=False)
+            b = np.unique(np.concatenate([a[int(rng.integers(0, 1 + n // 4)) :], rng.integers(0, 60, int(rng.integers(0, 1 + n // 3)))]))
+            first = [set(np.sort(s)[: len(s) - -(-percent * len(s) // 100) + 1].tolist()) for s in (a, b)]
+            if len(b) and 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)):
+                assert len(first[0] & first[1]) >= jaccard.least_met(len(a), len(b), percent) >= 1
+
+
+def test_larger_sets_meet_at_their_own_level():
+    size = np.array([90, 100, 110, 112])
+    tree = CountTree(np.full((4, 8), 20), size, 80)
+    assert sorted(jaccard.forest(tree, top=100)[0].tolist()) == [1, 2, 3]
+    tree = CountTree(np.full((2, 8), 20), size[2:], 80)
+    assert not len(jaccard.forest(tree, top=100)[0])

@@ -45,3 +45,15 @@ def test_odd_and_empty(spark, small_dir, odd, none):
             docs = stage(spark, docs, small_dir)
         got = sorted({r["doc_id"] for r in docs.collect()}, key=str)
         assert got == ([] if rows is none else [1, 4, 6])
+
+
+def test_texts_that_stay_are_not_joined(spark, small_dir, monkeypatch):
+    """Of 50 documents and a near copy of one, only the copy's text is looked up."""
+    asked = []
+    test = corpus_pipeline.perhaps_in
+    monkeypatch.setattr(corpus_pipeline, "perhaps_in", lambda hashes: asked.append(hashes.count()) or test(hashes))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(50)]
+    docs = spark.createDataFrame([*rows, (50, rows[7][1] + " end")], "doc_id int, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == rows
+    assert kept.columns == docs.columns and asked == [1]
